@@ -135,6 +135,20 @@ def map_chunks(df: DataFrame, work: Callable[[], Callable[[pa.Table], dict]], sc
     return df.mapInArrow(run, kind)
 
 
+def filter_rows(df: DataFrame, work: Callable[[], Callable[[list[str]], list[bool]]], text: str = "text") -> DataFrame:
+    """The rows, in all their columns, whose text ``work()`` says yes to; a null text is judged as an empty one."""
+    bounded_arrow(df.sparkSession)
+
+    def run(batches):
+        judge = work()
+        for chunk in chunks(batches, text):
+            if chunk.num_rows:
+                kept = chunk.filter(pa.array([bool(x) for x in judge([x or "" for x in chunk.column(text).to_pylist()])], pa.bool_()))
+                yield from kept.to_batches()
+
+    return df.mapInArrow(run, df.schema)
+
+
 def _one(column):
     return column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
 

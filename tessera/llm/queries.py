@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, packing, topk
+from . import bpe, crf, langid, licences, linefreq, packing, simhash, topk
 from ._shared import table
 
 
@@ -29,12 +29,34 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.fit(docs))
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return crf.score_documents(docs, crf.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def op7_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linefreq.judge(table(spark, sf_dir, "documents")).drop("common")
+
+
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op9_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents")).drop("matches")
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_exact_top_k, op2_bpe, op10_packing)}
+    return {f.__name__: f for f in (op1_exact_top_k, op2_bpe, op4_language, op6_quality, op7_line_frequency, op8_simhash, op9_licences, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
