@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, crf, langid, licences, linefreq, packing, simhash, topk
+from . import bpe, crf, extract, langid, licences, linefreq, lm, packing, simhash, topk
 from ._shared import table
 
 
@@ -29,11 +29,19 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op3_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return langid.identify(docs, langid.fit(docs))
 
 
+def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return crf.score_documents(docs, crf.fit(docs, table(spark, sf_dir, "labels")))
@@ -56,7 +64,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_exact_top_k, op2_bpe, op4_language, op6_quality, op7_line_frequency, op8_simhash, op9_licences, op10_packing)}
+    return {f.__name__: f for f in (op1_exact_top_k, op2_bpe, op3_language_model, op4_language, op5_main_text, op6_quality, op7_line_frequency, op8_simhash, op9_licences, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
