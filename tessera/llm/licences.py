@@ -41,7 +41,7 @@ TEMPLATES = [
 #: Rare words of a template that are posted, and the share of its words that a match needs.
 POSTED = 3
 COVERAGE = 0.5
-_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _KELVIN = "K"  # lower() would make an ASCII letter of it
 
 
@@ -59,7 +59,7 @@ def templates() -> list[Template]:
 
 def words_of(text: Column) -> Column:
     """The words of a text in lower case."""
-    return F.regexp_extract_all(F.lower(F.replace(text, F.lit(_KELVIN), F.lit("�"))), F.lit(_WORD), F.lit(0))
+    return F.array_remove(F.split(F.lower(F.replace(text, F.lit(_KELVIN), F.lit("�"))), _BETWEEN), "")
 
 
 def inverse_document_frequencies(words: DataFrame, vocabulary: list[str]) -> dict[str, float]:
