@@ -281,14 +281,49 @@ def near_duplicates(docs: DataFrame, distance: int = DISTANCE, words: int = WORD
 
 
 def one_of_each(docs: DataFrame, **parameters) -> DataFrame:
-    """One row, in all its columns, of each component: the first one of the table."""
+    """One row, in all its columns, of each component: the first one of the table.
+
+    Rows are numbered by split and place. The numbers that stay are written as a bit
+    map for each split, and the rows are filtered where they lie: texts are never
+    shuffled, and copies of a row don't meet in one task.
+    """
     row = "_row"
     while row in docs.columns:
         row = f"_{row}"
     table = _shared.through_table(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
     found = near_duplicates(table.select(F.col(row).alias("doc_id"), "text"), **parameters)
-    stay = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias(row))
-    return table.join(stay, row, "left_semi").drop(row)
+    folder = _shared.shared_folder(docs.sparkSession, "stay")
+
+    def write(key, group):
+        split = key[0].as_py()
+        places = np.asarray(group.column("place"))
+        bits = np.zeros(int(places.max()) + 1, bool)
+        bits[places] = True
+        _shared.write_shared(f"{folder}/{split}", np.packbits(bits).tobytes())
+        return pa.table({"split": [split], "n": [len(places)]}, schema=pa.schema([("split", pa.int64()), ("n", pa.int64())]))
+
+    place = F.col("doc_id").bitwiseAND(F.lit((1 << 33) - 1))
+    stay = found.where(F.col("doc_id") == F.col("component_id")).select(F.shiftright("doc_id", 33).alias("split"), place.alias("place"))
+    stay.groupBy("split").applyInArrow(write, "split long, n long").agg(F.sum("n")).collect()
+
+    def keep(batches):
+        maps: dict[int, np.ndarray] = {}
+        for batch in batches:
+            numbers = np.asarray(batch.column(row))
+            splits, places = numbers >> 33, numbers & ((1 << 33) - 1)
+            mask = np.zeros(len(numbers), bool)
+            for split in np.unique(splits).tolist():
+                if split not in maps:
+                    try:
+                        maps[split] = np.frombuffer(_shared.map_shared(f"{folder}/{split}"), np.uint8)
+                    except FileNotFoundError:
+                        maps[split] = np.zeros(0, np.uint8)
+                own = np.flatnonzero((splits == split) & (places >> 3 < len(maps[split])))
+                mask[own] = (maps[split][places[own] >> 3] >> (7 - (places[own] & 7))) & 1
+            yield batch.filter(pa.array(mask)).drop_columns([row])
+
+    _shared.bounded_arrow(docs.sparkSession)
+    return table.mapInArrow(keep, docs.schema)
 
 
 def _linked(roots: DataFrame) -> DataFrame:
