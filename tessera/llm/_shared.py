@@ -26,8 +26,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def bounded_arrow(spark: SparkSession) -> None:
-    """Bounds the Arrow batches that Python workers get, by rows and by bytes."""
+    """Bounds the batches that readers make and Python workers get, by rows and by bytes: a batch of whole texts is large."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", str(ARROW_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
@@ -115,7 +116,7 @@ def chunks(batches: Iterable[pa.RecordBatch], text: str = "text", chars: int = C
         yield pa.Table.from_batches(held)
 
 
-def map_chunks(df: DataFrame, work: Callable[[], Callable[[pa.Table], dict]], schema: str, text: str = "text") -> DataFrame:
+def map_chunks(df: DataFrame, work: Callable[[], Callable[[pa.Table], dict]], schema: str, text: str = "text", chars: int = CHUNK_CHARS) -> DataFrame:
     """mapInArrow over chunks: ``work()`` is made once a task and turns a chunk into columns."""
     from pyspark.sql.types import StructType, _parse_datatype_string
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -127,7 +128,7 @@ def map_chunks(df: DataFrame, work: Callable[[], Callable[[pa.Table], dict]], sc
 
     def run(batches):
         step = work()
-        for chunk in chunks(batches, text):
+        for chunk in chunks(batches, text, chars):
             if chunk.num_rows:
                 columns = step(chunk)
                 yield pa.RecordBatch.from_arrays([pa.array(columns[f.name], type=f.type) if not isinstance(columns[f.name], (pa.Array, pa.ChunkedArray)) else _one(columns[f.name]).cast(f.type) for f in arrow], schema=arrow)

@@ -30,6 +30,9 @@ DISCOUNT = 0.75
 SEEN = 2
 #: Shards of the trie, at least; there are more if the input has more splits.
 LEAST_SHARDS, MOST_SHARDS = 64, 1 << 14
+#: Bytes of text that are worked on at once.
+CHUNK_CHARS = 10 << 20
+NUMBER_BYTES = 8 << 20
 #: N-grams that a task counts before it passes them on, and words that it remembers.
 COUNTED = 2 << 20
 REMEMBERED = 500_000
@@ -52,6 +55,10 @@ def _pack_bits(values: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
+#: The place of the k-th set bit of a byte, at 8 * byte + k.
+_IN_BYTE = np.array([([i for i in range(8) if byte >> i & 1] + [0] * 8)[k] for byte in range(256) for k in range(8)], np.int64)
+
+
 class EliasFano:
     """An increasing sequence of unsigned numbers over arrays that may be memory-mapped."""
 
@@ -86,15 +93,15 @@ class EliasFano:
 
     @staticmethod
     def _in_word(word: np.ndarray, k: np.ndarray) -> np.ndarray:
-        """The place of the k-th set bit."""
-        out = np.zeros(len(word), np.int64)
-        for width in (32, 16, 8, 4, 2, 1):
-            count = np.bitwise_count(word & np.uint64((1 << width) - 1)).astype(np.int64)
-            beyond = k >= count
-            k = np.where(beyond, k - count, k)
-            out += np.where(beyond, width, 0)
-            word = np.where(beyond, word >> np.uint64(width), word)
-        return out
+        """The place of the k-th set bit: its byte by the bytes' running counts, then by a table."""
+        u = np.uint64
+        counts = word - ((word >> u(1)) & u(0x5555555555555555))
+        counts = (counts & u(0x3333333333333333)) + ((counts >> u(2)) & u(0x3333333333333333))
+        counts = ((counts + (counts >> u(4))) & u(0x0F0F0F0F0F0F0F0F)) * u(0x0101010101010101)
+        k = k.astype(np.uint64)
+        byte = np.bitwise_count(((k * u(0x0101010101010101) | u(0x8080808080808080)) - counts) & u(0x8080808080808080)).astype(np.uint64) << u(3)
+        before = ((counts << u(8)) >> byte) & u(255)
+        return byte.astype(np.int64) + _IN_BYTE[(((word >> byte) & u(255)) << u(3)) + k - before]
 
     def _select(self, k: np.ndarray, ones: bool) -> np.ndarray:
         directory = self.ones if ones else self.zeros
@@ -102,23 +109,49 @@ class EliasFano:
         bits = self.high[word] if ones else ~self.high[word]
         return word * 64 + self._in_word(bits, k - directory[word].astype(np.int64))
 
+    def _following(self, at: np.ndarray, k: np.ndarray, ones: bool) -> np.ndarray:
+        """The k-th set or unset bit, which is the next one after the place at: mostly in the same word."""
+        word, off = at >> 6, (at & 63).astype(np.uint64)
+        bits = self.high[word] if ones else ~self.high[word]
+        bits = bits & (np.uint64(0xFFFFFFFFFFFFFFFE) << off)
+        out = (word << 6) + np.bitwise_count((bits & (~bits + np.uint64(1))) - np.uint64(1))
+        far = np.flatnonzero(bits == 0)
+        if len(far):
+            out[far] = self._select(k[far], ones)
+        return out
+
     def get(self, i: np.ndarray) -> np.ndarray:
         """The numbers at places."""
         return ((self._select(i, True) - i).astype(np.uint64) << np.uint64(self.width)) | self._low(i)
 
+    def get_both(self, i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers at places and at those after them."""
+        at = self._select(i, True)
+        after = self._following(at, i + 1, True)
+        width = np.uint64(self.width)
+        return ((at - i).astype(np.uint64) << width) | self._low(i), ((after - i - 1).astype(np.uint64) << width) | self._low(i + 1)
+
     def successor(self, x: np.ndarray) -> np.ndarray:
         """The first place whose number is x or more; n if there is none."""
+        return self.find(x)[0]
+
+    def find(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The first place whose number is x or more, and whether it is x."""
         top = x >> np.uint64(self.width)
-        out = np.full(len(x), self.n, np.int64)
+        out, hit = np.full(len(x), self.n, np.int64), np.zeros(len(x), bool)
         inside = np.flatnonzero(top < np.uint64(self.zeros[-1])) if self.n else np.zeros(0, np.int64)
         if not len(inside):
-            return out
+            return out, hit
         top, rest = top[inside].astype(np.int64), x[inside] & self.mask
-        begin = np.zeros(len(top), np.int64)
+        before, after = np.full(len(top), -1, np.int64), np.empty(len(top), np.int64)
         later = top > 0
-        begin[later] = self._select(top[later] - 1, False) - (top[later] - 1)
-        end = np.minimum(self._select(top, False) - top, self.n)
+        before[later] = self._select(top[later] - 1, False)
+        after[later] = self._following(before[later], top[later], False)
+        after[~later] = self._select(top[~later], False)
+        begin = before + 1 - top
+        last = end = np.minimum(after - top, self.n)
         begin = np.minimum(begin, end)
+        end = end.copy()
         live = np.flatnonzero(begin < end)
         while len(live):
             middle = (begin[live] + end[live]) >> 1
@@ -127,7 +160,9 @@ class EliasFano:
             end[live[~less]] = middle[~less]
             live = live[begin[live] < end[live]]
         out[inside] = begin
-        return out
+        there = np.flatnonzero(begin < last)
+        hit[inside[there]] = self._low(begin[there]) == rest[there]
+        return out, hit
 
     def arrays(self, name: str) -> dict[str, np.ndarray]:
         return {f"{name}.size": np.array([self.n, self.width], np.int64), f"{name}.low": self.low, f"{name}.high": self.high, f"{name}.ones": self.ones, f"{name}.zeros": self.zeros}
@@ -211,7 +246,7 @@ class _Tally:
         self.size = 0
 
     def add(self, shards: np.ndarray, keys: np.ndarray):
-        order = np.argsort(shards, kind="stable")
+        order = np.argsort(shards.astype(np.uint16), kind="stable")
         shards, keys = shards[order], keys[order]
         cuts = np.flatnonzero(np.concatenate([[True], shards[1:] != shards[:-1]])) if len(shards) else np.zeros(0, np.int64)
         for a, b in zip(cuts, np.append(cuts[1:], len(shards))):
@@ -231,19 +266,25 @@ class _Tally:
         return pa.RecordBatch.from_pydict({"shard": pa.array(out["shard"], pa.int32()), "blob": pa.array(out["blob"], pa.binary())})
 
 
-def _counted(docs: DataFrame, keys):
-    """Blobs of the counts of what ``keys()(texts)`` finds: arrays of shards and of keys."""
+def _counted(numbers: DataFrame, keys):
+    """Blobs of the counts of what ``keys()(numbers, n)`` finds: arrays of shards and of keys."""
 
     def run(batches):
         find, tally = keys(), _Tally()
-        for chunk in _shared.chunks(batches):
-            tally.add(*find(chunk.column("text").to_pylist()))
+        for chunk in _shared.chunks(batches, "numbers", NUMBER_BYTES):
+            tally.add(*find(*_read_numbers(chunk)))
             if tally.size > COUNTED:
                 yield tally.flush()
         yield tally.flush()
 
-    _shared.bounded_arrow(docs.sparkSession)
-    return docs.mapInArrow(run, "shard int, blob binary")
+    _shared.bounded_arrow(numbers.sparkSession)
+    return numbers.select("numbers").mapInArrow(run, "shard int, blob binary")
+
+
+def _read_numbers(chunk: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The words' numbers of all texts, -1 for unknown ones, and the tokens of each."""
+    parts = [np.frombuffer(x, "<i8" if wide else "<i4") for x, wide in ((bytes(x[1:]), x[0]) for x in chunk.column("numbers").to_pylist())]
+    return np.concatenate([*parts, np.zeros(0, np.int64)]).astype(np.int64), np.array([len(x) for x in parts], np.int64)
 
 
 def _merged(group) -> tuple[np.ndarray, np.ndarray]:
@@ -293,12 +334,16 @@ class Trie:
             self.open[level, shard] = found
         return found
 
+    def end(self) -> int:
+        """The number of the end of a text."""
+        return int(self.find_words([END])[0][0])
+
     def shard_of(self, numbers: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.bases, numbers, side="right") - 1
 
     def _by_shard(self, shards: np.ndarray):
-        order = np.argsort(shards, kind="stable")
-        cuts = np.searchsorted(shards[order], np.arange(self.shards + 1))
+        order = np.argsort(shards.astype(np.uint16), kind="stable")  # so short that it is a radix sort
+        cuts = np.concatenate([[0], np.cumsum(np.bincount(shards, minlength=self.shards))])
         for s in np.flatnonzero(np.diff(cuts)):
             yield int(s), order[cuts[s] : cuts[s + 1]]
 
@@ -310,10 +355,7 @@ class Trie:
             level = self.level(1, s)
             if not level or not level["words"].n:
                 continue
-            at = level["words"].successor(hashes[rows])
-            inside = at < level["words"].n
-            rows, at = rows[inside], at[inside]
-            hit = level["words"].get(at) == hashes[rows]
+            at, hit = level["words"].find(hashes[rows])
             numbers[rows[hit]] = self.bases[s] + at[hit]
             counts[rows[hit]] = level["count"][at[hit]]
         return numbers, counts
@@ -333,22 +375,24 @@ class Trie:
         place, at, many = np.full(len(nodes), -1, np.int64), np.full(len(nodes), -1, np.int64), np.zeros(len(nodes), np.int64)
         if not found or not found["next"].n:
             return at, place, many
-        begin, end = found["pointers"].get(nodes).astype(np.int64), found["pointers"].get(nodes + 1).astype(np.int64)
+        # neighbours often ask of one node: its run is found once
+        first = np.flatnonzero(np.concatenate([[True], nodes[1:] != nodes[:-1]])) if len(nodes) else np.zeros(0, np.int64)
+        of = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(nodes))))
+        begin, end = (x.astype(np.int64) for x in found["pointers"].get_both(nodes[first]))
+        start = np.zeros(len(first), np.uint64)
+        later = np.flatnonzero((begin > 0) & (end > begin))
+        start[later] = found["next"].get(begin[later] - 1) + np.uint64(1)
+        begin, end, start = begin[of], end[of], start[of]
         many = end - begin
         rows = np.flatnonzero(many)
-        start = np.zeros(len(rows), np.uint64)
-        later = begin[rows] > 0
-        start[later] = found["next"].get(begin[rows][later] - 1) + np.uint64(1)
-        x = start + values[rows].astype(np.uint64)
-        to = found["next"].successor(x)
-        inside = to < end[rows]
-        rows, to, x = rows[inside], to[inside], x[inside]
-        hit = found["next"].get(to) == x
+        x = start[rows] + values[rows].astype(np.uint64)
+        to, hit = found["next"].find(x)
+        hit &= to < end[rows]
         at[rows[hit]] = to[hit]
         place[rows[hit]] = to[hit] - begin[rows[hit]]
         return at, place, many
 
-    def bigrams(self, first: np.ndarray, second: np.ndarray):
+    def bigrams(self, first: np.ndarray, second: np.ndarray, values: bool = True):
         """Of known first words: shard, node (-1: none), place, log10 probability of the second (nan if no node) and back-off of the first."""
         shard = self.shard_of(first)
         node, place, value, away = np.full(len(first), -1, np.int64), np.full(len(first), -1, np.int64), np.full(len(first), np.nan), np.zeros(len(first))
@@ -356,7 +400,7 @@ class Trie:
             own = first[rows] - self.bases[s]
             known = second[rows] >= 0
             node[rows[known]], place[rows[known]], _ = self.child(2, s, own[known], second[rows[known]])
-            if found := self.level(2, s):
+            if values and (found := self.level(2, s)):
                 away[rows] = found["away.book"][found["away"][own]]
                 hit = rows[node[rows] >= 0]
                 value[hit] = found["value.book"][found["value"][node[hit]]]
@@ -468,8 +512,8 @@ def _smoothed(parents: np.ndarray, counts: np.ndarray, of: np.ndarray, lower: np
     return {"value": value, "value.book": value_book, "away": away, "away.book": away_book}
 
 
-def train(docs: DataFrame, discount: float = DISCOUNT, seen: int = SEEN, shards: int | None = None) -> Trie:
-    """Builds the trie of the texts, level by level; an n-gram can be kept only if the shorter ones in it are."""
+def first_level(docs: DataFrame, shards: int | None = None) -> Trie:
+    """The trie's words, counted over all texts."""
     spark = docs.sparkSession
     docs = docs.select(_shared.text_of())
     if shards is None:
@@ -478,57 +522,94 @@ def train(docs: DataFrame, discount: float = DISCOUNT, seen: int = SEEN, shards:
     trie = Trie(_shared.shared_folder(spark, "trie"), shards)
 
     def unigrams(batches):
-        reader = _Reader(None)
-        tally = _Tally()
+        reader, tally = _Reader(None), _Tally()
+        total = np.zeros(0, np.int64)
 
         def hand_on():
-            words, n = list(reader.known), total[: len(reader.known)]
-            hashes = word_hashes(words)
+            hashes = word_hashes(list(reader.known))
             where = hash_shard(hashes, shards)
             order = np.lexsort((hashes, where))
             cuts = np.searchsorted(where[order], np.arange(shards + 1))
             for s in np.flatnonzero(np.diff(cuts)):
                 own = order[cuts[s] : cuts[s + 1]]
-                tally.held.append((int(s), hashes[own], n[own]))
+                tally.held.append((int(s), hashes[own], total[own]))
             return tally.flush()
 
-        total = np.zeros(0, np.int64)
-        for chunk in _shared.chunks(batches):
+        for chunk in _shared.chunks(batches, chars=CHUNK_CHARS):
             local, _ = reader.read(chunk.column("text").to_pylist())
-            total = np.bincount(local, minlength=len(total)) + np.pad(total, (0, max(0, len(reader.known) - len(total))))[: max(len(total), len(reader.known))] if len(local) else total
+            more = np.bincount(local, minlength=len(reader.known))
+            more[: len(total)] += total
+            total = more
             if len(reader.known) > REMEMBERED:
                 yield hand_on()
                 reader._anew()
                 total = np.zeros(0, np.int64)
         yield hand_on()
 
-    def first_level(key, group):
+    def build(key, group):
         shard = key[0].as_py()
         hashes, counts = _merged(group)
         _to_file(trie.uri(1, shard), EliasFano.encode(hashes).arrays("words") | {"count": counts})
         return pa.table({"shard": [shard], "n": [len(hashes)], "total": [int(counts.sum())]}, schema=pa.schema([("shard", pa.int32()), ("n", pa.int64()), ("total", pa.int64())]))
 
     _shared.bounded_arrow(spark)
-    rows = docs.mapInArrow(unigrams, "shard int, blob binary").groupBy("shard").applyInArrow(first_level, "shard int, n long, total long").collect()
     sizes = np.zeros(shards, np.int64)
-    for r in rows:
+    for r in docs.mapInArrow(unigrams, "shard int, blob binary").groupBy("shard").applyInArrow(build, "shard int, n long, total long").collect():
         sizes[r.shard] = r.n
-    trie.bases, trie.tokens = np.concatenate([[0], np.cumsum(sizes)]), sum(r.total for r in rows)
+        trie.tokens += r.total
+    trie.bases = np.concatenate([[0], np.cumsum(sizes)])
+    return trie
+
+
+def number_documents(docs: DataFrame, trie: Trie, seen: int = SEEN) -> tuple[DataFrame, DataFrame]:
+    """The texts as numbers of words, with what unigrams say of them; and blobs of the pairs in texts that aren't held out.
+
+    Both come of one pass over the texts and are written once; later passes read numbers only.
+    """
     words = trie.words
+    kind = "<i4" if words < 2**31 else "<i8"
+    head = bytes([kind == "<i8"])
+    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, numbers binary, shard int, blob binary"
+
+    def run(batches):
+        reader, tally = _Reader(trie), _Tally()
+        columns = [("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("numbers", pa.binary()), ("shard", pa.int32()), ("blob", pa.binary())]
 
-    def two():
-        reader = _Reader(trie)
+        def row(n, **values):
+            return pa.RecordBatch.from_arrays([pa.array(values[c], t) if c in values else pa.nulls(n, t) for c, t in columns], names=[c for c, _ in columns])
 
-        def find(texts):
-            local, n = reader.read(texts)
+        def pairs():
+            blobs = tally.flush()
+            return row(len(blobs), shard=blobs.column(0), blob=blobs.column(1))
+
+        for chunk in _shared.chunks(batches, chars=CHUNK_CHARS):
+            local, n = reader.read(chunk.column("text").to_pylist())
+            if not len(n):
+                continue
+            counts, numbers = reader.counts[local], reader.numbers[local]
+            starts = np.cumsum(n) - n
+            held_out = np.array(chunk.column("held_out").to_pylist(), bool)
+            raw = numbers.astype(kind)
+            yield row(len(n), doc_id=chunk.column("doc_id").combine_chunks(), held_out=held_out, n_tokens=n, n_known=np.add.reduceat((counts > 0).astype(np.int64), starts), base_score=np.add.reduceat(trie.unigram(counts), starts), numbers=[head + raw[a : a + k].tobytes() for a, k in zip(starts, n)])
             end = reader.known[END]
-            before = _before(local, n, end)
-            keep = (reader.counts[before] >= seen) & (reader.counts[local] >= seen)
-            first, second = reader.numbers[before[keep]], reader.numbers[local[keep]]
+            often = counts >= seen
+            first = _before(numbers, n, int(reader.numbers[end]) if end < len(reader.numbers) else -1)
+            keep = often & _before(often, n, bool(reader.counts[end] >= seen)) & ~np.repeat(held_out, n)
+            first, second = first[keep], numbers[keep]
             where = trie.shard_of(first)
-            return where, ((first - trie.bases[where]) * words + second).astype(np.uint64)
+            tally.add(where, ((first - trie.bases[where]) * words + second).astype(np.uint64))
+            if tally.size > COUNTED:
+                yield pairs()
+        yield pairs()
 
-        return find
+    _shared.bounded_arrow(docs.sparkSession)
+    table = _shared.through_table(docs.select(F.col("doc_id").cast("long"), _held_out().alias("held_out"), _shared.text_of()).mapInArrow(run, schema), "numbers")
+    return table.where(F.col("numbers").isNotNull()).drop("shard", "blob"), table.where(F.col("blob").isNotNull()).select("shard", "blob")
+
+
+def further_levels(trie: Trie, numbers: DataFrame, pairs: DataFrame, discount: float = DISCOUNT, seen: int = SEEN) -> None:
+    """Pairs and triples; an n-gram can be kept only if the shorter ones in it are."""
+    words = trie.words
 
     def second_level(key, group):
         shard = key[0].as_py()
@@ -540,18 +621,17 @@ def train(docs: DataFrame, discount: float = DISCOUNT, seen: int = SEEN, shards:
         _write_level(trie, 2, shard, parents, values, len(of), more | {"count": counts})
         return pa.table({"shard": [shard], "n": [len(keys)]}, schema=pa.schema([("shard", pa.int32()), ("n", pa.int64())]))
 
-    _counted(docs, two).groupBy("shard").applyInArrow(second_level, "shard int, n long").collect()
+    pairs.groupBy("shard").applyInArrow(second_level, "shard int, n long").collect()
+    end = trie.end()
 
     def three():
-        reader = _Reader(trie)
-
-        def find(texts):
-            local, n = reader.read(texts)
-            end = reader.known[END]
-            first, second, which = _pairs(reader.numbers[_before(local, n, end)], reader.numbers[local], words)
-            shard, node, place, _, _ = trie.bigrams(first, second)
+        def find(numbers, n):
+            first, second, which = _pairs(_before(numbers, n, end), numbers, words)
+            known = np.flatnonzero((first >= 0) & (second >= 0))
+            shard, node, place = (np.full(len(first), -1, np.int64) for _ in range(3))
+            shard[known], node[known], place[known], _, _ = trie.bigrams(first[known], second[known], values=False)
             shard, node, place = shard[which], node[which], place[which]
-            inner = np.ones(len(local), bool)
+            inner = np.ones(len(numbers), bool)
             inner[(np.cumsum(n) - n)[n > 0]] = False
             at = np.flatnonzero(inner)
             at = at[(node[at - 1] >= 0) & (place[at] >= 0)]
@@ -565,20 +645,18 @@ def train(docs: DataFrame, discount: float = DISCOUNT, seen: int = SEEN, shards:
         keys, counts = keys[counts >= seen], counts[counts >= seen]
         parents, places = (keys >> np.uint64(32)).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
         above = trie.level(2, shard)
-        middle = _values(above, np.unique(parents))
-        middle = middle[np.searchsorted(np.unique(parents), parents)]
+        own, which = np.unique(parents, return_inverse=True)
+        middle = _values(above, own)[which]
         lower = np.zeros(len(keys))
-        where = trie.shard_of(middle)
-        for s, at in trie._by_shard(where):
-            own = trie.level(2, s)
-            lower[at] = own["value.book"][own["value"][own["pointers"].get(middle[at] - trie.bases[s]).astype(np.int64) + places[at]]]
+        for s, at in trie._by_shard(trie.shard_of(middle)):
+            other = trie.level(2, s)
+            lower[at] = other["value.book"][other["value"][other["pointers"].get(middle[at] - trie.bases[s]).astype(np.int64) + places[at]]]
         more = _smoothed(parents, counts, above["count"].astype(float), lower, above["next"].n, discount)
         _write_level(trie, 3, shard, parents, places, above["next"].n, more)
         return pa.table({"shard": [shard], "n": [len(keys)]}, schema=pa.schema([("shard", pa.int32()), ("n", pa.int64())]))
 
-    _counted(docs, three).groupBy("shard").applyInArrow(third_level, "shard int, n long").collect()
+    _counted(numbers, three).groupBy("shard").applyInArrow(third_level, "shard int, n long").collect()
     trie.open = {}
-    return trie
 
 
 def _values(level: dict, nodes: np.ndarray) -> np.ndarray:
@@ -593,45 +671,35 @@ def _values(level: dict, nodes: np.ndarray) -> np.ndarray:
     return (level["next"].get(nodes) - start).astype(np.int64)
 
 
-class Scorer:
-    def __init__(self, trie: Trie):
-        self.trie, self.reader = trie, _Reader(trie)
-
-    def score(self, texts: list[str]):
-        """Of each text: tokens, known tokens, log10 probability by add-one unigrams, and by the model."""
-        trie, reader = self.trie, self.reader
-        local, n = reader.read(texts)
-        end = reader.known[END]
-        if len(reader.numbers) < len(reader.known):  # the end was new in this very text
-            numbers, counts = trie.find_words(reader.new)
-            reader.numbers, reader.counts = np.concatenate([reader.numbers, numbers]), np.concatenate([reader.counts, counts])
-            reader.new.clear()
-        counts = reader.counts[local]
-        base = trie.unigram(counts)
-        value = base.copy()
-        before = reader.numbers[_before(local, n, end)]
-        first, second, which = _pairs(before, reader.numbers[local], trie.words)
-        known = first >= 0
-        shard, node, place, two, away = (np.full(len(first), x) for x in (-1, -1, -1, np.nan, 0.0))
-        shard[known], node[known], place[known], two[known], away[known] = trie.bigrams(first[known], second[known])
-        node, place, shard = node[which], place[which], shard[which]
-        two, away = two[which], away[which]
-        value = np.where(np.isnan(two), away + base, two)
-        inner = np.ones(len(local), bool)
-        inner[(np.cumsum(n) - n)[n > 0]] = False
-        at = np.flatnonzero(inner)
-        at = at[node[at - 1] >= 0]
-        three, away = trie.trigrams(shard[at - 1], node[at - 1], place[at])
-        value[at] = np.where(np.isnan(three), away + value[at], three)
-        starts = np.cumsum(n) - n
-        return n, np.add.reduceat((counts > 0).astype(np.int64), starts), np.add.reduceat(base, starts), np.add.reduceat(value, starts)
+def score_numbers(trie: Trie, end: int, numbers: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The log10 probability of each text by the whole trie."""
+    if not len(n):
+        return np.zeros(0)
+    counts = np.zeros(len(numbers), np.int64)
+    known = np.flatnonzero(numbers >= 0)
+    counts[known] = trie.counts(numbers[known])
+    base = trie.unigram(counts)
+    first, second, which = _pairs(_before(numbers, n, end), numbers, trie.words)
+    known = first >= 0
+    shard, node, place, two, away = (np.full(len(first), x) for x in (-1, -1, -1, np.nan, 0.0))
+    shard[known], node[known], place[known], two[known], away[known] = trie.bigrams(first[known], second[known])
+    node, place, shard = node[which], place[which], shard[which]
+    two = two[which]
+    value = np.where(np.isnan(two), away[which] + base, two)
+    inner = np.ones(len(numbers), bool)
+    inner[np.cumsum(n) - n] = False
+    at = np.flatnonzero(inner)
+    at = at[node[at - 1] >= 0]
+    three, away = trie.trigrams(shard[at - 1], node[at - 1], place[at])
+    value[at] = np.where(np.isnan(three), away + value[at], three)
+    return np.add.reduceat(value, np.cumsum(n) - n)
 
 
 def _held_out():
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % HELD_OUT == HELD_OUT_REST, F.lit(False))
 
 
-def score_documents(docs: DataFrame, trie: Trie | None = None, **parameters) -> DataFrame:
+def score_documents(docs: DataFrame, trie: Trie | None = None, shards: int | None = None) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row.
 
     Without a trie one is trained on the rows that aren't held out. A null or empty
@@ -641,16 +709,21 @@ def score_documents(docs: DataFrame, trie: Trie | None = None, **parameters) ->
     Words are told apart by 64-bit hashes.
     """
     if trie is None:
-        trie = train(docs.where(~_held_out()), **parameters)
-
-    def work():
-        scorer = Scorer(trie)
-
-        def step(chunk):
-            n, known, base, score = scorer.score(chunk.column("text").to_pylist())
-            return {"doc_id": chunk.column("doc_id"), "n_tokens": n, "n_known": known, "base_score": base, "score": score}
+        trie = first_level(docs.where(~_held_out()), shards)
+        numbers, pairs = number_documents(docs, trie)
+        further_levels(trie, numbers.where(~F.col("held_out")), pairs)
+    else:
+        numbers, _ = number_documents(docs, trie)
+    end = trie.end()
 
-        return step
+    def run(batches):
+        schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
+        for chunk in _shared.chunks(batches, "numbers", NUMBER_BYTES):
+            if chunk.num_rows:
+                scores = pa.array(score_numbers(trie, end, *_read_numbers(chunk)))
+                kept = chunk.drop_columns(["numbers"]).append_column("score", scores)
+                yield pa.RecordBatch.from_arrays([x.combine_chunks() for x in kept.select(schema.names).columns], schema=schema)
 
-    scored = _shared.map_chunks(docs.select(F.col("doc_id").cast("long"), _shared.text_of()), work, "doc_id long, n_tokens long, n_known long, base_score double, score double")
-    return scored.select("doc_id", _held_out().alias("held_out"), "n_tokens", "n_known", F.lit(trie.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+    _shared.bounded_arrow(docs.sparkSession)
+    scored = numbers.mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(trie.tokens).cast("long").alias("train_tokens"), "base_score", "score")
