@@ -271,27 +271,42 @@ def near_duplicates(docs: DataFrame, distance: int = DISTANCE, words: int = WORD
         return step
 
     prints = _shared.map_chunks(docs.select(F.col("doc_id").cast("long"), _shared.text_of()), work, "doc_id long, code long")
-    prints = _shared.through_table(prints, "fingerprints")
+    found = grouped(_shared.through_table(prints, "fingerprints"), distance, range_codes)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("code"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def grouped(prints: DataFrame, distance: int = DISTANCE, range_codes: int = RANGE_CODES) -> DataFrame:
+    """doc_id, code, component_id of written rows doc_id, code."""
     codes = _shared.through_table(prints.groupBy("code").agg(F.min("doc_id").alias("first")), "codes")
     roots = components(links(codes.select("code"), distance, range_codes))
     linked = _shared.through_table(codes.join(_linked(roots), "code").select("code", "first", "root"), "linked")
     named = linked.join(linked.groupBy("root").agg(F.min("first").alias("component_id")), "root").select("code", "component_id")
     groups = codes.join(named, "code", "left").select("code", F.coalesce("component_id", "first").alias("component_id"))
-    return prints.join(groups, "code", "left").select("doc_id", F.lower(F.lpad(F.hex("code"), 16, "0")).alias("fingerprint"), "component_id")
+    return prints.join(groups, "code", "left").select("doc_id", "code", "component_id")
 
 
-def one_of_each(docs: DataFrame, **parameters) -> DataFrame:
+def one_of_each(docs: DataFrame, distance: int = DISTANCE, words: int = WORDS, range_codes: int = RANGE_CODES) -> DataFrame:
     """One row, in all its columns, of each component: the first one of the table.
 
     Rows are numbered by split and place. The numbers that stay are written as a bit
     map for each split, and the rows are filtered where they lie: texts are never
     shuffled, and copies of a row don't meet in one task.
     """
-    row = "_row"
+    row, code = "_row", "_code"
     while row in docs.columns:
         row = f"_{row}"
-    table = _shared.through_table(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
-    found = near_duplicates(table.select(F.col(row).alias("doc_id"), "text"), **parameters)
+    while code in docs.columns:
+        code = f"_{code}"
+    ahead = docs.withColumn(row, F.monotonically_increasing_id()).withColumn(code, F.lit(0).cast("long"))
+
+    def mark(batches):
+        for chunk in _shared.chunks(batches):
+            codes = fingerprints([x or "" for x in chunk.column("text").to_pylist()], words).view(np.int64)
+            yield from chunk.set_column(chunk.column_names.index(code), code, pa.array(codes)).to_batches()
+
+    _shared.bounded_arrow(docs.sparkSession)
+    table = _shared.through_table(ahead.mapInArrow(mark, ahead.schema), "numbered")
+    found = grouped(table.select(F.col(row).alias("doc_id"), F.col(code).alias("code")), distance, range_codes)
     folder = _shared.shared_folder(docs.sparkSession, "stay")
 
     def write(key, group):
@@ -322,8 +337,7 @@ def one_of_each(docs: DataFrame, **parameters) -> DataFrame:
                 mask[own] = (maps[split][places[own] >> 3] >> (7 - (places[own] & 7))) & 1
             yield batch.filter(pa.array(mask)).drop_columns([row])
 
-    _shared.bounded_arrow(docs.sparkSession)
-    return table.mapInArrow(keep, docs.schema)
+    return table.drop(code).mapInArrow(keep, docs.schema)
 
 
 def _linked(roots: DataFrame) -> DataFrame:
