@@ -88,8 +88,8 @@ def average_precision(preds: DataFrame, truths: DataFrame, thresholds: Sequence[
     right = Window.partitionBy(*kinds, "threshold").orderBy(*order).rowsBetween(Window.currentRow, Window.unboundedFollowing)
     curve = curve.withColumn("envelope", F.max("precision").over(right))
     # each recall mark takes the envelope of the first point that reaches it: a point serves the marks since its predecessor
-    before = F.coalesce(F.lag("recall").over(along), F.lit(-1.0))
-    marks = F.floor(F.col("recall") * 100 + 1e-9) - F.floor(before * 100 + 1e-9)
+    reached = F.floor(F.col("recall") * 100 + 1e-9)
+    marks = reached - F.coalesce(F.lag(reached).over(along), F.lit(-1))
     area_under = curve.withColumn("marks", marks).groupBy(*kinds, "threshold").agg((F.sum(F.col("marks") * F.col("envelope")) / 101).alias("ap"), F.max("recall").alias("ar"))
     base = (n if kinds else n.where("n > 0")).withColumn("threshold", each)
     return base.join(area_under, [*kinds, "threshold"], "left").select(*kinds, "threshold", *[F.when(F.col("n") == 0, -1.0).otherwise(F.coalesce(c, F.lit(0.0))).alias(c) for c in ("ap", "ar")])

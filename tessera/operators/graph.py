@@ -2,19 +2,37 @@
 
 Each round is a plan of joins and windows; its result is written to the shared
 folder, so plans don't grow with the rounds and a lost executor costs one round.
+Rounds follow the longest chain of decisions, and the last of them are over few
+edges. Once no more than ``small`` edges are left, which is counted, one task works
+them off in order; the result is the same.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans.storage import settle
 
+#: Edges that one task may hold: some tens of megabytes.
+SMALL = 200_000
 
-def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+
+def _whole(df: DataFrame, work, schema) -> DataFrame:
+    """``work`` over all rows, which are known to be few, in the order that they have in their only partition."""
+
+    def run(batches):
+        held = list(batches)
+        if held:
+            yield work(pd.concat(held, ignore_index=True))
+
+    return df.mapInPandas(run, schema)
+
+
+def connected_components(edges: DataFrame, a: str = "a", b: str = "b", small: int = SMALL) -> DataFrame:
     """node, component of every node with an edge; a component's name is its smallest node.
 
     Large-star and small-star contractions: rounds grow with the logarithm of a
@@ -23,6 +41,9 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     links = settle(edges.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).where("a <> b").distinct(), "edges")
     before = None
     while True:
+        if links.count() <= small:
+            kind = links.schema["a"].dataType.simpleString()
+            return _whole(links.repartition(1), _components, f"node {kind}, component {kind}")
         both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.join(least, "a").where("b > a and b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
@@ -37,7 +58,21 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     return roots.select(F.col("a").alias("node"), "component").union(roots.select(F.col("component").alias("node"), "component").distinct())
 
 
-def greedy_match(edges: DataFrame, order: Sequence, by: Sequence[str] = (), a: str = "a", b: str = "b") -> DataFrame:
+def _components(edges: pd.DataFrame) -> pd.DataFrame:
+    parent: dict = {}
+
+    def find(n):
+        while parent.setdefault(n, n) != n:
+            parent[n] = n = parent[parent[n]]
+        return n
+
+    for x, y in zip(edges.a, edges.b, strict=True):
+        x, y = find(x), find(y)
+        parent[max(x, y)] = min(x, y)
+    return pd.DataFrame({"node": list(parent), "component": [find(n) for n in parent]})
+
+
+def greedy_match(edges: DataFrame, order: Sequence, by: Sequence[str] = (), a: str = "a", b: str = "b", small: int = SMALL) -> DataFrame:
     """The edges that a sequential greedy 1:1 assignment picks, within each group ``by``.
 
     order: columns that make a strict total order. An edge that comes first at both
@@ -47,7 +82,22 @@ def greedy_match(edges: DataFrame, order: Sequence, by: Sequence[str] = (), a: s
     left, picked, done = settle(edges, "candidates"), [], False
     at_a = Window.partitionBy(*by, a).orderBy(*order)
     at_b = Window.partitionBy(*by, b).orderBy(*order)
+
+
+    def in_order(rows: pd.DataFrame) -> pd.DataFrame:
+        used_a, used_b, kept = set(), set(), []
+        keys = list(zip(*(rows[c] for c in by), strict=True)) if by else [()] * len(rows)
+        for i, (k, x, y) in enumerate(zip(keys, rows[a], rows[b], strict=True)):
+            if (k, x) not in used_a and (k, y) not in used_b:
+                used_a.add((k, x))
+                used_b.add((k, y))
+                kept.append(i)
+        return rows.iloc[kept]
+
     while not done:
+        if left.count() <= small:
+            picked.append(_whole(left.repartition(1).sortWithinPartitions(*order), in_order, left.schema))
+            break
         first = left.withColumn("_a", F.row_number().over(at_a)).withColumn("_b", F.row_number().over(at_b)).where("_a = 1 and _b = 1").drop("_a", "_b")
         taken = settle(first, "picked")
         picked.append(taken)
@@ -60,14 +110,30 @@ def greedy_match(edges: DataFrame, order: Sequence, by: Sequence[str] = (), a: s
     return out
 
 
-def greedy_suppress(edges: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def greedy_suppress(edges: DataFrame, by: Sequence[str] = (), small: int = SMALL) -> DataFrame:
     """The nodes that greedy suppression drops: ``by`` and lo. Edges lead from the better node hi to the worse one lo.
 
     A node that no live better neighbour can drop is kept, and drops its worse
     neighbours; edges of dropped nodes die. All others wait for the next round.
     """
     left, dropped = settle(edges.select(*by, "hi", "lo"), "conflicts"), []
-    while not left.isEmpty():
+
+
+    def in_rounds(rows: pd.DataFrame) -> pd.DataFrame:
+        names, lost = [*by, "lo"], []
+        rows = rows.assign(_hi=list(zip(*(rows[c] for c in (*by, "hi")), strict=True)), _lo=list(zip(*(rows[c] for c in names), strict=True)))
+        while len(rows):
+            falls = rows[~rows._hi.isin(set(rows._lo))].drop_duplicates("_lo")
+            lost.append(falls[names])
+            gone = set(falls._lo)
+            rows = rows[~rows._lo.isin(gone) & ~rows._hi.isin(gone)]
+        return pd.concat(lost, ignore_index=True) if lost else rows[names]
+
+    while n := left.count():
+        if n <= small:
+            dropped.append(_whole(left.repartition(1), in_rounds, left.select(*by, "lo").schema))
+            left = left.limit(0)
+            break
         tops = left.select(*by, F.col("hi").alias("node")).distinct().join(left.select(*by, F.col("lo").alias("node")), [*by, "node"], "left_anti")
         lost = settle(left.join(tops.withColumnRenamed("node", "hi"), [*by, "hi"]).select(*by, "lo").distinct(), "dropped")
         dropped.append(lost)
