@@ -130,13 +130,15 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, cell_pieces: int = CELL_PI
     Offsets of a sequence begin with 0 and leave no gap; nothing is dropped or
     cut. Repeated rows are pieces of their own. An empty table stays empty.
     """
-    given = pieces.columns
-    table = _shared.through_table(pieces, "pieces").withColumn("_row", F.monotonically_increasing_id())
+    given, row = pieces.columns, "_row"
+    while row in given:
+        row = f"_{row}"
+    table = _shared.through_table(pieces, "pieces").withColumn(row, F.monotonically_increasing_id())
     whole = table.where(F.col("length") >= capacity)
     rest = table.where(F.col("length") < capacity)
     cells_n = max(1, -(-rest.count() // cell_pieces))
     item = F.struct(*[F.col(c) for c in given])
-    cells = rest.groupBy(F.pmod(F.xxhash64("_row"), F.lit(cells_n)).alias("cell")).agg(F.collect_list(item).alias("items"))
+    cells = rest.groupBy(F.pmod(F.xxhash64(row), F.lit(cells_n)).alias("cell")).agg(F.collect_list(item).alias("items"))
     cells = _shared.through_table(cells, "cells")
 
     def island_epoch(batches):
@@ -179,7 +181,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, cell_pieces: int = CELL_PI
     placed = cells.join(best, "cell").select("cell", F.transform("items", lambda x: x["length"].cast("int")).alias("size"), "bins").mapInArrow(offsets, "cell long, bins array<long>, places array<long>")
     out = cells.join(placed, "cell").select("cell", F.explode(F.arrays_zip("items", "bins", "places")).alias("x"))
     packed = out.select(*[F.col(f"x.items.`{c}`").alias(c) for c in given], (F.col("cell") * F.lit(1 << 24) + F.col("x.bins")).alias("sequence_id"), F.col("x.places").alias("offset"))
-    alone = whole.select(*given, (-1 - F.col("_row")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    alone = whole.select(*given, (-1 - F.col(row)).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     return packed.unionByName(alone)
 
 

@@ -67,6 +67,47 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_exact_top_k, op2_bpe, op3_language_model, op4_language, op5_main_text, op6_quality, op7_line_frequency, op8_simhash, op9_licences, op10_packing)}
 
 
+_WORDS = "[^ \\t\\n\\x0b\\x0c\\r]+"
+
+
+def _line_frequency_sql() -> str:
+    return f"""
+        WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(source, '') AS host, coalesce(text, '') AS text FROM documents),
+        w AS (SELECT *, regexp_extract_all(text, '{_WORDS}') AS words FROM d),
+        windows AS (SELECT rid, i, count(*) OVER (PARTITION BY rid, words[i], words[i + 1], words[i + 2]) AS n
+                    FROM (SELECT rid, words, unnest(generate_series(1, len(words) - 2)) AS i FROM w WHERE len(words) > 2) q),
+        again AS (SELECT rid, count(DISTINCT i + k) AS n_repeat_words FROM windows, (VALUES (0), (1), (2)) t(k) WHERE n > 1 GROUP BY rid),
+        lines AS (SELECT rid, host, text, line, len(regexp_extract_all(line, '{_WORDS}')) AS words,
+                         regexp_replace(trim(regexp_replace(lower(line), '\\s+', ' ', 'g')), '[0-9]+', '0', 'g') AS norm
+                  FROM (SELECT rid, host, text, unnest(string_split(text, chr(10))) AS line FROM d) q WHERE regexp_matches(line, '{_WORDS}')),
+        dups AS (SELECT rid, count(*) - count(DISTINCT line) AS n_dup_lines FROM lines GROUP BY rid),
+        common AS (SELECT host, norm FROM lines GROUP BY host, norm HAVING count(DISTINCT text) > {linefreq.LIMIT}),
+        cut AS (SELECT rid, sum(words) AS removed_words FROM lines JOIN common USING (host, norm) GROUP BY rid),
+        m AS (SELECT doc_id, len(words) AS n_words, coalesce(list_sum(list_transform(words, lambda x: length(x))), 0) AS word_chars,
+                     length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+                     coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(removed_words, 0) AS removed_words
+              FROM w LEFT JOIN again USING (rid) LEFT JOIN dups USING (rid) LEFT JOIN cut USING (rid))
+        SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
+               CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, CAST(removed_words AS BIGINT) AS removed_words,
+               n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+               NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND n_words - removed_words >= {linefreq.KEPT_SHARE} * n_words AS kept FROM m"""
+
+
+def _licences_sql() -> str:
+    words = lambda x: "[" + ", ".join(f"'{w}'" for w in x) + "]"
+    rows = ", ".join(f"('{t.label}', {words(t.words)}, {t.key[0]}, {words(t.words[slice(*t.key)])}, {str(t.base).lower()})" for t in licences.templates())
+    return f"""
+        WITH t(label, words, place, key, base) AS (VALUES {rows}),
+        d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+        p AS (SELECT rid, w, unnest(generate_series(1, len(w))) AS i FROM d),
+        f AS (SELECT rid, label, base, t.words, w, i - 1 - place AS start FROM p JOIN t ON p.w[p.i] = t.key[1] WHERE w[i:i + len(key) - 1] = key),
+        m AS (SELECT *, list_sum(list_transform(generate_series(1, len(words)), lambda j: CASE WHEN start + j >= 1 AND w[start + j] = words[j] THEN 1 ELSE 0 END)) / len(words) AS share FROM f),
+        g AS (SELECT rid, count(*) FILTER (base) AS n_base, min(start) FILTER (base) AS first_word, max(start) FILTER (base) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels,
+                     string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS score FROM m WHERE share >= {licences.COVERAGE} GROUP BY rid)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
+               coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, CAST(coalesce(score, 0) AS DOUBLE) AS score FROM d LEFT JOIN g USING (rid)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_exact_top_k": """
@@ -79,4 +120,6 @@ def oracle_sql() -> dict[str, str]:
               FROM v q JOIN v d ON q.vec_id % 50 = 0 AND q.vec_id <> d.vec_id),
             r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
             SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5""",
+        "op7_line_frequency": _line_frequency_sql(),
+        "op9_licences": _licences_sql(),
     }
