@@ -64,7 +64,7 @@ def stub_detector(size: int = 100, most: int = 4) -> Callable[[str], list[tuple]
     return detect
 
 
-@SEGMENTERS.register("sam", "sam2", "sam3", "unet_treecrown", "mask_rcnn_detectron2", "mask2former_detrex")
+@SEGMENTERS.register("sam", "sam2", "sam3", "unet_treecrown", "detectree2", "mask_rcnn_detectron2", "mask2former_detrex")
 def stub_segmenter(shrink: float = 0.1) -> Callable[[tuple], tuple]:
     """A box inside the given one, and a score."""
 

@@ -60,7 +60,7 @@ def gamma(value: Column, by: float = 1 / 2.2) -> Column:
     return F.pow(F.least(F.greatest(value, F.lit(0.0)), F.lit(1.0)), F.lit(by))
 
 
-def sigmoid_contrast(value: Column, strength: float = 1.0, cutoff: float = 0.5) -> Column:
+def sigmoid_contrast(value: Column, strength: float = 0.5, cutoff: float = 0.5) -> Column:
     return 1 / (1 + F.exp((8.0 * strength + 2.0) * (cutoff - value)))
 
 
@@ -76,7 +76,7 @@ def shifted_byte(value: Column) -> Column:
 
 def blend(a: Column, b: Column, share: float = 0.6) -> Column:
     """Bytes blended by fixed shares, truncated."""
-    return F.least(F.greatest(F.floor(a * share + b * (1 - share)), F.lit(0)), F.lit(255)).cast("int")
+    return F.least(F.greatest(a * share + b * (1.0 - share), F.lit(0.0)), F.lit(255.0)).cast("int")
 
 
 def sigmoid(value: Column) -> Column:

@@ -9,15 +9,21 @@ from pyspark.sql import functions as F
 
 from ..functions import raster as r
 
-#: Pixel band roles of camera profiles, from 0, and other names of the profiles.
+_FIVE = {"blue": 0, "green": 1, "red": 2, "red_edge": 3, "nir": 4}
+#: Band numbers by role of camera profiles, from 0, and other names of the profiles.
 PROFILES = {
-    "micasense_rededge": {"blue": 0, "green": 1, "red": 2, "red_edge": 3, "nir": 4},
-    "micasense_altum": {"blue": 0, "green": 1, "red": 2, "red_edge": 3, "nir": 4},
-    "micasense_dual": {"blue": 0, "green": 1, "red": 2, "red_edge": 3, "nir": 4, "coastal_blue": 5, "green_531": 6, "red_650": 7, "red_edge_705": 8, "red_edge_740": 9},
-    "dji_p4_multispectral": {"blue": 0, "green": 1, "red": 2, "red_edge": 3, "nir": 4},
-    "parrot_sequoia": {"green": 0, "red": 1, "red_edge": 2, "nir": 3},
+    "micasense_altum": _FIVE,
+    "micasense_rededge_mx": _FIVE,
+    "micasense_rededge_mx_dual": _FIVE,
+    "micasense_altum_pt": _FIVE,
+    "dji_p4_multispectral": _FIVE,
 }
-ALIASES = {"rededge": "micasense_rededge", "altum": "micasense_altum", "dual": "micasense_dual", "p4m": "dji_p4_multispectral", "sequoia": "parrot_sequoia", "micasense": "micasense_rededge"}
+ALIASES = {"altum": "micasense_altum", "rededge_mx": "micasense_rededge_mx", "mx_dual": "micasense_rededge_mx_dual", "rededge_mx_dual": "micasense_rededge_mx_dual", "altum_pt": "micasense_altum_pt", "p4_multispectral": "dji_p4_multispectral"}
+#: The means and deviations, in bytes, that a white balance aims at.
+TARGET_MEANS = {"red": 73.1, "green": 88.2, "blue": 44.0}
+TARGET_STDS = {"red": 55.2, "green": 58.2, "blue": 37.1}
+#: Which simple methods a composite one is made of.
+COMPOSITES = {"blend_wb_sc": ("gamma_wb", "scurve"), "stat_wt": ("linear", "gamma", "white_balance", "gamma_wb", "scurve")}
 
 
 def profile_table(spark) -> DataFrame:
@@ -30,7 +36,7 @@ def profile_table(spark) -> DataFrame:
 def resolve_bands(requests: DataFrame, profiles: DataFrame) -> DataFrame:
     """Adds band: the request's own number if it has one, else the profile's for the role, names in any case."""
     dimension = profiles.select(F.col("profile").alias("_profile"), F.col("role").alias("_role"), F.col("band").alias("_band"))
-    on = (F.lower("profile") == F.col("_profile")) & (F.lower("role") == F.col("_role"))
+    on = (F.lower(F.trim("profile")) == F.col("_profile")) & (F.lower("role") == F.col("_role"))
     return requests.join(F.broadcast(dimension), on, "left").withColumn("band", F.coalesce("user_band", "_band")).drop("_profile", "_role", "_band")
 
 
@@ -52,36 +58,54 @@ def stretched(pixels: DataFrame, bands: Sequence[str], by: Sequence[str] = ("til
     return joined.withColumns({b: r.stretch(F.col(b), F.col(f"{b}_low"), F.col(f"{b}_high")) for b in bands}).select(*pixels.columns)
 
 
-def white_balanced(pixels: DataFrame, bands: Sequence[str], by: Sequence[str] = ("tile",), target: float = 0.5, spread: float = 0.2) -> DataFrame:
-    """Each band moved to one mean and deviation, cut to 0..1."""
-    stats = pixels.groupBy(*by).agg(*[e for b in bands for e in (F.avg(b).alias(f"{b}_mean"), F.stddev_pop(b).alias(f"{b}_std"))])
-    moved = {b: F.least(F.greatest((F.col(b) - F.col(f"{b}_mean")) / (F.col(f"{b}_std") + 1e-9) * spread + target, F.lit(0.0)), F.lit(1.0)) for b in bands}
-    return pixels.join(stats, list(by)).withColumns(moved).select(*pixels.columns)
+def as_bytes(pixels: DataFrame, bands: Sequence[str]) -> DataFrame:
+    return pixels.withColumns({b: r.to_byte(r.finite(F.col(b))) for b in bands})
+
+
+def white_balanced(pixels: DataFrame, bands: Sequence[str], by: Sequence[str] = ("tile",), means: dict[str, float] = TARGET_MEANS, stds: dict[str, float] = TARGET_STDS) -> DataFrame:
+    """Each band is stretched, then moved to the target mean and deviation; bytes, cut off and truncated."""
+    full = stretched(pixels, bands, by).withColumns({b: F.col(b) * 255.0 for b in bands})
+    stats = full.groupBy(*by).agg(*[e for b in bands for e in (F.avg(b).alias(f"{b}_mean"), F.stddev_pop(b).alias(f"{b}_std"))])
+    moved = {b: F.least(F.greatest((F.col(b) - F.col(f"{b}_mean")) * (stds[b] / (F.col(f"{b}_std") + 1e-9)) + means[b], F.lit(0.0)), F.lit(255.0)).cast("int") for b in bands}
+    return full.join(stats, list(by)).withColumns(moved).select(*pixels.columns)
 
 
 def enhancements(pixels: DataFrame, methods: Sequence[str], bands: Sequence[str] = ("red", "green", "blue"), by: Sequence[str] = ("tile",)) -> DataFrame:
-    """A row per method and pixel. Composite methods are built on the plans of the simple ones."""
+    """A row of bytes per method and pixel. Composite methods are built on the plans of the simple ones."""
     plans: dict[str, DataFrame] = {}
 
-    def plan(name: str) -> DataFrame:
-        if name in plans:
-            return plans[name]
+    def made(name: str) -> DataFrame:
+        linear = stretched(pixels, bands, by)
         if name == "linear":
-            out = stretched(pixels, bands, by)
-        elif name == "gamma":
-            out = plan("linear").withColumns({b: r.gamma(F.col(b)) for b in bands})
-        elif name == "sigmoid":
-            out = plan("linear").withColumns({b: r.sigmoid_contrast(F.col(b)) for b in bands})
-        elif name == "white_balance":
-            out = white_balanced(plan("linear"), bands, by)
-        elif name == "gamma_wb":
-            out = white_balanced(stretched(plan("gamma"), bands, by), bands, by)
-        elif name == "cir":
-            out = stretched(pixels.withColumns({"red": F.col("nir"), "green": F.col("red"), "blue": F.col("green")}), bands, by)
-        else:
-            raise ValueError(f"no enhancement {name}")
-        plans[name] = out
-        return out
+            return as_bytes(linear, bands)
+        if name == "gamma":
+            return as_bytes(linear.withColumns({b: r.gamma(F.col(b)) for b in bands}), bands)
+        if name == "white_balance":
+            return white_balanced(pixels, bands, by)
+        if name == "gamma_wb":
+            return white_balanced(linear.withColumns({b: r.gamma(F.col(b)) for b in bands}), bands, by)
+        if name == "scurve":
+            return as_bytes(linear.withColumns({b: r.sigmoid_contrast(F.col(b)) for b in bands}), bands)
+        if name == "cir":
+            if "nir" not in pixels.columns:
+                raise ValueError("cir needs a nir band")
+            return as_bytes(stretched(pixels.withColumns({"red": F.col("nir"), "green": F.col("red"), "blue": F.col("green")}), bands, by), bands)
+        if name == "blend_wb_sc":
+            first, second = plan("gamma_wb"), plan("scurve").select(*by, "row", "col", *[F.col(b).alias(f"_{b}") for b in bands])
+            return first.join(second, [*by, "row", "col"]).withColumns({b: r.blend(F.col(b), F.col(f"_{b}")) for b in bands}).select(*pixels.columns)
+        if name == "stat_wt":
+            images = None
+            for source in COMPOSITES[name]:
+                own = plan(source).withColumn("method", F.lit(source))
+                images = own if images is None else images.unionByName(own)
+            rest = [c for c in pixels.columns if c not in (*by, "row", "col", *bands)]
+            return statistic_blend(images, bands, by).join(pixels.select(*by, "row", "col", *rest), [*by, "row", "col"]).select(*pixels.columns)
+        raise ValueError(f"no enhancement {name}")
+
+    def plan(name: str) -> DataFrame:
+        if name not in plans:
+            plans[name] = made(name)
+        return plans[name]
 
     out = None
     for name in methods:
@@ -90,18 +114,31 @@ def enhancements(pixels: DataFrame, methods: Sequence[str], bands: Sequence[str]
     return out
 
 
-def statistic_blend(images: DataFrame, bands: Sequence[str], by: Sequence[str] = ("tile",), target_mean: float = 0.5, target_std: float = 0.2) -> DataFrame:
-    """The methods' pixels, weighted by how near each method's statistics are to the target; one row per pixel."""
-    stats = images.groupBy(*by, "method").agg(*[e for b in bands for e in (F.avg(b).alias(f"{b}_m"), F.stddev_pop(b).alias(f"{b}_s"))])
-    weights = stats.select(*by, "method", *[(1 / (F.abs(F.col(f"{b}_m") - target_mean) + F.abs(F.col(f"{b}_s") - target_std) + 1e-6)).alias(f"{b}_w") for b in bands])
+def statistic_blend(images: DataFrame, bands: Sequence[str], by: Sequence[str] = ("tile",), means: dict[str, float] = TARGET_MEANS, stds: dict[str, float] = TARGET_STDS) -> DataFrame:
+    """The methods' bytes, weighted by how near each method's statistics are to the target; one row per pixel.
+
+    Statistics are of the pixels that are positive in all bands; the distance is the
+    sum of the squared relative differences of means and deviations. A method without
+    such a pixel weighs next to nothing.
+    """
+    positive = F.lit(True)
+    for b in bands:
+        positive = positive & (F.col(b) > 0)
+    own = lambda b: F.when(positive, F.col(b).cast("double"))
+    stats = images.groupBy(*by, "method").agg(*[e for b in bands for e in (F.avg(own(b)).alias(f"{b}_m"), F.stddev_pop(own(b)).alias(f"{b}_s"))])
+    far = F.lit(0.0)
+    for b in bands:
+        far = far + F.pow((F.col(f"{b}_m") - means[b]) / (means[b] + 1e-9), F.lit(2.0)) + F.pow((F.col(f"{b}_s") - stds[b]) / (stds[b] + 1e-9), F.lit(2.0))
+    weights = stats.select(*by, "method", F.coalesce(1 / (far + 1e-6), F.lit(1e-9)).alias("_w"))
     joined = images.join(weights, [*by, "method"])
-    return joined.groupBy(*by, "row", "col").agg(*[(F.sum(F.col(b) * F.col(f"{b}_w")) / F.sum(f"{b}_w")).alias(b) for b in bands])
+    mixed = lambda b: F.least(F.greatest(F.sum(F.col(b) * F.col("_w")) / F.sum("_w") + 1e-9, F.lit(0.0)), F.lit(255.0)).cast("int")  # noqa: E731  equal bytes stay what they are
+    return joined.groupBy(*by, "row", "col").agg(*[mixed(b).alias(b) for b in bands])
 
 
 def min_max_byte(pixels: DataFrame, value: str, by: Sequence[str] = ("tile",)) -> DataFrame:
     """A value per group from 0 to 255; zero where it doesn't vary."""
     stats = pixels.groupBy(*by).agg(F.min(value).alias("_low"), F.max(value).alias("_high"))
-    scaled = F.when(F.col("_high") - F.col("_low") > 1e-8, (F.col(value) - F.col("_low")) / (F.col("_high") - F.col("_low"))).otherwise(0.0)
+    scaled = F.when(F.col("_high") > F.col("_low"), (F.col(value) - F.col("_low")) / (F.col("_high") - F.col("_low"))).otherwise(0.0)
     return pixels.join(stats, list(by)).withColumn(value, r.to_byte(scaled)).drop("_low", "_high")
 
 

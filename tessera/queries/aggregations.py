@@ -211,22 +211,27 @@ def _(s, d):
     return imagery.band_statistics(view(s, d, "bands"), ["red"])
 
 
-@query("agg26_white_balance", duck("bands") + f', q AS (SELECT tile, avg(red) AS m, stddev_pop(red) AS sd FROM bands GROUP BY tile) SELECT tile, "row", col, {r("least(greatest((red - m) / (sd + 1e-9) * 0.2 + 0.5, 0), 1)")} AS red FROM bands JOIN q USING (tile)')
+WB = """sq AS (SELECT tile, quantile_cont(red, 0.02) AS lo, quantile_cont(red, 0.98) AS hi FROM {src} GROUP BY tile), sl AS (SELECT tile, "row", col, least(greatest((red - lo) / (hi - lo + 1e-9), 0), 1) * 255.0 AS red FROM {src} JOIN sq USING (tile)),
+    sm AS (SELECT tile, avg(red) AS m, stddev_pop(red) AS sd FROM sl GROUP BY tile), wb AS (SELECT tile, "row", col, trunc(least(greatest((red - m) * (55.2 / (sd + 1e-9)) + 73.1, 0), 255)) AS red FROM sl JOIN sm USING (tile))"""
+
+
+@query("agg26_white_balance", duck("bands") + f', {WB.format(src="bands")} SELECT tile, "row", col, red FROM wb')
 def _(s, d):
     return imagery.white_balanced(view(s, d, "bands"), ["red"]).select("tile", "row", "col", "red")
 
 
-BLEND = duck("bands") + ", i AS (SELECT tile, \"row\", col, 1 AS method, red FROM bands UNION ALL SELECT tile, \"row\", col, 2, nir FROM bands), w AS (SELECT tile, method, 1 / (abs(avg(red) - 0.5) + abs(stddev_pop(red) - 0.2) + 1e-6) AS w FROM i GROUP BY tile, method) "
+BLEND = duck("bands") + """, i AS (SELECT tile, "row", col, 1 AS method, trunc(red * 255.0) AS red FROM bands UNION ALL SELECT tile, "row", col, 2, trunc(nir * 255.0) FROM bands),
+    w AS (SELECT tile, method, 1 / (pow((avg(red) FILTER (red > 0) - 73.1) / (73.1 + 1e-9), 2) + pow((stddev_pop(red) FILTER (red > 0) - 55.2) / (55.2 + 1e-9), 2) + 1e-6) AS w FROM i GROUP BY tile, method) """
 
 
-@query("agg27_statistic_blend", BLEND + f'SELECT tile, "row", col, {r("sum(red * w) / sum(w)")} AS red FROM i JOIN w USING (tile, method) GROUP BY tile, "row", col')
+@query("agg27_statistic_blend", BLEND + 'SELECT tile, "row", col, trunc(sum(red * w) / sum(w) + 1e-9) AS red FROM i JOIN w USING (tile, method) GROUP BY tile, "row", col')
 def _(s, d):
     b = view(s, d, "bands")
-    both = b.select("tile", "row", "col", F.lit("a").alias("method"), "red").union(b.select("tile", "row", "col", F.lit("b"), "nir"))
+    both = b.select("tile", "row", "col", F.lit("a").alias("method"), ras.to_byte(F.col("red")).alias("red")).union(b.select("tile", "row", "col", F.lit("b"), ras.to_byte(F.col("nir"))))
     return imagery.statistic_blend(both, ["red"])
 
 
-@query("agg28_min_max_byte", duck("bands") + ', q AS (SELECT tile, min(nir) AS lo, max(nir) AS hi FROM bands GROUP BY tile) SELECT tile, "row", col, CAST(trunc(least(greatest(CASE WHEN hi - lo > 1e-8 THEN (nir - lo) / (hi - lo) ELSE 0 END * 255.0, 0), 255)) AS BIGINT) AS nir FROM bands JOIN q USING (tile)')
+@query("agg28_min_max_byte", duck("bands") + ', q AS (SELECT tile, min(nir) AS lo, max(nir) AS hi FROM bands GROUP BY tile) SELECT tile, "row", col, CAST(trunc(least(greatest(CASE WHEN hi > lo THEN (nir - lo) / (hi - lo) ELSE 0 END * 255.0, 0), 255)) AS BIGINT) AS nir FROM bands JOIN q USING (tile)')
 def _(s, d):
     return imagery.min_max_byte(view(s, d, "bands"), "nir").select("tile", "row", "col", "nir")
 

@@ -28,9 +28,9 @@ def _(s, d):
     return tiling.labelled(tile_boxes(s, d), view(s, d, "truth"), 0.6, 100.0).select(F.col("a_tile").alias("tile"), F.col("b_truth").alias("truth"), "x0")
 
 
-@query("cmp02_enhancer", duck("bands") + f", q AS (SELECT tile, quantile_cont(nir, 0.02) AS lo, quantile_cont(nir, 0.98) AS hi FROM bands GROUP BY tile) SELECT tile, 'cir' AS method, {r('avg(least(greatest((nir - lo) / (hi - lo + 1e-9), 0), 1))')} AS red FROM bands JOIN q USING (tile) GROUP BY tile")
+@query("cmp02_enhancer", duck("bands") + f", q AS (SELECT tile, quantile_cont(nir, 0.02) AS lo, quantile_cont(nir, 0.98) AS hi FROM bands GROUP BY tile) SELECT tile, 'cir' AS method, sum(trunc(least(greatest((nir - lo) / (hi - lo + 1e-9), 0), 1) * 255.0)) AS red FROM bands JOIN q USING (tile) GROUP BY tile")
 def _(s, d):
-    return imagery.enhancements(view(s, d, "bands"), ["cir"]).groupBy("tile", "method").agg(F.avg("red").alias("red"))
+    return imagery.enhancements(view(s, d, "bands"), ["cir"]).groupBy("tile", "method").agg(F.sum("red").alias("red"))
 
 
 def detections(s, d, model="faster_rcnn"):

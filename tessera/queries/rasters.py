@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from ..functions import raster as ras
 from ..operators import imagery
 from ..views import duck, table, view
+from .aggregations import WB
 from .registry import query, r
 
 KEY = 'tile, "row", col'
@@ -54,12 +55,12 @@ def _(s, d):
     return view(s, d, "bands").select("tile", "row", "col", ras.gamma(F.col("red")).alias("red"))
 
 
-@query("ras12_gamma_white_balance", duck("bands") + f", {STRETCH}, g AS (SELECT {KEY}, pow(red, 1 / 2.2) AS red FROM l), q2 AS (SELECT tile, quantile_cont(red, 0.02) AS lo, quantile_cont(red, 0.98) AS hi FROM g GROUP BY tile), l2 AS (SELECT {KEY}, least(greatest((red - lo) / (hi - lo + 1e-9), 0), 1) AS red FROM g JOIN q2 USING (tile)), m AS (SELECT tile, avg(red) AS m, stddev_pop(red) AS sd FROM l2 GROUP BY tile) SELECT {KEY}, {r('least(greatest((red - m) / (sd + 1e-9) * 0.2 + 0.5, 0), 1)')} AS red FROM l2 JOIN m USING (tile)")
+@query("ras12_gamma_white_balance", duck("bands") + f", {STRETCH}, g AS (SELECT {KEY}, pow(red, 1 / 2.2) AS red FROM l), {WB.format(src='g')} SELECT {KEY}, red FROM wb")
 def _(s, d):
     return imagery.enhancements(view(s, d, "bands"), ["gamma_wb"], ["red"]).select("tile", "row", "col", "red")
 
 
-@query("ras13_sigmoid", duck("bands") + f"SELECT {KEY}, {r('1 / (1 + exp(10 * (0.5 - red)))')} AS red FROM bands")
+@query("ras13_sigmoid", duck("bands") + f"SELECT {KEY}, {r('1 / (1 + exp(6 * (0.5 - red)))')} AS red FROM bands")
 def _(s, d):
     return view(s, d, "bands").select("tile", "row", "col", ras.sigmoid_contrast(F.col("red")).alias("red"))
 
@@ -69,7 +70,7 @@ def _(s, d):
     return view(s, d, "bands").select("tile", "row", "col", F.col("nir").alias("red"), F.col("red").alias("green"), F.col("green").alias("blue"))
 
 
-@query("ras15_fixed_blend", duck("bands") + f"SELECT {KEY}, floor(floor(red * 255) * 0.6 + floor(nir * 255) * 0.4) AS value FROM bands")
+@query("ras15_fixed_blend", duck("bands") + f"SELECT {KEY}, trunc(floor(red * 255) * 0.6 + floor(nir * 255) * (1.0 - 0.6)) AS value FROM bands")
 def _(s, d):
     return view(s, d, "bands").select("tile", "row", "col", ras.blend(F.floor(F.col("red") * 255), F.floor(F.col("nir") * 255)).alias("value"))
 
@@ -79,9 +80,17 @@ def _(s, d):
     return view(s, d, "bands").select("tile", "row", "col", ras.to_byte(F.col("red")).alias("value"))
 
 
-@query("ras17_enhancements", duck("bands") + f", {STRETCH} SELECT method, tile, {r('avg(red)')} AS red FROM (SELECT 'linear' AS method, tile, red FROM l UNION ALL SELECT 'gamma', tile, pow(red, 1 / 2.2) FROM l UNION ALL SELECT 'sigmoid', tile, 1 / (1 + exp(10 * (0.5 - red))) FROM l) x GROUP BY method, tile")
+SIMPLE = "x AS (SELECT 'linear' AS method, tile, \"row\", col, trunc(red * 255) AS red FROM l UNION ALL SELECT 'gamma', tile, \"row\", col, trunc(pow(red, 1 / 2.2) * 255) FROM l UNION ALL SELECT 'scurve', tile, \"row\", col, trunc(255 / (1 + exp(6 * (0.5 - red)))) FROM l)"
+
+
+@query("ras17_enhancements", duck("bands") + f", {STRETCH}, {SIMPLE} SELECT method, tile, sum(red) AS red FROM x GROUP BY method, tile")
+def _(s, d):
+    return imagery.enhancements(view(s, d, "bands"), ["linear", "gamma", "scurve"], ["red"]).groupBy("method", "tile").agg(F.sum("red").alias("red"))
+
+
+@query("ras17_composites")
 def _(s, d):
-    return imagery.enhancements(view(s, d, "bands"), ["linear", "gamma", "sigmoid"], ["red"]).groupBy("method", "tile").agg(F.avg("red").alias("red"))
+    return imagery.enhancements(view(s, d, "bands"), ["blend_wb_sc", "stat_wt"]).groupBy("method", "tile").agg(F.sum("red").alias("red"), F.count("*").alias("pixels"))
 
 
 @query("ras18_best_of_two", duck("det") + f"SELECT object_id, CASE WHEN segmenter_score > detector_score THEN 'ms' ELSE 'rgb' END AS source, {r('CASE WHEN segmenter_score > detector_score THEN segmenter_score ELSE detector_score END')} AS score FROM det")
@@ -119,10 +128,10 @@ def _(s, d):
     return p.groupBy("tile").agg(ras.dice(F.sum(F.col("mask") * F.col("truth")), F.sum("mask"), F.sum("truth")).alias("dice"), F.avg(ras.focal(F.col("value"), F.col("truth"))).alias("focal"))
 
 
-@query("ras23_camera_profiles", "SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN 7 WHEN p_partkey % 3 = 1 THEN 4 ELSE 3 END AS band FROM part")
+@query("ras23_camera_profiles", "SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN 7 ELSE 4 END AS band FROM part")
 def _(s, d):
     k = F.col("p_partkey") % 3
-    asked = table(s, d, "part").select("p_partkey", F.when(k == 2, "Sequoia").otherwise("RedEdge").alias("profile"), F.lit("NIR").alias("role"), F.when(k == 0, 7).alias("user_band"))
+    asked = table(s, d, "part").select("p_partkey", F.when(k == 2, " MX_Dual").otherwise("RedEdge_MX").alias("profile"), F.lit("NIR").alias("role"), F.when(k == 0, 7).alias("user_band"))
     return imagery.resolve_bands(asked, imagery.profile_table(s)).select("p_partkey", "band")
 
 

@@ -261,7 +261,7 @@ def test_vegetation_indices(spark):
 
 def test_bytes_are_cut_off(spark):
     assert one(spark, ras.to_byte(F.lit(0.999))) == 254 and one(spark, ras.to_byte(F.lit(2.0))) == 255
-    assert one(spark, ras.blend(F.lit(255), F.lit(0))) == 153
+    assert one(spark, ras.blend(F.lit(255), F.lit(0))) == 153 and one(spark, ras.sigmoid_contrast(F.lit(0.5))) == 0.5
 
 
 def test_votes_and_best_runs(spark):
@@ -272,6 +272,18 @@ def test_votes_and_best_runs(spark):
     assert imagery.best_run(scores, "k").first().run == 1
 
 
+def test_white_balance_reaches_its_target(spark):
+    rng = random.Random(4)
+    df = spark.createDataFrame([(0, y, x, rng.gauss(0.5, 0.1)) for y in range(30) for x in range(30)], "tile int, row int, col int, green double")
+    r = imagery.white_balanced(df, ["green"]).agg(F.avg("green").alias("m"), F.min("green").alias("low"), F.max("green").alias("high")).first()
+    assert abs(r.m - imagery.TARGET_MEANS["green"]) < 2 and 0 <= r.low and r.high <= 255
+
+
+def test_profiles(spark):
+    asked = spark.createDataFrame([(" Altum ", "NIR", None), ("mx_dual", "red", 7), ("unknown", "red", None)], "profile string, role string, user_band int")
+    assert sorted((r.profile.strip(), r.band) for r in imagery.resolve_bands(asked, imagery.profile_table(spark)).collect()) == [("Altum", 4), ("mx_dual", 7), ("unknown", None)]
+
+
 def test_missing_bands_raise(spark):
     df = spark.createDataFrame([(0, 1.0, 300.0, 2.0)], "tile int, red double, green double, blue double")
     with pytest.raises(ValueError):
