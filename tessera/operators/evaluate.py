@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import geometry as g
 from ..plans.storage import settle
 from .graph import greedy_match
+from .running import following_maximum, in_ranges, running_sums
 from .spatial import spatial_join
 
 
@@ -19,10 +20,12 @@ def rates(tp: Column, fp: Column, fn: Column) -> dict[str, Column]:
     return {"precision": p, "recall": r, "f1": g.ratio(2 * p * r, p + r)}
 
 
-def overlaps(preds: DataFrame, truths: DataFrame, cell: float, by: Sequence[str] = ()) -> DataFrame:
-    """by, pred, truth, iou of overlapping predictions and truths."""
-    pairs = spatial_join(preds, truths, cell, by)
-    return pairs.select(*[F.col(f"a_{c}").alias(c) for c in by], F.col("a_pred").alias("pred"), F.col("b_truth").alias("truth"), g.iou(g.box("a_"), g.box("b_")).alias("iou"))
+def overlaps(preds: DataFrame, truths: DataFrame, cell: float, by: Sequence[str] = (), pred: Sequence[str] = (), truth: Sequence[str] = ()) -> DataFrame:
+    """by, pred, truth, iou of overlapping predictions and truths; other columns of theirs come along as pred_* and truth_*."""
+    own, other = preds.select(*by, "pred", *pred, *g.SIDES), truths.select(*by, "truth", *truth, *g.SIDES)
+    pairs = spatial_join(own, other, cell, by)
+    more = [*[F.col(f"a_{c}").alias(f"pred_{c}") for c in pred], *[F.col(f"b_{c}").alias(f"truth_{c}") for c in truth]]
+    return pairs.select(*[F.col(f"a_{c}").alias(c) for c in by], F.col("a_pred").alias("pred"), F.col("b_truth").alias("truth"), g.iou(g.box("a_"), g.box("b_")).alias("iou"), *more)
 
 
 def evaluate(preds: DataFrame, truths: DataFrame, thresholds: Sequence[float], cell: float, gsd: float = 1.0, by: Sequence[str] = (), sizes: bool = True) -> DataFrame:
@@ -34,16 +37,18 @@ def evaluate(preds: DataFrame, truths: DataFrame, thresholds: Sequence[float], c
     Overlaps are computed once for all thresholds and sizes.
     """
     thresholds = sorted(set(thresholds))
-    sized = lambda df: df.withColumn("size", F.explode(F.array(F.lit("all"), g.size_label(g.area(g.box()), gsd))) if sizes else F.lit("all"))
-    p, t = settle(sized(preds), "preds"), settle(sized(truths), "truths")
+    label = g.size_label(g.area(g.box()), gsd)
+    p, t = preds.withColumn("size", label), truths.withColumn("size", label)
     each = F.explode(F.array(*map(F.lit, thresholds)))
-    edges = overlaps(preds, truths, cell, by).where(F.col("iou") >= thresholds[0])
-    edges = edges.join(p.select(*by, "pred", "score", "size"), [*by, "pred"]).join(t.select(*by, "truth", "size"), [*by, "truth", "size"])
-    edges = edges.withColumn("threshold", each).where("iou >= threshold")
+    edges = overlaps(p, t, cell, by, ["score", "size"], ["size"]).where(F.col("iou") >= thresholds[0])
+    both = F.array(F.lit("all"), F.col("pred_size"))
+    classes = F.when(F.col("pred_size") == F.col("truth_size"), both).otherwise(F.array(F.lit("all"))) if sizes else F.array(F.lit("all"))
+    edges = edges.select(*by, "pred", "truth", "iou", F.col("pred_score").alias("score"), F.explode(classes).alias("size")).withColumn("threshold", each).where("iou >= threshold")
     group = [*by, "size", "threshold"]
     hits = greedy_match(edges, [F.desc("score"), "pred", F.desc("iou"), "truth"], by=group, a="pred", b="truth").groupBy(*group).agg(F.count("*").alias("tp"))
     keys = [*by, "size"]
-    counts = p.groupBy(*keys).agg(F.count("*").alias("preds")).join(t.groupBy(*keys).agg(F.count("*").alias("truths")), keys, "full").withColumn("threshold", each)
+    sized = lambda df: df.withColumn("size", F.explode(F.array(F.lit("all"), "size") if sizes else F.array(F.lit("all")))).groupBy(*keys)
+    counts = sized(p).agg(F.count("*").alias("preds")).join(sized(t).agg(F.count("*").alias("truths")), keys, "full").withColumn("threshold", each)
     out = counts.join(hits, group, "left")
     tp = F.coalesce("tp", F.lit(0))
     out = out.select(*group, tp.alias("tp"), (F.coalesce("preds", F.lit(0)) - tp).alias("fp"), (F.coalesce("truths", F.lit(0)) - tp).alias("fn"))
@@ -72,24 +77,22 @@ def average_precision(preds: DataFrame, truths: DataFrame, thresholds: Sequence[
     best = settle(preds.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= most), "best")
     inside = g.area(g.box()).between(*area)
     truths = truths.withColumn("ignored", ~inside)
-    edges = overlaps(best, truths, cell, by).join(best.select(*by, "pred", "rank"), [*by, "pred"]).join(truths.select(*by, "truth", "ignored"), [*by, "truth"])
     each = F.explode(F.array(*map(F.lit, thresholds)))
+    edges = overlaps(best, truths, cell, by, ["rank"], ["ignored"]).withColumnsRenamed({"pred_rank": "rank", "truth_ignored": "ignored"})
     edges = edges.withColumn("threshold", each).where("iou >= threshold")
     hit = greedy_match(edges, ["rank", "ignored", F.desc("iou"), "truth"], by=[*by, "threshold"], a="pred", b="truth").select(*by, "threshold", "pred", "ignored")
     kinds = [c for c in by if c != image]
     all_preds = best.select(*by, "pred", "score", (~inside).alias("outside")).withColumn("threshold", each)
     judged = all_preds.join(hit, [*by, "threshold", "pred"], "left").where(~F.coalesce("ignored", F.col("outside")))
     judged = judged.withColumn("tp", F.col("ignored").isNotNull().cast("long"))
-    order = [F.desc("score"), image, "pred"]
-    along = Window.partitionBy(*kinds, "threshold").orderBy(*order)
+    group, order = [*kinds, "threshold"], [F.desc("score"), F.col(image), F.col("pred")]
     n = truths.where(~F.col("ignored")).groupBy(*kinds).agg(F.count("*").alias("n")) if kinds else truths.where(~F.col("ignored")).agg(F.count("*").alias("n"))
-    curve = judged.withColumn("hits", F.sum("tp").over(along)).withColumn("seen", F.row_number().over(along))
+    curve = running_sums(in_ranges(judged.select(*group, "score", image, "pred", "tp"), group, order), group, order, {"hits": F.col("tp"), "seen": F.lit(1).cast("long")})
     curve = (curve.join(F.broadcast(n), kinds) if kinds else curve.crossJoin(F.broadcast(n))).withColumn("precision", F.col("hits") / F.col("seen")).withColumn("recall", F.try_divide("hits", "n"))
-    right = Window.partitionBy(*kinds, "threshold").orderBy(*order).rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    curve = curve.withColumn("envelope", F.max("precision").over(right))
+    curve = following_maximum(curve, group, order, "precision", "envelope")
     # each recall mark takes the envelope of the first point that reaches it: a point serves the marks since its predecessor
-    reached = F.floor(F.col("recall") * 100 + 1e-9)
-    marks = reached - F.coalesce(F.lag(reached).over(along), F.lit(-1))
+    reached = lambda hits: F.floor(F.try_divide(hits, F.col("n")) * 100 + 1e-9)
+    marks = reached(F.col("hits")) - F.when(F.col("seen") == 1, -1).otherwise(reached(F.col("hits") - F.col("tp")))
     area_under = curve.withColumn("marks", marks).groupBy(*kinds, "threshold").agg((F.sum(F.col("marks") * F.col("envelope")) / 101).alias("ap"), F.max("recall").alias("ar"))
     base = (n if kinds else n.where("n > 0")).withColumn("threshold", each)
     return base.join(area_under, [*kinds, "threshold"], "left").select(*kinds, "threshold", *[F.when(F.col("n") == 0, -1.0).otherwise(F.coalesce(c, F.lit(0.0))).alias(c) for c in ("ap", "ar")])

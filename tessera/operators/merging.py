@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .fusion import numbered
+
 GEOMETRY = ("xmin", "ymin", "xmax", "ymax")
 
 
@@ -41,8 +43,8 @@ def fresh_ids(df: DataFrame, key: str, order: str) -> DataFrame:
     marked = df.withColumn("_again", (F.row_number().over(own) > 1) | F.col(key).isNull())
     largest = df.agg(F.coalesce(F.max(key), F.lit(-1)).cast("long").alias("_largest"))
     again = marked.where("_again").drop("_again")
-    numbered = again.withColumn("_n", F.row_number().over(Window.orderBy(order))).join(F.broadcast(largest)).withColumn(key, F.col("_largest") + F.col("_n")).drop("_n", "_largest")
-    return marked.where("not _again").drop("_again").unionByName(numbered.select(*df.columns))
+    more = numbered(again, order, "_n", 1).join(F.broadcast(largest)).withColumn(key, F.col("_largest") + F.col("_n"))
+    return marked.where("not _again").drop("_again").unionByName(more.select(*df.columns))
 
 
 def merge_result(result: DataFrame, existing: DataFrame | None, objects_are_new: bool = False, key: str | None = None) -> DataFrame:

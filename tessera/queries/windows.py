@@ -63,7 +63,7 @@ CUM = "c AS (SELECT tile, object_id, sum(CASE WHEN class = 'R' THEN 1 ELSE 0 END
 def _(s, d):
     w = Window.partitionBy("tile").orderBy(F.desc("detector_score"), "object_id")
     c = view(s, d, "det").withColumn("seen", F.row_number().over(w)).withColumn("precision", F.sum((F.col("class") == "R").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)) / F.col("seen"))
-    return c.select("tile", "object_id", "precision", F.max("precision").over(Window.partitionBy("tile").orderBy("seen").rowsBetween(0, Window.unboundedFollowing)).alias("envelope"))
+    return c.select("tile", "object_id", "precision", F.max("precision").over(Window.partitionBy("tile").orderBy(F.desc("seen")).rowsBetween(Window.unboundedPreceding, 0)).alias("envelope"))
 
 
 @query("win09_latest_artefact", "SELECT event_type AS kind, concat('/out/', max(event_id), '.gpkg') AS path FROM events GROUP BY event_type")

@@ -212,6 +212,18 @@ def test_average_precision(spark):
     assert (got["d"].ap, got["d"].ar) == (0, 0)
 
 
+def test_running_sums_over_many_ranges(spark):
+    from tessera.operators import running
+
+    rng = random.Random(9)
+    rows = [(k, i, rng.randint(0, 3), rng.random()) for i, k in enumerate(rng.choice("ab") for _ in range(400))]
+    ranged = running.in_ranges(spark.createDataFrame(rows, "k string, i int, v long, p double").repartition(7), ["k"], [F.col("i")])
+    out = running.following_maximum(running.running_sums(ranged, ["k"], [F.col("i")], {"s": F.col("v")}), ["k"], [F.col("i")], "p", "m")
+    for r in out.collect():
+        assert r.s == sum(v for k, i, v, _ in rows if k == r.k and i <= r.i)
+        assert r.m == max(p for k, i, _, p in rows if k == r.k and i >= r.i)
+
+
 def test_weighted_rows_fall_back_to_means(spark):
     df = spark.createDataFrame([("a", 0.5, 10), ("a", 1.0, 30), ("b", 0.2, 0), ("b", 0.4, 0)], "k string, f1 double, n long")
     got = {r.k: r.f1 for r in evaluate.weighted_rows(df, ["k"], ["f1"], "n").collect()}
