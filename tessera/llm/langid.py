@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from . import _shared
 
 HELD_OUT, HELD_OUT_REST = 3, 1
+#: Languages that are learned, at most: those with the most documents.
+LANGUAGES = 256
 #: Documents of each language that are learned from, at most; characters of each; bytes of a dictionary.
 TRAIN_DOCUMENTS = 200
 TRAIN_CHARS = 4096
@@ -81,9 +83,11 @@ def _learned():
     return F.crc32(F.col("doc_id").cast("string")) % HELD_OUT != HELD_OUT_REST
 
 
-def fit(docs: DataFrame, documents: int = TRAIN_DOCUMENTS, chars: int = TRAIN_CHARS, size: int = DICTIONARY_BYTES) -> Model:
+def fit(docs: DataFrame, documents: int = TRAIN_DOCUMENTS, chars: int = TRAIN_CHARS, size: int = DICTIONARY_BYTES, languages: int = LANGUAGES) -> Model:
     """A dictionary for each language, from the learnable documents whose ids hash lowest."""
     ids = docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string").alias("lang")).where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & _learned())
+    known = ids.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(languages).select("lang")
+    ids = ids.join(F.broadcast(known), "lang", "left_semi")
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     draw = ids.withColumn("n", F.row_number().over(order)).where(F.col("n") <= documents).select("doc_id", F.col("lang").alias("drawn")).distinct()
     texts = docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string").alias("lang"), F.substring(F.col("text").cast("string"), 1, chars).alias("text")).where(F.col("text").rlike(r"\p{L}"))

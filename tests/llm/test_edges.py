@@ -50,6 +50,19 @@ def test_stages_keep_columns(spark, odd):
     assert one.where("text = 'same text here'").count() == 1
 
 
+def test_stages_on_nothing(spark, none):
+    empty = spark.createDataFrame([], LABELS)
+    for kept in (crf.keep_good(none, crf.fit(none, empty)), langid.keep_certain(none, langid.fit(none)), simhash.one_of_each(none)):
+        assert kept.columns == none.columns and kept.count() == 0
+
+
+def test_nothing_learned(spark, odd, odd_rows):
+    blank = odd.withColumn("lang", odd.text.substr(0, 0))
+    assert langid.identify(odd, langid.Model({})).where("rejected and lang_pred = 'und' and score = 0").count() == len(odd_rows)
+    assert crf.score_documents(blank, crf.fit(blank, spark.createDataFrame([], LABELS))).where("score = 0.5").count() == len(odd_rows)
+    assert len(langid.fit(odd, languages=1).dictionaries) <= 1
+
+
 def test_pages(spark):
     pages = spark.createDataFrame([(1, "u", None, "x"), (2, None, "", "x"), (None, "v", "<p>hello", "x"), (None, "v", "<p>hello", "x")], "page_id long, url string, html string, text string")
     got = sorted((r.page_id or 0, r.text, r.n_chars) for r in extract.extract_pages(pages).collect())
