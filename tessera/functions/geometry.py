@@ -42,10 +42,11 @@ def ratio(part: Column, whole: Column) -> Column:
     return F.coalesce(F.try_divide(part, whole), F.lit(0.0))
 
 
-def iou(a, b) -> Column:
-    """Intersection over union; zero without overlap or for an empty union."""
+def iou(a, b, added: float = 0.0) -> Column:
+    """Intersection over union, with a little added to the union if asked for; zero without overlap or for an empty union."""
     common = overlap(a, b)
-    return ratio(common, area(a) + area(b) - common)
+    union = area(a) + area(b) - common
+    return ratio(common, union + added if added else union)
 
 
 def ioa(a, b) -> Column:

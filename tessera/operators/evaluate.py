@@ -55,6 +55,17 @@ def evaluate(preds: DataFrame, truths: DataFrame, thresholds: Sequence[float], c
     return out.withColumns(rates(F.col("tp"), F.col("fp"), F.col("fn")))
 
 
+def match_prompts(preds: DataFrame, truths: DataFrame, cell: float, by: Sequence[str] = (), above: float = 0.3) -> DataFrame:
+    """by, pred, truth, iou: predictions, in the order of their numbers, take the free truth that they overlap most, if by more than ``above``.
+
+    Truths without a mask are left out by the caller. The overlap is of the union plus a millionth.
+    """
+    own, other = preds.select(*by, "pred", *g.SIDES), truths.select(*by, "truth", *g.SIDES)
+    pairs = spatial_join(own, other, cell, by).withColumn("iou", g.iou(g.box("a_"), g.box("b_"), 1e-6)).where(F.col("iou") > above)
+    edges = pairs.select(*[F.col(f"a_{c}").alias(c) for c in by], F.col("a_pred").alias("pred"), F.col("b_truth").alias("truth"), "iou")
+    return greedy_match(edges, ["pred", F.desc("iou"), "truth"], by, "pred", "truth")
+
+
 def summary(table: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Means over the thresholds, the lists by threshold, the values at 50 and 75, and the counts at the lowest threshold."""
     keys = [*by, "size"]

@@ -10,6 +10,8 @@ lies in its tile's edge band ranks after all others.
 
 from __future__ import annotations
 
+import math
+from collections import Counter
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -163,6 +165,56 @@ def union_area(boxes) -> float:
     return total
 
 
+def union_boxes(boxes) -> list[tuple[float, float, float, float]]:
+    """The union of boxes as boxes that don't overlap: strips between their vertical sides."""
+    edges = sorted({x for b in boxes for x in (b[0], b[2])})
+    out = []
+    for x0, x1 in zip(edges, edges[1:]):
+        runs: list[list[float]] = []
+        for y0, y1 in sorted((b[1], b[3]) for b in boxes if b[0] <= x0 and b[2] >= x1):
+            if runs and y0 <= runs[-1][1]:
+                runs[-1][1] = max(runs[-1][1], y1)
+            else:
+                runs.append([y0, y1])
+        out += [(x0, y0, x1, y1) for y0, y1 in runs]
+    return out
+
+
+def consensus_boxes(boxes, runs, method: str, share: float = 0.4, blend: float = 0.1) -> list[tuple[float, float, float, float]]:
+    """A cluster's geometry as boxes that don't overlap.
+
+    union: of all members. intersection_union_blend: what all members share, grown on
+    each side by a share of the root of the area that they don't, or the union where
+    they share nothing. majority_union: of the members of runs that have at least the
+    given share of the number of runs in the cluster, or of all where no run has.
+    """
+    if method == "union":
+        return union_boxes(boxes)
+    if method == "intersection_union_blend":
+        x0, y0, x1, y1 = max(b[0] for b in boxes), max(b[1] for b in boxes), min(b[2] for b in boxes), min(b[3] for b in boxes)
+        if x1 <= x0 or y1 <= y0:
+            return union_boxes(boxes)
+        by = blend * math.sqrt(max(union_area(boxes) - (x1 - x0) * (y1 - y0), 0.0))
+        return [(x0 - by, y0 - by, x1 + by, y1 + by)]
+    if method == "majority_union":
+        counts = Counter(runs)
+        need = max(1, math.ceil(len(counts) * share))
+        return union_boxes([b for b, run in zip(boxes, runs, strict=True) if counts[run] >= need] or boxes)
+    raise ValueError(f"no consensus geometry {method}")
+
+
+def consensus_parts(members: DataFrame, method: str, component: str = "component", run: str = "run_index", share: float = 0.4) -> DataFrame:
+    """component and parts (array of boxes) of every cluster; a cluster's members are gathered in one row."""
+
+    def made(column: pd.Series) -> pd.Series:
+        shapes = (consensus_boxes([(m["xmin"], m["ymin"], m["xmax"], m["ymax"]) for m in own], [m["run"] for m in own], method, share) for own in column)
+        return pd.Series([[dict(zip(g.SIDES, b, strict=True)) for b in shape] for shape in shapes])
+
+    member = F.struct(*[F.col(s) for s in g.SIDES], F.col(run).alias("run"))
+    kind = f"array<struct<{','.join(f'{s}:double' for s in g.SIDES)}>>"
+    return members.groupBy(component).agg(F.collect_list(member).alias("own")).select(component, F.pandas_udf(made, kind)("own").alias("parts"))
+
+
 def _union_area_column(boxes: Column) -> Column:
     def areas(column: pd.Series) -> pd.Series:
         return column.map(lambda own: union_area([(b["xmin"], b["ymin"], b["xmax"], b["ymax"]) for b in own]))

@@ -87,6 +87,24 @@ def _(s, d):
     return members(s, d).groupBy("component").agg(F.max_by("object_id", F.struct("segmenter_score", *first)).alias("best"), F.max_by("object_id", F.struct(g.area(g.box()), *first)).alias("largest"))
 
 
+def part_area():
+    return F.aggregate("parts", F.lit(0.0), lambda a, b: a + (b["xmax"] - b["xmin"]) * (b["ymax"] - b["ymin"]))
+
+
+@query("agg09_consensus_union", COMP + f"SELECT component, {r(f'CASE WHEN count(*) = 1 THEN sum({AREA}) ELSE sum({AREA}) - greatest(min(xmax) - max(xmin), 0) * greatest(min(ymax) - max(ymin), 0) END')} AS area FROM mem GROUP BY component HAVING count(*) <= 2")
+def _(s, d):
+    m = members(s, d)
+    few = m.groupBy("component").agg(F.count("*").alias("n")).where("n <= 2")
+    return fusion.consensus_parts(m.join(few, "component", "left_semi"), "union").select("component", part_area().alias("area"))
+
+
+@query("agg09_consensus_blend")
+def _(s, d):
+    m = members(s, d)
+    blend = fusion.consensus_parts(m, "intersection_union_blend").select("component", part_area().alias("blend"))
+    return blend.join(fusion.consensus_parts(m, "majority_union").select("component", part_area().alias("majority")), "component")
+
+
 TWO = f"mem WHERE component IN (SELECT component FROM mem GROUP BY component HAVING count(*) <= 2)"
 AGREE = f"greatest(min(xmax) - max(xmin), 0) * greatest(min(ymax) - max(ymin), 0)"
 

@@ -10,7 +10,7 @@ from ..plans import components as plan
 from ..plans.storage import settle
 from ..views import duck, table, view
 from .aggregations import AGREE, AP, COMP, EVAL, SIZED
-from .joins import PAIRS, TRUE_PAIRS, pairs
+from .joins import PAIRS, PROMPTS, TRUE_PAIRS, pairs
 from .registry import COMMON, IOU, MEET, cells, in_first_cell, matched, query, r, reached, suppressed
 from .rasters import difference
 
@@ -158,12 +158,10 @@ def _(s, d):
     return view(s, d, "det").groupBy("run_index").agg(F.count("*").alias("n"), F.percentile("detector_score", F.lit(0.5)).alias("median"))
 
 
-@query("cmp17_training_pairs", duck("det", "truth") + f", {TRUE_PAIRS}, x AS (SELECT pred AS a, truth AS b, iou FROM hits WHERE iou > 0.3 + 1e-6 AND score >= 0.7), {matched('x', 'a, iou DESC, b')} SELECT a AS pred, b AS truth FROM m")
+@query("cmp17_training_pairs", duck("det", "truth") + f", {PROMPTS}, x AS (SELECT pred AS a, truth AS b, iou FROM hits WHERE iou > 0.3 AND score >= 0.7), {matched('x', 'a, iou DESC, b')} SELECT a AS pred, b AS truth FROM m")
 def _(s, d):
-    from ..operators.graph import greedy_match
-    from .joins import true_pairs
-
-    return greedy_match(true_pairs(s, d).where("iou > 0.3 + 1e-6 and score >= 0.7").select("pred", "truth", "iou"), ["pred", F.desc("iou"), "truth"], (), "pred", "truth").select("pred", "truth")
+    trusted = view(s, d, "det").where("detector_score >= 0.7").withColumnRenamed("object_id", "pred")
+    return evaluate.match_prompts(trusted, view(s, d, "truth"), 10.0).select("pred", "truth")
 
 
 @query("udf01_registry", "SELECT * FROM (VALUES ('resnet', true), ('swin', true), ('missing', false)) t(name, there)")

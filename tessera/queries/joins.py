@@ -4,11 +4,11 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry as g
 from ..functions import names
-from ..operators import evaluate, fusion, graph, merging, spatial, temporal
+from ..operators import evaluate, fusion, graph, merging, spatial
 from ..sources import annotations as ann
 from ..sources import files
 from ..views import duck, table, view
-from .registry import COMMON, IOU, MEET, cells, in_first_cell, matched, query, r, suppressed
+from .registry import COMMON, IOU, IOU_ADDED, MEET, cells, in_first_cell, matched, query, r, suppressed
 
 PAIRS = f"{cells('det', 'k')}, pairs AS MATERIALIZED (SELECT a.object_id AS ia, b.object_id AS ib, a.run_index AS ra, b.run_index AS rb, {IOU} AS iou, {COMMON} / least((a.xmax - a.xmin) * (a.ymax - a.ymin), (b.xmax - b.xmin) * (b.ymax - b.ymin)) AS ioa FROM k a JOIN k b ON {in_first_cell()} AND a.object_id < b.object_id)"
 TRUE_PAIRS = f"{cells('det', 'k')}, {cells('truth', 'u')}, hits AS MATERIALIZED (SELECT a.object_id AS pred, b.truth, a.detector_score AS score, {IOU} AS iou FROM k a JOIN u b ON {in_first_cell()})"
@@ -100,9 +100,13 @@ def _(s, d):
     return graph.greedy_match(e, [F.desc("score"), "pred", F.desc("iou"), "truth"], ["threshold"], "pred", "truth").select("threshold", "pred", "truth")
 
 
-@query("jon11_match_in_input_order", duck("det", "truth") + f", {TRUE_PAIRS}, x AS (SELECT pred AS a, truth AS b, iou FROM hits WHERE iou > 0.3 + 1e-6), {matched('x', 'a, iou DESC, b')} SELECT a AS pred, b AS truth, {r('iou')} AS iou FROM m")
+PROMPTS = TRUE_PAIRS.replace(IOU, IOU_ADDED)
+
+
+@query("jon11_match_in_input_order", duck("det", "truth") + f", {PROMPTS}, x AS (SELECT pred AS a, truth AS b, iou FROM hits WHERE iou > 0.3 AND truth % 9 > 0), {matched('x', 'a, iou DESC, b')} SELECT a AS pred, b AS truth, {r('iou')} AS iou FROM m")
 def _(s, d):
-    return graph.greedy_match(true_pairs(s, d).where("iou > 0.3 + 1e-6").select("pred", "truth", "iou"), ["pred", F.desc("iou"), "truth"], (), "pred", "truth")
+    masked = view(s, d, "truth").where("truth % 9 > 0")
+    return evaluate.match_prompts(view(s, d, "det").withColumnRenamed("object_id", "pred"), masked, 10.0)
 
 
 @query("jon12_box_fusion", duck("det") + """, {k}, edges AS (SELECT a.tile, CASE WHEN (-a.detector_score, a.object_id) < (-b.detector_score, b.object_id) THEN a.object_id ELSE b.object_id END AS hi, CASE WHEN (-a.detector_score, a.object_id) < (-b.detector_score, b.object_id) THEN b.object_id ELSE a.object_id END AS lo FROM k a JOIN k b ON {m} AND a.tile = b.tile AND a.object_id < b.object_id AND {i} >= 0.4), {s},

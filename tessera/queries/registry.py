@@ -81,6 +81,7 @@ def reached(edges: str) -> str:
 
 IOU = "({i}) / ((a.xmax - a.xmin) * (a.ymax - a.ymin) + (b.xmax - b.xmin) * (b.ymax - b.ymin) - ({i}))"
 COMMON = "greatest(least(a.xmax, b.xmax) - greatest(a.xmin, b.xmin), 0) * greatest(least(a.ymax, b.ymax) - greatest(a.ymin, b.ymin), 0)"
+IOU_ADDED = IOU.replace(" - ({i}))", " - ({i}) + 1e-6)").format(i=COMMON)
 IOU = IOU.format(i=COMMON)
 MEET = "a.xmin < b.xmax AND b.xmin < a.xmax AND a.ymin < b.ymax AND b.ymin < a.ymax"
 

@@ -157,6 +157,19 @@ def test_merging_runs(spark):
     assert fusion.merge_runs(df, min_observations=2).count() == 1
 
 
+def test_consensus_shapes():
+    boxes = [(0, 0, 10, 10), (5, 0, 15, 10), (100, 0, 110, 10)]
+    size = lambda parts: sum((b[2] - b[0]) * (b[3] - b[1]) for b in parts)
+    assert size(fusion.consensus_boxes(boxes, [0, 1, 2], "union")) == 250
+    assert size(fusion.consensus_boxes(boxes, [0, 1, 2], "intersection_union_blend")) == 250  # nothing is shared
+    (x0, y0, x1, y1) = fusion.consensus_boxes(boxes[:2], [0, 1], "intersection_union_blend")[0]
+    assert (x0, x1) == (5 - 1.0, 10 + 1.0) and (y0, y1) == (-1.0, 11.0)
+    assert size(fusion.consensus_boxes(boxes, [0, 0, 1], "majority_union")) == 250  # two runs: one member is enough
+    assert size(fusion.consensus_boxes([*boxes, (200, 0, 201, 1)], [0, 0, 1, 2], "majority_union")) == 150
+    with pytest.raises(ValueError):
+        fusion.consensus_boxes(boxes, [0, 1, 2], "middle")
+
+
 def test_union_area():
     assert fusion.union_area([(0, 0, 10, 10), (5, 0, 15, 10), (100, 100, 101, 101)]) == 151
     assert fusion.union_area([]) == 0
