@@ -99,11 +99,14 @@ def ring_envelope(ring: Column) -> tuple[Column, Column, Column, Column]:
 
 
 def ring_centroid(ring: Column) -> tuple[Column, Column]:
-    """Area-weighted centroid of a closed ring."""
-    turned = F.concat(F.slice(ring, 2, F.size(ring) - 1), F.slice(ring, 1, 1))
-    parts = F.zip_with(ring, turned, lambda p, q: F.struct(((p["x"] + q["x"]) * (p["x"] * q["y"] - q["x"] * p["y"])).alias("x"), ((p["y"] + q["y"]) * (p["x"] * q["y"] - q["x"] * p["y"])).alias("y"), (p["x"] * q["y"] - q["x"] * p["y"]).alias("a")))
+    """Area-weighted centroid of a closed ring, worked out from its first point so that far coordinates keep their digits."""
+    x0, y0 = F.element_at(ring, 1)["x"], F.element_at(ring, 1)["y"]
+    near = F.transform(ring, lambda p: F.struct((p["x"] - x0).alias("x"), (p["y"] - y0).alias("y")))
+    turned = F.concat(F.slice(near, 2, F.size(near) - 1), F.slice(near, 1, 1))
+    cross = lambda p, q: p["x"] * q["y"] - q["x"] * p["y"]
+    parts = F.zip_with(near, turned, lambda p, q: F.struct(((p["x"] + q["x"]) * cross(p, q)).alias("x"), ((p["y"] + q["y"]) * cross(p, q)).alias("y"), cross(p, q).alias("a")))
     total = lambda name: F.aggregate(F.transform(parts, lambda v: v[name]), F.lit(0.0), lambda s, v: s + v)
-    return F.try_divide(total("x"), 3 * total("a")), F.try_divide(total("y"), 3 * total("a"))
+    return x0 + F.try_divide(total("x"), 3 * total("a")), y0 + F.try_divide(total("y"), 3 * total("a"))
 
 
 def to_pixels(ring: Column, x0: Column, y0: Column, gsd: Column) -> Column:
