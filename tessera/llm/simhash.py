@@ -307,7 +307,12 @@ def one_of_each(docs: DataFrame, distance: int = DISTANCE, words: int = WORDS, r
     _shared.bounded_arrow(docs.sparkSession)
     table = _shared.through_table(ahead.mapInArrow(mark, ahead.schema), "numbered")
     found = grouped(table.select(F.col(row).alias("doc_id"), F.col(code).alias("code")), distance, range_codes)
-    folder = _shared.shared_folder(docs.sparkSession, "stay")
+    return first_rows(table.drop(code), found, row)
+
+
+def first_rows(table: DataFrame, found: DataFrame, row: str) -> DataFrame:
+    """The rows of a written table whose number, in the column row, is the component_id that found has for them as doc_id."""
+    folder = _shared.shared_folder(table.sparkSession, "stay")
 
     def write(key, group):
         split = key[0].as_py()
@@ -337,7 +342,7 @@ def one_of_each(docs: DataFrame, distance: int = DISTANCE, words: int = WORDS, r
                 mask[own] = (maps[split][places[own] >> 3] >> (7 - (places[own] & 7))) & 1
             yield batch.filter(pa.array(mask)).drop_columns([row])
 
-    return table.drop(code).mapInArrow(keep, docs.schema)
+    return table.mapInArrow(keep, table.drop(row).schema)
 
 
 def _linked(roots: DataFrame) -> DataFrame:
