@@ -27,7 +27,7 @@ from . import _shared
 HELD_OUT, HELD_OUT_REST = 7, 2
 #: What an n-gram of two or more words is discounted by, and how often one must be seen to be kept.
 DISCOUNT = 0.75
-SEEN = 2
+SEEN = 1
 #: Shards of the trie, at least; there are more if the input has more splits.
 LEAST_SHARDS, MOST_SHARDS = 64, 1 << 14
 #: Bytes of text that are worked on at once.
@@ -618,7 +618,7 @@ def further_levels(trie: Trie, numbers: DataFrame, pairs: DataFrame, discount: f
         parents, values = keys // words, keys % words
         of = trie.level(1, shard)["count"].astype(float)
         more = _smoothed(parents, counts, of, trie.unigram(trie.counts(values)), len(of), discount)
-        _write_level(trie, 2, shard, parents, values, len(of), more | {"count": counts})
+        _write_level(trie, 2, shard, parents, values, len(of), more | {"count": counts.astype(np.min_scalar_type(int(counts.max(initial=0))))})
         return pa.table({"shard": [shard], "n": [len(keys)]}, schema=pa.schema([("shard", pa.int32()), ("n", pa.int64())]))
 
     pairs.groupBy("shard").applyInArrow(second_level, "shard int, n long").collect()

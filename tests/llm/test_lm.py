@@ -68,3 +68,17 @@ def test_query_is_the_model_by_brute_force(spark, sf, documents):
     frame = pd.DataFrame([r.asDict() for r in got.values()])
     held = frame[frame.held_out]
     assert held.score.sum() > held.base_score.sum()
+
+
+def test_what_is_seen_once_counts(spark):
+    """Pairs and triples of a single training text make the same held-out text likelier than its words do."""
+    out = lambda i: zlib.crc32(str(i).encode()) % 7 == 2
+    learned, asked = next(i for i in range(100) if not out(i)), next(i for i in range(100) if out(i))
+    text = "one two three four five six"
+    df = spark.createDataFrame([(learned, text), (asked, text)], "doc_id long, text string")
+    got = {r.doc_id: r for r in lm.score_documents(df).collect()}[asked]
+    p1 = 2 / (7 + 7 + 1)
+    p2 = 1 - lm.DISCOUNT + lm.DISCOUNT * p1
+    p3 = 1 - lm.DISCOUNT + lm.DISCOUNT * p2
+    assert math.isclose(got.base_score, 7 * math.log10(p1), rel_tol=1e-9)
+    assert abs(got.score - math.log10(p2) - 6 * math.log10(p3)) < 0.06 * 7
