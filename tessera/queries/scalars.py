@@ -73,7 +73,7 @@ def _(s, d):
 def _(s, d):
     from ..functions import polygons
 
-    return view(s, d, "truth").where("truth % 10 = 0").select("truth", g.ring_area(polygons.buffer(g.ring_of(B()), 1.0)).alias("area"), F.size(polygons.simplify(g.ring_of(B()), 0.1)).alias("points"))
+    return view(s, d, "truth").select("truth", g.ring_area(polygons.buffer(g.ring_of(B()), 1.0)).alias("area"), F.size(polygons.simplify(g.ring_of(B()), 0.1)).alias("points"))
 
 
 MERC = "6378137.0 * ln(tan({q} + radians(lat) / 2))".format(q=repr(math.pi / 4))

@@ -59,3 +59,9 @@ def test_filters_reach_the_files(spark):
 
     plan = table(spark, SF, "lineitem").where("l_quantity > 40").select("l_orderkey")._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(l_quantity" in plan and "ReadSchema: struct<l_orderkey:bigint,l_quantity" in plan
+
+
+def test_buffers_of_all_truths(spark):
+    from tessera.views import view
+
+    assert QUERIES["geo10_buffer"](spark, SF).count() == view(spark, SF, "truth").count() > 0
