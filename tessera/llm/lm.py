@@ -16,6 +16,7 @@ from __future__ import annotations
 import json
 import struct
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -33,12 +34,16 @@ LEAST_SHARDS, MOST_SHARDS = 64, 1 << 14
 #: Bytes of text that are worked on at once.
 CHUNK_CHARS = 10 << 20
 NUMBER_BYTES = 8 << 20
-#: N-grams that a task counts before it passes them on, and words that it remembers.
+#: N-grams that a task counts before it passes them on.
 COUNTED = 2 << 20
-REMEMBERED = 500_000
+#: Files of levels that a task holds open, and bytes of them, about.
+OPEN_FILES, OPEN_BYTES = 4096, 512 << 20
 #: A word can't be this.
 END = b"\n"
 _SEED = 7
+_SOLID = np.ones(256, bool)
+_SOLID[list(b" \t\n\x0b\x0c\r")] = False
+_LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
 
 
 # -- Elias-Fano sequences -------------------------------------------------------------------------
@@ -65,6 +70,7 @@ class EliasFano:
     def __init__(self, n: int, width: int, low: np.ndarray, high: np.ndarray, ones: np.ndarray, zeros: np.ndarray):
         self.n, self.width, self.low, self.high, self.ones, self.zeros = n, width, low, high, ones, zeros
         self.mask = np.uint64((1 << width) - 1)
+        self.hints: list[np.ndarray | None] = [None, None]
 
     @classmethod
     def encode(cls, values: np.ndarray) -> EliasFano:
@@ -105,7 +111,16 @@ class EliasFano:
 
     def _select(self, k: np.ndarray, ones: bool) -> np.ndarray:
         directory = self.ones if ones else self.zeros
-        word = np.searchsorted(directory, k.astype(np.uint32), side="right") - 1
+        if (hints := self.hints[ones]) is None:  # the word of every 32nd bit, worked out at first use
+            marks = np.arange(0, int(directory[-1]) + 1, 32, dtype=np.uint32)
+            hints = self.hints[ones] = np.minimum(np.searchsorted(directory, marks, side="right") - 1, len(directory) - 2)
+        word = hints[k >> 5]
+        near = k.astype(np.uint32)
+        for _ in range(2):
+            word = word + (directory[word + 1] <= near)
+        far = np.flatnonzero(directory[word + 1] <= near)
+        if len(far):
+            word[far] = np.searchsorted(directory, near[far], side="right") - 1
         bits = self.high[word] if ones else ~self.high[word]
         return word * 64 + self._in_word(bits, k - directory[word].astype(np.int64))
 
@@ -149,19 +164,20 @@ class EliasFano:
         after[later] = self._following(before[later], top[later], False)
         after[~later] = self._select(top[~later], False)
         begin = before + 1 - top
-        last = end = np.minimum(after - top, self.n)
+        end = np.minimum(after - top, self.n)
         begin = np.minimum(begin, end)
-        end = end.copy()
         live = np.flatnonzero(begin < end)
+        a, b, x = begin[live], end[live], rest[live]
         while len(live):
-            middle = (begin[live] + end[live]) >> 1
-            less = self._low(middle) < rest[live]
-            begin[live[less]] = middle[less] + 1
-            end[live[~less]] = middle[~less]
-            live = live[begin[live] < end[live]]
+            middle = (a + b) >> 1
+            low = self._low(middle)
+            less = low < x
+            hit[inside[live[low == x]]] = True
+            a, b = np.where(less, middle + 1, a), np.where(less, b, middle)
+            begin[live] = a
+            going = np.flatnonzero(a < b)
+            live, a, b, x = live[going], a[going], b[going], x[going]
         out[inside] = begin
-        there = np.flatnonzero(begin < last)
-        hit[inside[there]] = self._low(begin[there]) == rest[there]
         return out, hit
 
     def arrays(self, name: str) -> dict[str, np.ndarray]:
@@ -305,14 +321,19 @@ class Trie:
     tokens: int = 0
 
     def __post_init__(self):
+        self.written = np.zeros((4, self.shards), bool)
         self.open: dict[tuple[int, int], dict] = {}
+        self.opened = 0
 
     def __getstate__(self):
-        return (self.folder, self.shards, self.bases, self.tokens)
+        return (self.folder, self.shards, self.bases, self.tokens, self.written)
 
     def __setstate__(self, state):
-        self.folder, self.shards, self.bases, self.tokens = state
-        self.open = {}
+        self.folder, self.shards, self.bases, self.tokens, self.written = state
+        self.close()
+
+    def close(self) -> None:
+        self.open, self.opened = {}, 0
 
     @property
     def words(self) -> int:
@@ -322,16 +343,16 @@ class Trie:
         return f"{self.folder}/{level}/{shard}"
 
     def level(self, level: int, shard: int) -> dict:
-        """A shard's arrays, mapped at first use."""
+        """A shard's arrays, mapped at first use; none if nothing was written for it. A file that is missing is an error."""
         if (found := self.open.get((level, shard))) is None:
-            try:
-                arrays = _from_file(self.uri(level, shard))
-            except FileNotFoundError:
-                arrays = {}
+            arrays = _from_file(self.uri(level, shard)) if self.written[level, shard] else {}
             found = dict(arrays)
             for name in {k.partition(".")[0] for k in arrays if k.endswith(".size")}:
                 found[name] = EliasFano.over(arrays, name)
+            if self.opened > OPEN_BYTES or len(self.open) > OPEN_FILES:
+                self.close()
             self.open[level, shard] = found
+            self.opened += sum(x.nbytes for x in arrays.values())
         return found
 
     def end(self) -> int:
@@ -349,8 +370,10 @@ class Trie:
 
     def find_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The words' numbers, -1 for unknown ones, and their counts."""
-        hashes = word_hashes(words)
-        numbers, counts = np.full(len(words), -1, np.int64), np.zeros(len(words), np.int64)
+        return self.find_hashes(word_hashes(words))
+
+    def find_hashes(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        numbers, counts = np.full(len(hashes), -1, np.int64), np.zeros(len(hashes), np.int64)
         for s, rows in self._by_shard(hash_shard(hashes, self.shards)):
             level = self.level(1, s)
             if not level or not level["words"].n:
@@ -424,7 +447,7 @@ class Trie:
 def word_hashes(words: list[bytes]) -> np.ndarray:
     from xxhash import xxh64_intdigest
 
-    return np.fromiter((xxh64_intdigest(w, _SEED) for w in words), np.uint64, len(words))
+    return np.fromiter(map(xxh64_intdigest, words, repeat(_SEED)), np.uint64, len(words))
 
 
 def hash_shard(hashes: np.ndarray, shards: int) -> np.ndarray:
@@ -432,42 +455,29 @@ def hash_shard(hashes: np.ndarray, shards: int) -> np.ndarray:
     return ((hashes >> np.uint64(40)) * np.uint64(shards) >> np.uint64(24)).astype(np.int64)
 
 
-class _Reader:
-    """Texts as numbers of words, with what the first level says of them."""
-
-    def __init__(self, trie: Trie | None):
-        self.trie = trie
-        self._anew()
-
-    def _anew(self):
-        new = self.new = []
-
-        class Known(dict):
-            def __missing__(self, key):
-                self[key] = n = len(self)
-                new.append(key)
-                return n
-
-        self.known = Known()
-        self.numbers, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-    def read(self, texts: list[str]):
-        """Local numbers of all tokens, each text's end among them, and the tokens of each text."""
-        if len(self.known) > REMEMBERED:
-            self._anew()
-        tokens: list[bytes] = []
-        n = []
-        for text in texts:
-            words = text.encode().lower().split()
-            tokens += words
-            tokens.append(END)
-            n.append(len(words) + 1)
-        local = np.fromiter(map(self.known.__getitem__, tokens), np.int64, len(tokens))
-        if self.new and self.trie is not None:
-            numbers, counts = self.trie.find_words(self.new)
-            self.numbers, self.counts = np.concatenate([self.numbers, numbers]), np.concatenate([self.counts, counts])
-            self.new.clear()
-        return local, np.array(n, np.int64)
+def read_words(texts: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The hashes of the distinct words of texts, the end last; all tokens as places among them; each text's tokens."""
+    column = texts.combine_chunks().cast(pa.large_binary())
+    if isinstance(column, pa.ChunkedArray):
+        column = column.chunk(0) if column.num_chunks else pa.array([], pa.large_binary())
+    offsets = np.frombuffer(column.buffers()[1], np.int64, len(column) + 1, 8 * column.offset) if len(column) else np.zeros(1, np.int64)
+    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    solid = _SOLID[data]
+    edge = np.ones(len(data) + 1, bool)  # where a place differs from the one before; texts end words too
+    edge[1:-1] = solid[1:] != solid[:-1]
+    edge[offsets - offsets[0]] = True
+    edge = np.flatnonzero(edge)
+    begin, length = edge[:-1], np.diff(edge)
+    words = solid[begin] if len(begin) else np.zeros(0, bool)
+    begin, length = begin[words], length[words]
+    tokens = pa.Array.from_buffers(pa.large_binary(), len(begin), [None, pa.py_buffer(np.concatenate([[0], np.cumsum(length)]).astype(np.int64)), pa.py_buffer(_LOWER[data[solid]])]).dictionary_encode()
+    hashes = word_hashes([*tokens.dictionary.to_pylist(), END])
+    n = np.diff(np.searchsorted(begin, offsets - offsets[0]))
+    local = np.full(len(begin) + len(n), len(hashes) - 1, np.int64)
+    inner = np.ones(len(local), bool)
+    inner[np.cumsum(n + 1) - 1] = False
+    local[inner] = np.asarray(tokens.indices)
+    return hashes, local, n + 1
 
 
 def _before(values: np.ndarray, n: np.ndarray, end: int) -> np.ndarray:
@@ -522,29 +532,24 @@ def first_level(docs: DataFrame, shards: int | None = None) -> Trie:
     trie = Trie(_shared.shared_folder(spark, "trie"), shards)
 
     def unigrams(batches):
-        reader, tally = _Reader(None), _Tally()
-        total = np.zeros(0, np.int64)
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        size = 0
 
         def hand_on():
-            hashes = word_hashes(list(reader.known))
-            where = hash_shard(hashes, shards)
-            order = np.lexsort((hashes, where))
-            cuts = np.searchsorted(where[order], np.arange(shards + 1))
-            for s in np.flatnonzero(np.diff(cuts)):
-                own = order[cuts[s] : cuts[s + 1]]
-                tally.held.append((int(s), hashes[own], total[own]))
-            return tally.flush()
+            hashes, counts = _summed(np.concatenate([h for h, _ in held]), np.concatenate([n for _, n in held]))
+            cuts = np.searchsorted(hash_shard(hashes, shards), np.arange(shards + 1))
+            own = np.flatnonzero(np.diff(cuts))
+            return pa.RecordBatch.from_pydict({"shard": pa.array(own, pa.int32()), "blob": pa.array([_blob(hashes[cuts[s] : cuts[s + 1]], counts[cuts[s] : cuts[s + 1]]) for s in own], pa.binary())})
 
         for chunk in _shared.chunks(batches, chars=CHUNK_CHARS):
-            local, _ = reader.read(chunk.column("text").to_pylist())
-            more = np.bincount(local, minlength=len(reader.known))
-            more[: len(total)] += total
-            total = more
-            if len(reader.known) > REMEMBERED:
+            hashes, local, _ = read_words(chunk.column("text"))
+            held.append((hashes, np.bincount(local, minlength=len(hashes))))
+            size += len(hashes)
+            if size > COUNTED:
                 yield hand_on()
-                reader._anew()
-                total = np.zeros(0, np.int64)
-        yield hand_on()
+                held, size = [], 0
+        if held:
+            yield hand_on()
 
     def build(key, group):
         shard = key[0].as_py()
@@ -556,6 +561,7 @@ def first_level(docs: DataFrame, shards: int | None = None) -> Trie:
     sizes = np.zeros(shards, np.int64)
     for r in docs.mapInArrow(unigrams, "shard int, blob binary").groupBy("shard").applyInArrow(build, "shard int, n long, total long").collect():
         sizes[r.shard] = r.n
+        trie.written[1, r.shard] = True
         trie.tokens += r.total
     trie.bases = np.concatenate([[0], np.cumsum(sizes)])
     return trie
@@ -572,7 +578,7 @@ def number_documents(docs: DataFrame, trie: Trie, seen: int = SEEN) -> tuple[Dat
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, numbers binary, shard int, blob binary"
 
     def run(batches):
-        reader, tally = _Reader(trie), _Tally()
+        tally = _Tally()
         columns = [("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("numbers", pa.binary()), ("shard", pa.int32()), ("blob", pa.binary())]
 
         def row(n, **values):
@@ -583,18 +589,18 @@ def number_documents(docs: DataFrame, trie: Trie, seen: int = SEEN) -> tuple[Dat
             return row(len(blobs), shard=blobs.column(0), blob=blobs.column(1))
 
         for chunk in _shared.chunks(batches, chars=CHUNK_CHARS):
-            local, n = reader.read(chunk.column("text").to_pylist())
-            if not len(n):
+            if not chunk.num_rows:
                 continue
-            counts, numbers = reader.counts[local], reader.numbers[local]
+            hashes, local, n = read_words(chunk.column("text"))
+            number, count = trie.find_hashes(hashes)
+            counts, numbers = count[local], number[local]
             starts = np.cumsum(n) - n
             held_out = np.array(chunk.column("held_out").to_pylist(), bool)
             raw = numbers.astype(kind)
             yield row(len(n), doc_id=chunk.column("doc_id").combine_chunks(), held_out=held_out, n_tokens=n, n_known=np.add.reduceat((counts > 0).astype(np.int64), starts), base_score=np.add.reduceat(trie.unigram(counts), starts), numbers=[head + raw[a : a + k].tobytes() for a, k in zip(starts, n)])
-            end = reader.known[END]
             often = counts >= seen
-            first = _before(numbers, n, int(reader.numbers[end]) if end < len(reader.numbers) else -1)
-            keep = often & _before(often, n, bool(reader.counts[end] >= seen)) & ~np.repeat(held_out, n)
+            first = _before(numbers, n, int(number[-1]))
+            keep = often & _before(often, n, bool(count[-1] >= seen)) & ~np.repeat(held_out, n)
             first, second = first[keep], numbers[keep]
             where = trie.shard_of(first)
             tally.add(where, ((first - trie.bases[where]) * words + second).astype(np.uint64))
@@ -621,7 +627,8 @@ def further_levels(trie: Trie, numbers: DataFrame, pairs: DataFrame, discount: f
         _write_level(trie, 2, shard, parents, values, len(of), more | {"count": counts.astype(np.min_scalar_type(int(counts.max(initial=0))))})
         return pa.table({"shard": [shard], "n": [len(keys)]}, schema=pa.schema([("shard", pa.int32()), ("n", pa.int64())]))
 
-    pairs.groupBy("shard").applyInArrow(second_level, "shard int, n long").collect()
+    for r in pairs.groupBy("shard").applyInArrow(second_level, "shard int, n long").collect():
+        trie.written[2, r.shard] = True
     end = trie.end()
 
     def three():
@@ -655,8 +662,9 @@ def further_levels(trie: Trie, numbers: DataFrame, pairs: DataFrame, discount: f
         _write_level(trie, 3, shard, parents, places, above["next"].n, more)
         return pa.table({"shard": [shard], "n": [len(keys)]}, schema=pa.schema([("shard", pa.int32()), ("n", pa.int64())]))
 
-    _counted(numbers, three).groupBy("shard").applyInArrow(third_level, "shard int, n long").collect()
-    trie.open = {}
+    for r in _counted(numbers, three).groupBy("shard").applyInArrow(third_level, "shard int, n long").collect():
+        trie.written[3, r.shard] = True
+    trie.close()
 
 
 def _values(level: dict, nodes: np.ndarray) -> np.ndarray:
@@ -675,22 +683,23 @@ def score_numbers(trie: Trie, end: int, numbers: np.ndarray, n: np.ndarray) -> n
     """The log10 probability of each text by the whole trie."""
     if not len(n):
         return np.zeros(0)
-    counts = np.zeros(len(numbers), np.int64)
-    known = np.flatnonzero(numbers >= 0)
-    counts[known] = trie.counts(numbers[known])
-    base = trie.unigram(counts)
     first, second, which = _pairs(_before(numbers, n, end), numbers, trie.words)
-    known = first >= 0
+    counts = np.zeros(len(second), np.int64)
+    known = np.flatnonzero(second >= 0)
+    counts[known] = trie.counts(second[known])
+    known = np.flatnonzero(first >= 0)
     shard, node, place, two, away = (np.full(len(first), x) for x in (-1, -1, -1, np.nan, 0.0))
     shard[known], node[known], place[known], two[known], away[known] = trie.bigrams(first[known], second[known])
-    node, place, shard = node[which], place[which], shard[which]
-    two = two[which]
-    value = np.where(np.isnan(two), away[which] + base, two)
+    value = np.where(np.isnan(two), away + trie.unigram(counts), two)[which]
     inner = np.ones(len(numbers), bool)
     inner[np.cumsum(n) - n] = False
     at = np.flatnonzero(inner)
-    at = at[node[at - 1] >= 0]
-    three, away = trie.trigrams(shard[at - 1], node[at - 1], place[at])
+    before = which[at - 1].astype(np.int32 if len(first) < 1 << 31 else np.int64)
+    there = node[before] >= 0
+    at, before = at[there], before[there]
+    order = np.argsort(before)  # by context, so that neighbours read the same places
+    at, before = at[order], before[order]
+    three, away = trie.trigrams(shard[before], node[before], place[which[at]])
     value[at] = np.where(np.isnan(three), away + value[at], three)
     return np.add.reduceat(value, np.cumsum(n) - n)
 

@@ -1,10 +1,14 @@
 import math
+import os
 import re
 import zlib
 from collections import Counter
+from urllib.parse import urlparse
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -82,3 +86,27 @@ def test_what_is_seen_once_counts(spark):
     p3 = 1 - lm.DISCOUNT + lm.DISCOUNT * p2
     assert math.isclose(got.base_score, 7 * math.log10(p1), rel_tol=1e-9)
     assert abs(got.score - math.log10(p2) - 6 * math.log10(p3)) < 0.06 * 7
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(st.sampled_from("aAbÉé \t\n\x0b\x1c　"), max_size=12)), max_size=6), st.integers(0, 2))
+def test_words_of_texts(texts, skip):
+    texts = [t or "" for t in texts]
+    column = pa.chunked_array([pa.array(texts, pa.string()).slice(skip)])
+    hashes, local, n = lm.read_words(column)
+    want = [[w.encode() for w in tokens(t)] for t in texts[skip:]]
+    assert n.tolist() == [len(w) for w in want]
+    assert hashes[local].tolist() == lm.word_hashes([w for t in want for w in t]).tolist()
+    assert len(set(hashes.tolist())) == len(hashes)
+
+
+def test_a_missing_file_is_an_error(spark):
+    df = spark.createDataFrame([(i, f"one two three {'abcdefgh'[i]}") for i in range(8)], "doc_id long, text string")
+    trie = lm.first_level(df)
+    numbers, pairs = lm.number_documents(df, trie)
+    lm.further_levels(trie, numbers, pairs)
+    assert len(lm.score_documents(df, trie).collect()) == 8
+    shard = int(np.flatnonzero(trie.written[2])[0])
+    os.remove(urlparse(trie.uri(2, shard)).path)
+    with pytest.raises(Exception, match="FileNotFoundError"):
+        lm.score_documents(df, trie).collect()
