@@ -1,8 +1,8 @@
 """Quality rules: repetition inside a document, and lines that many documents of a host share.
 
 Normalised lines are hashed, and for each host and hash the distinct documents are
-counted; documents whose text is the same count once. Lines above the limit are
-removed, and a document that has lost too many of its words is rejected.
+counted. Lines above the limit, a share of the host's documents, are removed, and a
+document that has lost too many of its words is rejected.
 """
 
 from __future__ import annotations
@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from . import _shared
 
-#: Distinct documents of a host that may share a line.
-LIMIT = 100
+#: The share of a host's distinct documents that may hold a line, and documents that always may.
+LIMIT_SHARE, LIMIT_LEAST = 0.05, 5
 #: The least share of its words that a document keeps.
 KEPT_SHARE = 0.3
 _SPACE = "\t\n\x0b\x0c\r "
@@ -84,23 +84,27 @@ def measures(docs: DataFrame, host: str = "source") -> DataFrame:
     return _shared.map_chunks(source, work, f"doc_id long, host string, text_hash long, {MEASURES}, lines array<struct<hash:long,words:long>>")
 
 
-def common_lines(table: DataFrame, limit: int = LIMIT) -> DataFrame:
-    """host, hash of the lines that more than ``limit`` distinct documents of the host hold."""
-    lines = table.select("host", "text_hash", F.explode("lines.hash").alias("hash"))
-    return lines.distinct().groupBy("host", "hash").agg(F.count("*").alias("documents")).where(F.col("documents") > limit).select("host", "hash")
+def common_lines(table: DataFrame, share: float = LIMIT_SHARE, least: int = LIMIT_LEAST) -> DataFrame:
+    """host, hash of the lines that more than ``least`` distinct documents of the host hold, and more than ``share`` of them."""
+    document = F.coalesce("doc_id", "text_hash").alias("document")  # rows without an id are told apart by their texts
+    sizes = table.select("host", document).distinct().groupBy("host").agg(F.count("*").alias("all"))
+    lines = table.select("host", document, F.explode("lines.hash").alias("hash")).distinct()
+    often = lines.groupBy("host", "hash").agg(F.count("*").alias("documents")).where(F.col("documents") > least)
+    return often.join(sizes, "host").where(F.col("documents") > share * F.col("all")).select("host", "hash")
 
 
-def judge(docs: DataFrame, host: str = "source", limit: int = LIMIT, kept_share: float = KEPT_SHARE) -> DataFrame:
+def judge(docs: DataFrame, host: str = "source", share: float = LIMIT_SHARE, least: int = LIMIT_LEAST, kept_share: float = KEPT_SHARE) -> DataFrame:
     """doc_id, the measures, removed_words, common (hashes of removed lines), base_failed and kept of every row.
 
     A null text has no words and fails the base rules; a null or missing host is the
-    empty one. Repeated rows are the same document, and all get its verdict. An empty
-    table gives an empty result; columns other than doc_id, text and the host's are
+    empty one. Rows of one doc_id and host are one document, and repeated rows get the
+    same verdict; rows without a doc_id are one document if their text is the same. A
+    line that comes as often as the limit stays. An empty table gives an empty result; columns other than doc_id, text and the host's are
     left aside.
     """
     table = _shared.through_table(measures(docs, host), "measures")
     lines = table.select("host", "text_hash", F.explode("lines").alias("line")).select("host", "text_hash", F.col("line.hash").alias("hash"), F.col("line.words").alias("words")).distinct()
-    cut = lines.join(common_lines(table, limit), ["host", "hash"]).groupBy("host", "text_hash").agg(F.sum("words").alias("removed_words"), F.collect_set("hash").alias("common"))
+    cut = lines.join(common_lines(table, share, least), ["host", "hash"]).groupBy("host", "text_hash").agg(F.sum("words").alias("removed_words"), F.collect_set("hash").alias("common"))
     out = table.join(cut, ["host", "text_hash"], "left")
     removed = F.coalesce("removed_words", F.lit(0))
     failed = (F.col("n_words") < 50) | (F.lit(100) * F.col("n_repeat_words") > F.lit(50) * F.col("n_words"))

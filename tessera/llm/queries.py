@@ -72,16 +72,19 @@ _WORDS = "[^ \\t\\n\\x0b\\x0c\\r]+"
 
 def _line_frequency_sql() -> str:
     return f"""
-        WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(source, '') AS host, coalesce(text, '') AS text FROM documents),
+        WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(source, '') AS host, coalesce(text, '') AS text,
+                     coalesce(CAST(doc_id AS VARCHAR), 'text ' || coalesce(text, '')) AS document FROM documents),
         w AS (SELECT *, regexp_extract_all(text, '{_WORDS}') AS words FROM d),
         windows AS (SELECT rid, i, count(*) OVER (PARTITION BY rid, words[i], words[i + 1], words[i + 2]) AS n
                     FROM (SELECT rid, words, unnest(generate_series(1, len(words) - 2)) AS i FROM w WHERE len(words) > 2) q),
         again AS (SELECT rid, count(DISTINCT i + k) AS n_repeat_words FROM windows, (VALUES (0), (1), (2)) t(k) WHERE n > 1 GROUP BY rid),
-        lines AS (SELECT rid, host, text, line, len(regexp_extract_all(line, '{_WORDS}')) AS words,
+        lines AS (SELECT rid, host, document, line, len(regexp_extract_all(line, '{_WORDS}')) AS words,
                          regexp_replace(trim(regexp_replace(lower(line), '\\s+', ' ', 'g')), '[0-9]+', '0', 'g') AS norm
-                  FROM (SELECT rid, host, text, unnest(string_split(text, chr(10))) AS line FROM d) q WHERE regexp_matches(line, '{_WORDS}')),
+                  FROM (SELECT rid, host, document, unnest(string_split(text, chr(10))) AS line FROM d) q WHERE regexp_matches(line, '{_WORDS}')),
         dups AS (SELECT rid, count(*) - count(DISTINCT line) AS n_dup_lines FROM lines GROUP BY rid),
-        common AS (SELECT host, norm FROM lines GROUP BY host, norm HAVING count(DISTINCT text) > {linefreq.LIMIT}),
+        sizes AS (SELECT host, count(DISTINCT document) AS everything FROM d GROUP BY host),
+        common AS (SELECT host, norm FROM lines JOIN sizes USING (host) GROUP BY host, norm, everything
+                   HAVING count(DISTINCT document) > {linefreq.LIMIT_LEAST} AND count(DISTINCT document) > {linefreq.LIMIT_SHARE} * everything),
         cut AS (SELECT rid, sum(words) AS removed_words FROM lines JOIN common USING (host, norm) GROUP BY rid),
         m AS (SELECT doc_id, len(words) AS n_words, coalesce(list_sum(list_transform(words, lambda x: length(x))), 0) AS word_chars,
                      length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
