@@ -1,11 +1,12 @@
 """Licence scans with a positional index of rare words, in DataFrame functions only.
 
-Each template is a run of words. Its postings hold the places of its rarest words,
-by document frequency over the whole corpus. A file's occurrences of such words
-give, less the posting's place, where the template would begin; the beginnings on
-which postings agree are verified by the template's key phrase, word for word, and
-scored by the share of the template's words in their places. As every template's
-key phrase holds one of its posted words, no place of a phrase is missed.
+Each template is a run of words; part of it, the key phrase, must stand word for
+word. A file's licence words are ranked by inverse document frequency over the whole
+corpus, and a template is looked up if the file has all words of its key. The places
+of its rarest ones in the file, less their places in the template, are where the
+template would begin; beginnings on which these postings all agree are verified by
+the whole key phrase and scored by the share of the template's words in their places.
+Posted words are words of the key, so no place of a phrase is missed.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ TEMPLATES = [
     ("cc-by-sa", "creative commons attribution sharealike", (0, 4), False),
     ("all-rights-reserved", "all rights reserved", (0, 3), False),
 ]
-#: Rare words of a template that are posted, and the share of its words that a match needs.
+#: Rare words of a template whose places must agree, and the share of its words that a match needs.
 POSTED = 3
 COVERAGE = 0.5
 _BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -70,14 +71,12 @@ def inverse_document_frequencies(words: DataFrame, vocabulary: list[str]) -> dic
     return {w: math.log((rows[0] + 1) / (held.get(w, 0) + 1)) for w in vocabulary}
 
 
-def postings(found: list[Template], idf: dict[str, float], posted: int = POSTED) -> list[tuple[str, int, int]]:
-    """(word, template, place): the rarest word of each template's key phrase, and its rarest words elsewhere."""
-    out = set()
-    for t, template in enumerate(found):
-        rank = lambda i, t=template: (-idf[t.words[i]], i)
-        key = sorted(range(*template.key), key=rank)[:1]
-        out |= {(template.words[i], t, i) for i in key + sorted(range(len(template.words)), key=rank)[:posted]}
-    return sorted(out)
+def postings(template: Template, idf: dict[str, float], posted: int = POSTED) -> list[tuple[str, int]]:
+    """(word, place) of the rarest words of the template's key phrase, the rarest first, each word once."""
+    out: dict[str, int] = {}
+    for i in sorted(range(*template.key), key=lambda i: (-idf[template.words[i]], i)):
+        out.setdefault(template.words[i], i)
+    return list(out.items())[:posted]
 
 
 def scan(docs: DataFrame, posted: int = POSTED, coverage: float = COVERAGE) -> DataFrame:
@@ -90,33 +89,43 @@ def scan(docs: DataFrame, posted: int = POSTED, coverage: float = COVERAGE) -> D
     found = templates()
     words = docs.select(F.col("doc_id").cast("long").alias("doc_id"), words_of(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("words"))
     idf = inverse_document_frequencies(words, sorted({w for t in found for w in t.words}))
-    index = postings(found, idf, posted)
-    rare = sorted({w for w, _, _ in index})
-    posting = F.array(*[F.struct(F.lit(w).alias("word"), F.lit(t).alias("template"), F.lit(p).alias("place")) for w, t, p in index])
-    kinds = F.array(*[F.struct(F.lit(t.label).alias("label"), F.array(*map(F.lit, t.words)).alias("words"), F.lit(t.key[0]).alias("at"), F.array(*map(F.lit, t.words[slice(*t.key)])).alias("key"), F.lit(t.base).alias("base")) for t in found])
+    index = [postings(t, idf, posted) for t in found]
+    rare, keys = sorted({w for own in index for w, _ in own}), sorted({w for t in found for w in t.words[slice(*t.key)]})
 
+    # places of the words that some template posts, and which words of keys the file has; both by one pass over its words
     hits = F.filter(F.transform("words", lambda w, i: F.when(w.isin(rare), F.struct(w.alias("word"), i.alias("at")))), lambda x: x.isNotNull())
-    begun = words.select("doc_id", "words", F.size("words").cast("long").alias("n_words"), hits.alias("hits"))
-    begins = F.array_distinct(F.flatten(F.transform("hits", lambda h: F.transform(F.filter(posting, lambda p: p["word"] == h["word"]), lambda p: F.struct(p["template"].alias("template"), (h["at"] - p["place"]).alias("start"))))))
-    placed = begun.select("doc_id", "words", "n_words", F.when(F.size("hits") > 0, begins).otherwise(F.array().cast("array<struct<template:int,start:int>>")).alias("begins"))
-
-    def verified(x: Column) -> Column:
-        kind = F.element_at(kinds, x["template"] + 1)
-        at = x["start"] + kind["at"]
-        return (at >= 0) & (F.slice("words", F.greatest(at, F.lit(0)) + 1, F.size(kind["key"])) == kind["key"])
-
-    def scored(x: Column) -> Column:
-        kind = F.element_at(kinds, x["template"] + 1)
-        own = F.transform(kind["words"], lambda w, i: F.when((x["start"] + i >= 0) & (F.get("words", x["start"] + i) == w), 1).otherwise(0))
+    held = words.select("doc_id", "words", F.size("words").cast("long").alias("n_words"), hits.alias("hits"))
+    held = held.withColumn("has", F.when(F.size("hits") > 0, F.array_intersect("words", F.array(*map(F.lit, keys)))).otherwise(F.array().cast("array<string>")))
+    none = F.array().cast("array<struct<template:int,label:string,base:boolean,start:int,share:double>>")
+    strings = lambda x: F.array(*map(F.lit, x))
+
+    def kind_of(number: int, t: Template, own: list[tuple[str, int]]) -> Column:
+        key = t.words[slice(*t.key)]
+        posted = F.array(*[F.struct(F.lit(w).alias("word"), F.lit(p).alias("place")) for w, p in own])
+        return F.struct(F.lit(number).alias("template"), F.lit(t.label).alias("label"), F.lit(t.base).alias("base"), strings(t.words).alias("words"), F.lit(t.key[0]).alias("at"), strings(key).alias("key"), posted.alias("posted"))
+
+    kinds = F.array(*[kind_of(i, t, own) for i, (t, own) in enumerate(zip(found, index, strict=True))])
+
+    def begins(p: Column) -> Column:
+        return F.transform(F.filter("hits", lambda h: h["word"] == p["word"]), lambda h: h["at"] - p["place"])
+
+    def scored(kind: Column, start: Column) -> Column:
+        own = F.transform(kind["words"], lambda w, i: F.when((start + i >= 0) & (F.get("words", start + i) == w), 1).otherwise(0))
         share = F.aggregate(own, F.lit(0), lambda a, b: a + b) / F.size(kind["words"])
-        return F.struct(x["template"].alias("template"), kind["label"].alias("label"), kind["base"].alias("base"), x["start"].alias("start"), share.cast("double").alias("share"))
+        return F.struct(kind["template"].alias("template"), kind["label"].alias("label"), kind["base"].alias("base"), start.alias("start"), share.cast("double").alias("share"))
+
+    def matched(kind: Column) -> Column:
+        agreed = F.aggregate(F.slice(kind["posted"], 2, posted), begins(F.element_at(kind["posted"], 1)), lambda so_far, p: F.array_intersect(so_far, begins(p)))
+        stands = F.filter(agreed, lambda x: (x + kind["at"] >= 0) & (F.slice("words", F.greatest(x + kind["at"], F.lit(0)) + 1, F.size(kind["key"])) == kind["key"]))
+        return F.filter(F.transform(stands, lambda x: scored(kind, x)), lambda m: m["share"] >= coverage)
 
-    matches = F.filter(F.transform(F.filter("begins", verified), scored), lambda m: m["share"] >= coverage)
-    matched = placed.select("doc_id", "n_words", F.when(F.size("begins") > 0, matches).otherwise(F.array().cast("array<struct<template:int,label:string,base:boolean,start:int,share:double>>")).alias("matches"))
+    able = F.filter(kinds, lambda kind: F.size(F.array_except(kind["key"], F.col("has"))) == 0)
+    matches = F.when(F.size("has") > 0, F.flatten(F.transform(able, matched))).otherwise(none)
+    placed = held.select("doc_id", "n_words", matches.alias("matches"))
     base = F.filter("matches", lambda m: m["base"])
     joined = lambda x: F.array_join(F.array_sort(F.array_distinct(F.transform(x, lambda m: m["label"]))), ",")
     starts = F.transform(base, lambda m: m["start"].cast("long"))
-    return matched.select(
+    return placed.select(
         "doc_id", "n_words", F.size(base).cast("long").alias("n_base"), F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"), joined(base).alias("base_labels"), joined(F.col("matches")).alias("labels"),
         F.coalesce(F.array_max(F.transform("matches", lambda m: m["share"])), F.lit(0.0)).alias("score"), F.col("matches"),
     )

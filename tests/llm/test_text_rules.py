@@ -38,13 +38,39 @@ def test_common_lines_are_removed_by_host(spark):
     rows = [(i, "\n".join([*common, *(line(k, i) for k in range(20))]), "a") for i in range(8)]
     rows += [(100 + i, "\n".join([*common, f"little {letter(i)}"]), "a") for i in range(3)]
     rows += [(200, rows[0][1], "b"), (201, rows[0][1], "b"), (202, rows[0][1], None)]
-    got = {r.doc_id: r for r in linefreq.judge(spark.createDataFrame(rows, "doc_id long, text string, source string"), limit=5).collect()}
+    rows += [(300, rows[0][1], "c")] * 9 + [(400 + i, rows[0][1], "d") for i in range(9)]
+    got = {r.doc_id: r for r in linefreq.judge(spark.createDataFrame(rows, "doc_id long, text string, source string"), share=0.4).collect()}
     assert all(got[i].removed_words == 54 and got[i].kept for i in range(8))
     assert got[100].removed_words == 54 and not got[100].kept and not got[100].base_failed
     assert got[200].removed_words == 0 and got[202].removed_words == 0
+    assert got[300].removed_words == 0 and got[300].kept  # one document, in nine rows
+    assert got[400].removed_words == got[400].n_words and not got[400].kept  # nine documents of one text
     assert linefreq.remove_lines(rows[0][1], set(got[0].common)) == "\n".join(rows[0][1].split("\n")[9:])
 
 
+def test_line_frequency_sql_where_lines_are_removed(spark, tmp_path):
+    """The registered query and its SQL over a table with lines above the limit, rejected documents, nulls and repeated rows."""
+    import duckdb
+    import pandas as pd
+
+    from tessera.llm.queries import oracle_sql
+
+    own = lambda i: "\n".join(" ".join(f"w{'abcdefghij'[i % 10]}{'klmnopqrst'[k]}{'uvwxyzabcd'[j]}{'efghijklmn'[i // 10]}" for j in range(10)) for k in range(8))
+    shared = "\n".join(" ".join(f"Shared{'abcdefgh'[k]}{'ijklmnop'[j]}" for j in range(7)) + f"  7{k}" for k in range(8))
+    rows = [(i, (shared + "\n" + own(i)) if i < 30 else own(i), f"s{i % 2}") for i in range(60)]
+    rows += [(70 + i, shared + "\nlittle more " + "abcdefghij"[i], "s0") for i in range(6)] + [(1, rows[1][1], "s1")] * 3
+    rows += [(None, shared, "s0"), (None, shared, "s0"), (None, None, None), (90, None, "s1"), (91, "", None)]
+    frame = pd.DataFrame(rows, columns=["doc_id", "text", "source"]).astype({"doc_id": "Int64"})
+    frame.to_parquet(tmp_path / "documents.parquet", index=False)
+    db = duckdb.connect()
+    db.sql(f"create view documents as select * from '{tmp_path}/documents.parquet'")
+    want = db.sql(oracle_sql()["op7_line_frequency"]).df()
+    got = op7_line_frequency(spark, str(tmp_path)).toPandas()[list(want.columns)]
+    plain = lambda f: sorted(tuple(None if pd.isna(x) else x for x in r) for r in f.itertuples(index=False, name=None) if not pd.isna(r[0])) + sorted(r[1:] for r in f.itertuples(index=False, name=None) if pd.isna(r[0]))
+    assert plain(got) == plain(want)
+    assert (got.removed_words > 0).sum() >= 30 and (~got.kept & ~got.base_failed).sum() >= 6
+
+
 def base(text):
     phrases = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
     lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
@@ -64,6 +90,27 @@ def test_licences_base_rules(spark):
         assert set(filter(None, r.base_labels.split(","))) <= set(filter(None, r.labels.split(","))) and 0 <= r.score <= 1
 
 
+def test_many_licences_in_one_text(spark):
+    """A hundred thousand places in one text, in time that grows with their number only."""
+    import time
+
+    text = "Under the MIT license cc by nc of the apache license version 2; " * 33_334
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    licences.scan(df.limit(0)).collect()
+    began = time.time()
+    r = licences.scan(df).first()
+    assert r.n_base == 3 * 33_334 and r.first_word == 0 and r.base_labels == "apache-2,cc-by-nc,mit"
+    assert time.time() - began < 60
+
+
+def test_posted_words_are_the_rarest_of_the_key():
+    t = next(t for t in licences.templates() if t.label == "isc")
+    idf = {w: float(i) for i, w in enumerate(sorted(set(t.words)))}
+    own = licences.postings(t, idf)
+    assert len(own) == licences.POSTED and all(t.words[i] == w and t.key[0] <= i < t.key[1] for w, i in own)
+    assert [w for w, _ in own] == sorted(set(t.words[slice(*t.key)]), reverse=True)[:3]
+
+
 def test_licences_query(spark, sf, documents):
     got = {r.doc_id: r for r in op9_licences(spark, sf).collect()}
     for doc, text in zip(documents.doc_id, documents.text):
