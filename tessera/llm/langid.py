@@ -18,17 +18,19 @@ from pyspark.sql import functions as F
 from . import _shared
 
 HELD_OUT, HELD_OUT_REST = 3, 1
-#: Languages that are learned, at most: those with the most documents.
-LANGUAGES = 256
-#: Documents of each language that are learned from, at most; characters of each; bytes of a dictionary.
-TRAIN_DOCUMENTS = 200
-TRAIN_CHARS = 4096
-DICTIONARY_BYTES = 96 << 10
+#: The sample that is learned from: documents of each language, and of all, at most; of a long text so many spans of so many
+#: characters, spread evenly from its first to its last. Every language has a document at least.
+TRAIN_DOCUMENTS, ALL_DOCUMENTS = 200, 1 << 16
+SPANS, SPAN_CHARS = 8, 512
+#: Bytes of a language's dictionary, and of all, at most; with very many languages each one's is smaller.
+DICTIONARY_BYTES, ALL_BYTES, LEAST_BYTES = 96 << 10, 128 << 20, 256
 #: Characters that are encoded at once, so that the dictionary stays what matters.
 BLOCK_CHARS = 2048
 #: The margin below which a document is rejected, as a share of the best language's bytes.
 NARROW = 0.004
 UNKNOWN = "und"
+#: Bytes that a raw dictionary has at least.
+LEAST = 8
 _LETTER = regex.compile(r"\p{L}")
 _CLEAN = regex.compile(r"[\d\p{S}\p{Cc}#*%&@/\\|_]+")
 
@@ -83,15 +85,29 @@ def _learned():
     return F.crc32(F.col("doc_id").cast("string")) % HELD_OUT != HELD_OUT_REST
 
 
-def fit(docs: DataFrame, documents: int = TRAIN_DOCUMENTS, chars: int = TRAIN_CHARS, size: int = DICTIONARY_BYTES, languages: int = LANGUAGES) -> Model:
-    """A dictionary for each language, from the learnable documents whose ids hash lowest."""
-    ids = docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string").alias("lang")).where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & _learned())
-    known = ids.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(languages).select("lang")
-    ids = ids.join(F.broadcast(known), "lang", "left_semi")
+def _spread(text):
+    """Of a text: all of it, or if it is long, spans of it at even distances."""
+    n = F.length(text)
+    begin = lambda i: (F.floor(i * (n - SPAN_CHARS) / (SPANS - 1)) + 1).cast("int")
+    spans = F.transform(F.sequence(F.lit(0), F.lit(SPANS - 1)), lambda i: F.substring(text, begin(i), F.lit(SPAN_CHARS)))
+    return F.when(n > SPANS * SPAN_CHARS, F.array_join(spans, " ")).otherwise(text)
+
+
+def fit(docs: DataFrame, documents: int = TRAIN_DOCUMENTS, size: int = DICTIONARY_BYTES) -> Model:
+    """A dictionary for each language, from the learnable documents whose ids hash lowest among those that have a letter.
+
+    All languages are learned, however many. Rows of one doc_id and language are one
+    document, with the smallest of their texts.
+    """
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
+    texts = texts.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & _learned() & F.col("text").rlike(r"\p{L}"))
+    ids = texts.select("doc_id", "lang").distinct()
+    languages = max(1, ids.agg(F.count_distinct("lang")).first()[0])
+    documents, size = max(1, min(documents, ALL_DOCUMENTS // languages)), max(LEAST_BYTES, min(size, ALL_BYTES // languages))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    draw = ids.withColumn("n", F.row_number().over(order)).where(F.col("n") <= documents).select("doc_id", F.col("lang").alias("drawn")).distinct()
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string").alias("lang"), F.substring(F.col("text").cast("string"), 1, chars).alias("text")).where(F.col("text").rlike(r"\p{L}"))
-    rows = texts.join(F.broadcast(draw), (texts.doc_id == draw.doc_id) & (texts.lang == draw.drawn), "left_semi").collect()
+    draw = ids.withColumn("n", F.row_number().over(order)).where(F.col("n") <= documents).select("doc_id", F.col("lang").alias("drawn"))
+    drawn = texts.join(F.broadcast(draw), (texts.doc_id == draw.doc_id) & (texts.lang == draw.drawn), "left_semi")
+    rows = drawn.select("doc_id", "lang", _spread(F.col("text")).alias("text")).groupBy("doc_id", "lang").agg(F.min("text").alias("text")).collect()
     by: dict[str, list] = {}
     for r in rows:
         by.setdefault(r.lang, []).append((r.doc_id, r.text))
@@ -102,8 +118,9 @@ def fit(docs: DataFrame, documents: int = TRAIN_DOCUMENTS, chars: int = TRAIN_CH
             if text not in seen and len(data) < size:
                 seen.add(text)
                 data += _normal(text).encode()
-        out[lang] = data[:size].decode(errors="ignore").encode()
-    return Model({k: v for k, v in out.items() if len(v) >= 8})
+        data = data[:size].decode(errors="ignore").encode()
+        out[lang] = data if len(data) >= LEAST else (b" " + data) * LEAST  # a dictionary has some bytes
+    return Model(out)
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
@@ -130,7 +147,11 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def keep_certain(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows, in all their columns, whose language is not in doubt."""
+    """The rows, in all their columns, whose language is not in doubt.
+
+    Null texts, texts without a letter and ties are in doubt, and so is everything if
+    nothing was learned. Repeated rows fare alike; an empty table stays empty.
+    """
 
     def work():
         ready = Model(model.dictionaries).prepare()
