@@ -17,10 +17,13 @@ from pyspark.sql import functions as F
 
 from . import _shared
 
-#: Labelled documents of each class that the weights are learned from, at most, and lines of each.
+#: The sample that the weights are learned from: labelled documents of each class, at most, and of a text with more lines so
+#: many runs of so many lines, spread evenly from its first to its last.
 TRAIN_DOCUMENTS = 1500
-TRAIN_LINES = 128
+RUNS, RUN_LINES = 8, 16
 ROUNDS = 120
+#: What squares of the weights, and of those of neighbouring labels, count against the likelihood.
+DECAY, PAIR_DECAY = 1e-3, 5e-2
 HELD_OUT = 5
 THRESHOLD = 0.3
 
@@ -102,8 +105,8 @@ class Model:
     def emissions(self, columns: np.ndarray) -> np.ndarray:
         return np.append(self.weights, 0.0)[columns].sum(1) + self.bias
 
-    def marginals(self, lines: Lines, emit: np.ndarray, pairs: bool = False):
-        """The probability that each line is good; with ``pairs`` also the expected numbers of neighbouring labels."""
+    def marginals(self, lines: Lines, emit: np.ndarray, pairs: np.ndarray | None = None):
+        """The probability that each line is good; with ``pairs``, weights of lines, also the expected weights of neighbouring labels."""
         order = np.argsort(-lines.n, kind="stable")
         begin, n = lines.begin[order], lines.n[order]
         score = np.zeros((len(emit), 2))
@@ -120,14 +123,14 @@ class Model:
             backward[at] = np.logaddexp(ahead[:, 0, None] + self.transitions[:, 0], ahead[:, 1, None] + self.transitions[:, 1])
         total = forward + backward
         good = 1 / (1 + np.exp(np.clip(total[:, 0] - total[:, 1], -700, 700)))
-        if not pairs:
+        if pairs is None:
             return good
         whole = np.logaddexp(total[:, 0], total[:, 1])
         inner = np.ones(len(emit), bool)
         inner[lines.begin[lines.n > 0]] = False
         at = np.flatnonzero(inner)
         joint = forward[at - 1][:, :, None] + self.transitions + (score[at] + backward[at])[:, None, :] - whole[at, None, None]
-        return good, np.exp(joint).sum(0)
+        return good, (np.exp(joint) * pairs[at, None, None]).sum(0)
 
     def quality(self, lines: Lines) -> np.ndarray:
         """The length-weighted mean of the lines' marginals."""
@@ -139,31 +142,44 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.slope * self.quality(line_features(texts)) + self.intercept, -30, 30)))
 
 
-def train(lines: Lines, labels: np.ndarray, rounds: int = ROUNDS, decay: float = 1e-3) -> Model:
-    """Weights by likelihood, every line labelled as its document is; then a logistic curve from quality to label."""
-    model = Model(np.zeros(3 * _SELF), np.zeros((2, 2)), 0.0, 0.0, 0.0)
-    if not len(labels):
-        return model
-    columns = _columns(lines)
-    truth = np.repeat(labels, lines.n).astype(float)
-    share = np.repeat(1 / lines.n, lines.n)  # documents weigh alike
+def log_likelihood(model: Model, lines: Lines, labels: np.ndarray) -> float:
+    """What train() ascends: each document's log-likelihood over its number of lines, their mean, less the squares of the weights."""
+    emit, total = model.emissions(_columns(lines)), 0.0
+    for begin, n, y in zip(lines.begin, lines.n, labels):
+        score = np.array([0.0, emit[begin]])
+        for e in emit[begin + 1 : begin + n]:
+            score = np.logaddexp(*(score[:, None] + model.transitions)) + [0.0, e]
+        total += (y * emit[begin : begin + n].sum() + (n - 1) * model.transitions[y, y] - np.logaddexp(*score)) / n
+    return total / len(labels) - 0.5 * DECAY * float((model.weights**2).sum() + model.bias**2) - 0.5 * PAIR_DECAY * float((model.transitions**2).sum())
+
+
+def _slope(model: Model, lines: Lines, labels: np.ndarray, columns: np.ndarray) -> np.ndarray:
+    """The slope of log_likelihood: weights, bias, transitions."""
+    truth, share = np.repeat(labels, lines.n), np.repeat(1 / lines.n / len(labels), lines.n)
     inner = np.ones(len(truth), bool)
     inner[lines.begin] = False
     at = np.flatnonzero(inner)
     seen = np.zeros((2, 2))
-    np.add.at(seen, (truth[at - 1].astype(int), truth[at].astype(int)), 1)
+    np.add.at(seen, (truth[at - 1], truth[at]), share[at])
+    good, pairs = model.marginals(lines, model.emissions(columns), pairs=share)
+    miss = share * (truth - good)
+    own = np.bincount(np.where(columns < 0, 3 * _SELF, columns).ravel(), np.repeat(miss, columns.shape[1]), 3 * _SELF + 1)[: 3 * _SELF]
+    return np.concatenate([own - DECAY * model.weights, [miss.sum() - DECAY * model.bias], (seen - pairs - PAIR_DECAY * model.transitions).ravel()])
+
+
+def train(lines: Lines, labels: np.ndarray, rounds: int = ROUNDS) -> Model:
+    """Weights by penalised likelihood, every line labelled as its document is and documents weighing alike; then a logistic curve from quality to label."""
+    model = Model(np.zeros(3 * _SELF), np.zeros((2, 2)), 0.0, 0.0, 0.0)
+    if not len(labels):
+        return model
+    columns = _columns(lines)
     parameters = np.zeros(3 * _SELF + 5)
     first, second = np.zeros_like(parameters), np.zeros_like(parameters)
-    flat, shares = np.where(columns < 0, 3 * _SELF, columns).ravel(), np.repeat(share, columns.shape[1])
     for step in range(1, rounds + 1):
-        model.weights, model.bias, model.transitions = parameters[: 3 * _SELF], parameters[3 * _SELF], parameters[3 * _SELF + 1 :].reshape(2, 2)
-        good, pairs = model.marginals(lines, model.emissions(columns), pairs=True)
-        miss = truth - good
-        slope = np.concatenate([np.bincount(flat, shares * np.repeat(miss, columns.shape[1]), 3 * _SELF + 1)[: 3 * _SELF], [(share * miss).sum()], ((seen - pairs) / max(1, len(at)) * len(labels) * 0.05).ravel()])
-        slope = slope / len(labels) - decay * parameters
+        slope = _slope(model, lines, labels, columns)
         first, second = 0.9 * first + 0.1 * slope, 0.99 * second + 0.01 * slope**2
         parameters = parameters + 0.1 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-9)
-    model.weights, model.bias, model.transitions = parameters[: 3 * _SELF], float(parameters[3 * _SELF]), parameters[3 * _SELF + 1 :].reshape(2, 2)
+        model.weights, model.bias, model.transitions = parameters[: 3 * _SELF], float(parameters[3 * _SELF]), parameters[3 * _SELF + 1 :].reshape(2, 2)
     x = np.stack([model.quality(lines), np.ones(len(labels))], 1)
     w = np.zeros(2)
     for _ in range(30):
@@ -178,8 +194,20 @@ def _held_out(of: int):
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % of == 0, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, held_out: int = HELD_OUT, documents: int = TRAIN_DOCUMENTS, most_lines: int = TRAIN_LINES) -> Model:
-    """Learns from at most ``documents`` documents of each label, those whose ids hash lowest, none of them held out."""
+def spread_lines(text: str) -> str:
+    """All lines of a text, or if there are many, runs of them at even distances."""
+    lines = text.split("\n")
+    if len(lines) <= RUNS * RUN_LINES:
+        return text
+    begins = [i * (len(lines) - RUN_LINES) // (RUNS - 1) for i in range(RUNS)]
+    return "\n".join([x for b in begins for x in lines[b : b + RUN_LINES]])
+
+
+def fit(docs: DataFrame, labels: DataFrame, held_out: int = HELD_OUT, documents: int = TRAIN_DOCUMENTS) -> Model:
+    """Learns from at most ``documents`` documents of each label, those whose ids hash lowest, none of them held out.
+
+    Rows of one doc_id are one document; an id with both labels teaches both.
+    """
     known = labels.select(F.col("doc_id").cast("long"), F.col("quality").cast("int").alias("quality")).where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & ~_held_out(held_out))
     draw = None
     for q in (0, 1):
@@ -189,14 +217,16 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: int = HELD_OUT, documents:
 
     def work():
         def step(chunk):
-            lines = line_features(["\n".join(x.split("\n")[:most_lines]) for x in chunk.column("text").to_pylist()])
+            lines = line_features([spread_lines(x) for x in chunk.column("text").to_pylist()])
             own = [slice(b, b + n) for b, n in zip(lines.begin.tolist(), lines.n.tolist(), strict=True)]
             return {"doc_id": chunk.column("doc_id"), "quality": chunk.column("quality"), "length": [lines.length[x] for x in own], "buckets": [lines.buckets[x].tobytes() for x in own]}
 
         return step
 
-    rows = sorted(_shared.map_chunks(sample, work, "doc_id long, quality int, length array<long>, buckets binary").collect(), key=lambda r: (r.doc_id, r.quality, r.buckets))
-    rows = [r for q in (0, 1) for r in [x for x in rows if x.quality == q][: 2 * documents]]
+    made = _shared.map_chunks(sample, work, "doc_id long, quality int, length array<long>, buckets binary")
+    # one row of each document and label, however often it comes
+    made = made.groupBy("doc_id", "quality").agg(F.min(F.struct("buckets", "length")).alias("x")).select("doc_id", "quality", "x.length", "x.buckets")
+    rows = sorted(made.collect(), key=lambda r: (r.doc_id, r.quality))
     n = np.array([len(r.length) for r in rows], np.int64)
     buckets = np.frombuffer(b"".join(bytes(r.buckets) for r in rows), np.uint8).reshape(-1, len(BUCKETS))
     lengths = np.array([x for r in rows for x in r.length], np.int64)
@@ -223,5 +253,9 @@ def score_documents(docs: DataFrame, model: Model, held_out: int = HELD_OUT, thr
 
 
 def keep_good(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows, in all their columns, that the model doesn't reject."""
+    """The rows, in all their columns, that the model doesn't reject.
+
+    A null or empty text is scored as one empty line. Without labels every score is
+    one half, and all rows stay. Repeated rows fare alike; an empty table stays empty.
+    """
     return _shared.filter_rows(docs, lambda: lambda texts: (model.score(texts) >= threshold).tolist())
