@@ -324,7 +324,7 @@ def first_rows(table: DataFrame, found: DataFrame, row: str) -> DataFrame:
 
     place = F.col("doc_id").bitwiseAND(F.lit((1 << 33) - 1))
     stay = found.where(F.col("doc_id") == F.col("component_id")).select(F.shiftright("doc_id", 33).alias("split"), place.alias("place"))
-    stay.groupBy("split").applyInArrow(write, "split long, n long").agg(F.sum("n")).collect()
+    written = {r.split for r in stay.groupBy("split").applyInArrow(write, "split long, n long").select("split").collect()}
 
     def keep(batches):
         maps: dict[int, np.ndarray] = {}
@@ -333,11 +333,8 @@ def first_rows(table: DataFrame, found: DataFrame, row: str) -> DataFrame:
             splits, places = numbers >> 33, numbers & ((1 << 33) - 1)
             mask = np.zeros(len(numbers), bool)
             for split in np.unique(splits).tolist():
-                if split not in maps:
-                    try:
-                        maps[split] = np.frombuffer(_shared.map_shared(f"{folder}/{split}"), np.uint8)
-                    except FileNotFoundError:
-                        maps[split] = np.zeros(0, np.uint8)
+                if split not in maps:  # a split without a row that stays has no bit map; any other's must be there
+                    maps[split] = np.frombuffer(_shared.map_shared(f"{folder}/{split}"), np.uint8) if split in written else np.zeros(0, np.uint8)
                 own = np.flatnonzero((splits == split) & (places >> 3 < len(maps[split])))
                 mask[own] = (maps[split][places[own] >> 3] >> (7 - (places[own] & 7))) & 1
             yield batch.filter(pa.array(mask)).drop_columns([row])
