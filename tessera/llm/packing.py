@@ -1,11 +1,15 @@
 """Best-fit packing of token pieces into sequences with a grouping genetic algorithm.
 
 Pieces that fill a sequence stay alone. The others are dealt to cells of bounded
-size. On several islands a population of packings of the cell evolves: a crossover
-takes whole well-filled sequences of one parent into the other, drops the
-sequences that hold an injected piece for a second time, and best-fits what they
-displace. Between epochs each island's elite migrates to the next island; the
-fewest sequences win. Islands are rows, so they run anywhere and can be repeated.
+size and best-fitted there. Where that needs more sequences than their tokens do, a
+population of packings of the cell evolves on several islands: a crossover takes
+whole well-filled sequences of one parent into the other, drops the sequences that
+hold an injected piece for a second time, and best-fits what they displace; a
+mutation empties some sequences and fills them anew. Between epochs each island's
+elite migrates to the next island; the fewest sequences win. Islands are rows, so
+they run anywhere and can be repeated. The sequences of a cell that stay open are
+taken apart again and meet those of other cells in a next round, until one cell
+holds all that is left.
 """
 
 from __future__ import annotations
@@ -22,8 +26,10 @@ from . import _shared
 from .bpe import Encoder
 
 CAPACITY = 4096
-#: Pieces of a cell, about.
-CELL_PIECES = 4096
+#: Tokens and pieces of a cell, about.
+CELL_TOKENS, CELL_PIECES = 4 << 20, 1 << 16
+#: The share of a cell's sequences that may meet those of other cells again, at most, and the room that such a sequence has.
+OPEN_SHARE, OPEN_ROOM = 0.25, 16
 ISLANDS = 3
 EPOCHS = 2
 POPULATION = 4
@@ -69,14 +75,40 @@ def crossover(a: list[list[int]], b: list[list[int]], size: list[int], rng: rand
     return best_fit(kept, displaced, size, capacity)
 
 
+def fill(loose: list[int], size: list[int], capacity: int = CAPACITY) -> list[list[int]]:
+    """Packs pieces into one sequence after the other: the largest piece that is left, and those others that fill it best.
+
+    What sums the others reach is a number's bits; a sequence is done once its room is reached.
+    """
+    left = sorted(loose, key=lambda i: (-size[i], i))
+    bins = []
+    while left:
+        own, room = [left[0]], capacity - size[left[0]]
+        sums, steps, within = 1, [], (1 << room + 1) - 1
+        for i in left[1:]:
+            if size[i] <= room and (more := (sums | sums << size[i]) & within) != sums:
+                steps.append((i, sums))
+                sums = more
+                if sums >> room & 1:
+                    break
+        at = sums.bit_length() - 1
+        for i, before in reversed(steps):
+            if not before >> at & 1:
+                own.append(i)
+                at -= size[i]
+        bins.append(own)
+        taken = set(own)
+        left = [i for i in left if i not in taken]
+    return bins
+
+
 def mutate(a: list[list[int]], size: list[int], rng: random.Random, capacity: int = CAPACITY) -> list[list[int]]:
-    """Empties the least filled sequences and some others, and best-fits what was in them in a new order."""
-    order = sorted(range(len(a)), key=lambda b: sum(size[i] for i in a[b]))
-    drop = {*order[: max(1, len(a) // 20)], *rng.sample(range(len(a)), max(1, len(a) // 20))}
+    """Empties the least filled sequences and some others, and fills them anew."""
+    used = [sum(size[i] for i in x) for x in a]
+    order = sorted(range(len(a)), key=lambda b: used[b])
+    drop = {*order[: max(2, len(a) // 20)], *rng.sample(range(len(a)), min(len(a), max(6, len(a) // 20)))}
     loose = [i for b in drop for i in a[b]]
-    rng.shuffle(loose)
-    loose.sort(key=lambda i: -(size[i] // 8))
-    return best_fit([list(x) for b, x in enumerate(a) if b not in drop], loose, size, capacity)
+    return [list(x) for b, x in enumerate(a) if b not in drop] + fill(loose, size, capacity)
 
 
 def evolve(size: list[int], seed: int, arrived: list[list[list[int]]], capacity: int = CAPACITY, population: int = POPULATION, generations: int = GENERATIONS) -> list[list[int]]:
@@ -124,7 +156,19 @@ def _bins(numbers: list[int]) -> list[list[int]]:
     return out
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY, cell_pieces: int = CELL_PIECES, islands: int = ISLANDS, epochs: int = EPOCHS) -> DataFrame:
+def _places(bins: list[int], size: list[int], capacity: int, last: bool) -> tuple[list[int], list[bool]]:
+    """Each piece's offset, and whether its sequence is taken apart again: the least filled ones, none in the last round."""
+    filled: dict[int, int] = {}
+    at = []
+    for n, b in zip(size, bins, strict=True):
+        at.append(filled.get(b, 0))
+        filled[b] = at[-1] + n
+    open_ = sorted((b for b, n in filled.items() if n < capacity - OPEN_ROOM), key=lambda b: (filled[b], b))
+    again = set() if last else set(open_[: max(1, int(len(filled) * OPEN_SHARE))])
+    return at, [b in again for b in bins]
+
+
+def pack(pieces: DataFrame, capacity: int = CAPACITY, cell_tokens: int = CELL_TOKENS, cell_pieces: int = CELL_PIECES, islands: int = ISLANDS, epochs: int = EPOCHS) -> DataFrame:
     """Adds sequence_id and offset to pieces, which have a length from 1 to ``capacity`` and columns of any other name.
 
     Offsets of a sequence begin with 0 and leave no gap; nothing is dropped or
@@ -134,55 +178,76 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, cell_pieces: int = CELL_PI
     while row in given:
         row = f"_{row}"
     table = _shared.through_table(pieces, "pieces").withColumn(row, F.monotonically_increasing_id())
-    whole = table.where(F.col("length") >= capacity)
-    rest = table.where(F.col("length") < capacity)
-    cells_n = max(1, -(-rest.count() // cell_pieces))
-    item = F.struct(*[F.col(c) for c in given])
-    cells = rest.groupBy(F.pmod(F.xxhash64(row), F.lit(cells_n)).alias("cell")).agg(F.collect_list(item).alias("items"))
-    cells = _shared.through_table(cells, "cells")
+    done = table.where(F.col("length") >= capacity).select(F.struct(*given).alias("item"), (-1 - F.col(row)).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    rest = table.where(F.col("length") < capacity).select(F.struct(*given).alias("item"), F.col(row).alias("row"), F.col("length").cast("int").alias("length"))
+    number = 0
+    while True:
+        n, tokens = rest.agg(F.count("*"), F.sum("length")).first()
+        cells = max(1, -(-n // cell_pieces), -(-(tokens or 0) // cell_tokens))
+        packed = _round(rest.withColumn("cell", F.pmod(F.xxhash64("row"), F.lit(cells))), capacity, cells == 1, islands, epochs)
+        ids = F.lit(number << 56) + F.col("cell") * F.lit(1 << 24) + F.col("bin")
+        done = done.unionByName(packed.where(~F.col("open")).select("item", ids.alias("sequence_id"), F.col("place").alias("offset")))
+        if cells == 1:
+            break
+        rest = packed.where("open").select("item", "row", "length")
+        number += 1
+    return done.select("item.*", "sequence_id", "offset")
 
-    def island_epoch(batches):
-        import pyarrow as pa
 
+def _round(pieces: DataFrame, capacity: int, last: bool, islands: int, epochs: int) -> DataFrame:
+    """Packs each cell's pieces (item, row, length, cell) for itself; adds bin, place and open."""
+    import pyarrow as pa
+    from pyspark.sql import types as T
+
+    _shared.bounded_arrow(pieces.sparkSession)
+    kind = T.StructType([*pieces.schema.fields, T.StructField("bin", T.LongType()), T.StructField("place", T.LongType()), T.StructField("open", T.BooleanType()), T.StructField("least", T.BooleanType())])
+
+    def first(key, group):
+        size = group.column("length").to_pylist()
+        best = best_fit([], sorted(range(len(size)), key=lambda i: (-size[i], i)), size, capacity)
+        bins = _numbers(best, len(size))
+        at, again = _places(bins, size, capacity, last)
+        least = len(best) <= -(-sum(size) // capacity)
+        for name, values in (("bin", pa.array(bins, pa.int64())), ("place", pa.array(at, pa.int64())), ("open", pa.array(again, pa.bool_())), ("least", pa.array([least] * len(size), pa.bool_()))):
+            group = group.append_column(name, values)
+        return group
+
+    fitted = _shared.through_table(pieces.groupBy("cell").applyInArrow(first, kind), "fitted")
+    packed, hard = fitted.where("least").drop("least"), fitted.where("not least")
+    if not hard.head(1):
+        return packed
+    cells = _shared.through_table(hard.groupBy("cell").agg(F.collect_list(F.struct("item", "row", "length", "bin")).alias("items")), "cells")
+
+    def island_epoch(batches):
+        schema = pa.schema([("cell", pa.int64()), ("island", pa.int32()), ("size", pa.list_(pa.int32())), ("elite", pa.list_(pa.int32())), ("used", pa.int64()), ("fill", pa.float64())])
         for batch in batches:
             out = []
             for cell, island, size, arrived in zip(*(batch.column(c).to_pylist() for c in ("cell", "island", "size", "arrived")), strict=True):
-                best = evolve(size, hash((cell, island, len(arrived))), [_bins(x) for x in arrived], capacity)
+                best = evolve(size, (cell * 64 + island) * 64 + len(arrived), [_bins(x) for x in arrived], capacity)
                 used = fitness(best, size, capacity)
                 out.append({"cell": cell, "island": island, "size": size, "elite": _numbers(best, len(size)), "used": -used[0], "fill": used[1]})
-            yield pa.RecordBatch.from_pylist(out, schema=pa.schema([("cell", pa.int64()), ("island", pa.int32()), ("size", pa.list_(pa.int32())), ("elite", pa.list_(pa.int32())), ("used", pa.int64()), ("fill", pa.float64())]))
+            yield pa.RecordBatch.from_pylist(out, schema=schema)
 
-    _shared.bounded_arrow(pieces.sparkSession)
-    state = cells.select("cell", F.transform("items", lambda x: x["length"].cast("int")).alias("size"), F.explode(F.sequence(F.lit(0), F.lit(islands - 1))).alias("island"), F.array().cast("array<array<int>>").alias("arrived"))
-    kind = "cell long, island int, size array<int>, elite array<int>, used long, fill double"
+    numbers = lambda c: F.transform("items", lambda x: x[c].cast("int"))
+    state = cells.select("cell", numbers("length").alias("size"), F.explode(F.sequence(F.lit(0), F.lit(islands - 1))).alias("island"), F.array(numbers("bin")).alias("arrived"))
     for epoch in range(epochs):
-        state = state.repartition("cell", "island").mapInArrow(island_epoch, kind)
+        state = state.repartition("cell", "island").mapInArrow(island_epoch, "cell long, island int, size array<int>, elite array<int>, used long, fill double")
         if epoch + 1 < epochs:
             state = _shared.through_table(state, "elites")
             away = state.select("cell", ((F.col("island") + 1) % islands).alias("island"), F.col("elite").alias("arriving"))
             state = state.join(away, ["cell", "island"]).select("cell", "size", "island", F.array("elite", "arriving").alias("arrived"))
-    best = state.groupBy("cell").agg(F.max_by("elite", F.struct(-F.col("used"), "fill", -F.col("island"))).alias("bins"))
+    best = state.groupBy("cell").agg(F.max_by(F.struct("size", "elite"), F.struct(-F.col("used"), "fill", -F.col("island"))).alias("x")).select("cell", "x.size", "x.elite")
 
     def offsets(batches):
-        import pyarrow as pa
-
         for batch in batches:
-            cell, sizes, bins = (batch.column(c).to_pylist() for c in ("cell", "size", "bins"))
-            places = []
-            for size, own in zip(sizes, bins, strict=True):
-                filled: dict[int, int] = {}
-                at = []
-                for n, b in zip(size, own, strict=True):
-                    at.append(filled.get(b, 0))
-                    filled[b] = at[-1] + n
-                places.append(at)
-            yield pa.RecordBatch.from_arrays([pa.array(cell, pa.int64()), pa.array(bins, pa.list_(pa.int64())), pa.array(places, pa.list_(pa.int64()))], names=["cell", "bins", "places"])
-
-    placed = cells.join(best, "cell").select("cell", F.transform("items", lambda x: x["length"].cast("int")).alias("size"), "bins").mapInArrow(offsets, "cell long, bins array<long>, places array<long>")
-    out = cells.join(placed, "cell").select("cell", F.explode(F.arrays_zip("items", "bins", "places")).alias("x"))
-    packed = out.select(*[F.col(f"x.items.`{c}`").alias(c) for c in given], (F.col("cell") * F.lit(1 << 24) + F.col("x.bins")).alias("sequence_id"), F.col("x.places").alias("offset"))
-    alone = whole.select(*given, (-1 - F.col(row)).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
-    return packed.unionByName(alone)
+            cell, sizes, elites = (batch.column(c).to_pylist() for c in ("cell", "size", "elite"))
+            found = [_places(own, size, capacity, last) for size, own in zip(sizes, elites, strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(cell, pa.int64()), pa.array(elites, pa.list_(pa.int64())), pa.array([x for x, _ in found], pa.list_(pa.int64())), pa.array([x for _, x in found], pa.list_(pa.bool_()))], names=["cell", "bins", "places", "opens"])
+
+    placed = cells.join(best.mapInArrow(offsets, "cell long, bins array<long>, places array<long>, opens array<boolean>"), "cell")
+    evolved = placed.select("cell", F.explode(F.arrays_zip("items", "bins", "places", "opens")).alias("x"))
+    evolved = evolved.select("x.items.item", "x.items.row", "x.items.length", "cell", F.col("x.bins").alias("bin"), F.col("x.places").alias("place"), F.col("x.opens").alias("open"))
+    return packed.unionByName(_shared.through_table(evolved, "evolved"))
 
 
 def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
