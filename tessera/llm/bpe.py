@@ -18,6 +18,7 @@ import io
 import json
 import struct
 from collections import Counter
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +32,10 @@ from . import _shared
 FREQUENT = 24
 #: Words of the lexicon: the most frequent ones of the whole corpus.
 LEXICON_WORDS = 1 << 16
-#: Whitespace-separated chunks that a task remembers before it starts anew.
-REMEMBERED = 400_000
+#: Whitespace-separated chunks, and characters of them, that a task remembers before it starts anew.
+REMEMBERED, REMEMBERED_CHARS = 400_000, 32 << 20
+#: Words of more bytes are merged one by one, by a heap of their pairs.
+LONG_WORD = 256
 
 _SPECIAL = ("<|startoftext|>", "<|endoftext|>")
 _SPECIAL_RE = regex.compile("(" + "|".join(map(regex.escape, _SPECIAL)) + ")")
@@ -119,6 +122,9 @@ class Merges:
         out: list[np.ndarray] = [None] * len(words)  # type: ignore[list-item]
         order = np.argsort(np.fromiter(map(len, words), np.int64, len(words)), kind="stable")
         start = 0
+        while len(order) and len(words[order[-1]]) > LONG_WORD:
+            out[order[-1]] = self._merge_long(words[order[-1]])
+            order = order[:-1]
         while start < len(order):  # words of about a length, so that rows are well filled
             longest = max(8, len(words[order[start]]) * 5 // 4)
             end = start + 1
@@ -131,6 +137,41 @@ class Merges:
             start = end
         return out
 
+    def _merge_long(self, word: bytes) -> np.ndarray:
+        """As _merge, of one word in time that grows little faster than its length: a heap of pairs over linked places."""
+        ids = self.first[np.frombuffer(word, np.uint8)].tolist()
+        ids[-1] = int(self.last[word[-1]])
+        n = len(ids)
+        after, before = [*range(1, n), -1], [*range(-1, n - 1)]
+        ranks = self.pairs.get(np.array(ids[:-1], np.int64) * self.base + np.array(ids[1:], np.int64)).tolist()
+        heap = [(value, i) for i, value in enumerate(ranks) if value >= 0]
+        heapify(heap)
+        known: dict[int, int] = {}
+
+        def push(i: int, j: int) -> None:
+            key = ids[i] * self.base + ids[j]
+            if (value := known.get(key)) is None:
+                value = known[key] = int(self.pairs.get(np.array([key], np.int64))[0])
+            current[i] = value
+            if value >= 0:
+                heappush(heap, (value, i))
+
+        current = [*ranks, -1]  # the value of the pair that begins at a place; -1 for none
+        while heap:
+            value, i = heappop(heap)
+            if current[i] != value:
+                continue
+            j = after[i]
+            ids[i], after[i], current[j] = value % self.base, after[j], -1
+            current[i] = -1
+            if after[j] >= 0:
+                before[after[j]] = i
+                push(i, after[j])
+            if before[i] >= 0:
+                push(before[i], i)
+            ids[j] = -1
+        return np.array([x for x in ids if x >= 0], np.int64)
+
     def _merge(self, words: list[bytes]) -> list[np.ndarray]:
         text, n = _matrix(words)
         at, rows = np.arange(text.shape[1]), np.arange(len(words))
@@ -295,7 +336,7 @@ class Encoder:
         self.known: dict[str, int] = {}
         self.flat, self.offsets, self.lengths = Growing(np.int32), Growing(np.int64), Growing(np.int64)
         self.texts: list[bytes] = []
-        self.used = 0
+        self.used = self.chars = 0
 
     def _exact(self, text: str) -> np.ndarray:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, np.int32)
@@ -383,7 +424,7 @@ class Encoder:
 
     def chunks(self, texts: list[str]) -> list[np.ndarray]:
         """The chunks of each text, as numbers of what this encoder knows."""
-        if len(self.known) > REMEMBERED:
+        if len(self.known) > REMEMBERED or self.chars > REMEMBERED_CHARS:
             self._anew()
         known, new, out = self.known, [], []
 
@@ -400,6 +441,7 @@ class Encoder:
         for text in texts:
             out.append(np.array([known[x] for x in self._split(text)], np.int64))
         if new:
+            self.chars += sum(map(len, new))
             self._resolve(new)
         return out
 

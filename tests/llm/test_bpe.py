@@ -31,14 +31,29 @@ def test_as_the_library_does(library, documents):
         compare(library, bpe.Encoder(PATH, known, decoded=True), [*documents.text, *odd])
 
 
+def test_long_words(library):
+    """Words of thousands of letters are the library's too, and take time that grows little faster than they do."""
+    import time
+
+    rng = random.Random(3)
+    words = ["".join(rng.choices("etaoinshrdlu", k=n)) for n in (250, 256, 257, 300, 2000, 9000)] + ["ab" * 700, "e" * 5001, "the" * 400, "!?" * 300, "é" * 999]
+    compare(library, bpe.Encoder(PATH, decoded=True), [" ".join(words), *words])
+    began = time.process_time()
+    assert len(bpe.Merges(PATH).apply([("".join(rng.choices("etaoinshrdlu", k=200_000))).encode()])[0]) > 50_000
+    assert time.process_time() - began < 20
+
+
 def test_a_forgetful_encoder_gives_the_same(library, documents):
     encoder = bpe.Encoder(PATH, decoded=True)
-    before, bpe.REMEMBERED = bpe.REMEMBERED, 100
-    try:
-        for i in range(0, 60, 10):
-            compare(library, encoder, list(documents.text[i : i + 10]))
-    finally:
-        bpe.REMEMBERED = before
+    for name in ("REMEMBERED", "REMEMBERED_CHARS"):
+        before = getattr(bpe, name)
+        setattr(bpe, name, 100)
+        try:
+            for i in range(0, 60, 10):
+                compare(library, encoder, list(documents.text[i : i + 10]))
+                assert len(encoder.known) < 20_000
+        finally:
+            setattr(bpe, name, before)
 
 
 def test_the_automaton_is_minimal_and_ranks_words():
