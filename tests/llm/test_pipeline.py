@@ -1,12 +1,21 @@
-import numpy as np
+import re
+from collections import Counter
+from itertools import combinations
+
 import pandas as pd
 
 import corpus_pipeline
-from tessera.llm import crf, langid, simhash
+from tessera.llm import crf, langid
 
 SF = "/root/testdata/sf0.01"
 
 
+def shingles(text):
+    """The set of a text's runs of five words, in lower case."""
+    words = re.findall(r"[^\x20\x09-\x0D]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text))
+    return {" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
 def test_stages_against_brute_force(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     labels = spark.read.parquet(f"{SF}/labels.parquet")
@@ -26,15 +35,33 @@ def test_stages_against_brute_force(spark):
 
     one = corpus_pipeline.simhash_near_dedup(spark, certain, SF).toPandas()
     left = certain.toPandas()
-    codes = simhash.fingerprints(left.text.tolist())
-    parent = {}
-    for i in range(len(codes)):  # the first of each group, by plain search
-        near = [parent[j] for j in np.flatnonzero(np.bitwise_count(codes[i] ^ codes[:i]) <= 2)]
-        parent[i] = min(near, default=i)
-        for j in parent:
-            if parent[j] in near:
-                parent[j] = parent[i]
-    assert len(one) == len(set(parent.values()))
+    kinds = {i: shingles(t) for i, t in zip(left.doc_id, left.text)}
+    group, holders = {i: i for i in kinds}, {}
+    for i, own in kinds.items():
+        for x in own or {""}:  # texts without words are alike
+            holders.setdefault(x, []).append(i)
+    common = Counter(pair for own in holders.values() for pair in combinations(own, 2))
+    for (i, j), n in common.items():  # the groups of alike texts, by counting what all pairs share
+        if group[i] != group[j] and 5 * n >= 4 * (len(kinds[i]) + len(kinds[j]) - n):
+            old, new = group[j], group[i]
+            group = {k: new if g == old else g for k, g in group.items()}
+    assert len(set(group.values())) < len(left)
+    assert sorted(group[i] for i in one.doc_id) == sorted(set(group.values()))
 
     packed = corpus_pipeline.run(spark, SF).toPandas()
     assert sorted(set(packed.doc_id)) == sorted(one.doc_id)
+
+
+def test_stages_on_odd_rows_and_on_nothing(spark, odd, odd_rows, none):
+    """What the stages' docstrings say of nulls, empty and very long texts, repeated rows and empty tables."""
+    good = corpus_pipeline.quality_classifier(spark, odd, SF)
+    assert good.columns == odd.columns
+    certain = corpus_pipeline.language_id(spark, odd, SF)
+    assert certain.columns == odd.columns and all(r.text and any(c.isalpha() for c in r.text) for r in certain.collect())
+    one = corpus_pipeline.simhash_near_dedup(spark, odd, SF).collect()
+    assert sum(r.text == "same text here" for r in one) == 1 and sum(not (r.text or "").split() for r in one) == 1
+    assert {r.text for r in one if (r.text or "").split()} == {t for _, t, *_ in odd_rows if (t or "").split()}
+    packed = corpus_pipeline.best_fit_packing(spark, odd, SF).collect()
+    assert sum(r.piece == 0 for r in packed) == len(odd_rows)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, none, SF).count() == 0
