@@ -35,6 +35,8 @@ EPOCHS = 2
 POPULATION = 4
 GENERATIONS = 8
 END_ID = 1
+#: Tasks of an epoch, at most.
+MOST_TASKS = 1 << 14
 _SLOT = 1 << 24
 
 
@@ -229,9 +231,10 @@ def _round(pieces: DataFrame, capacity: int, last: bool, islands: int, epochs: i
             yield pa.RecordBatch.from_pylist(out, schema=schema)
 
     numbers = lambda c: F.transform("items", lambda x: x[c].cast("int"))
+    tasks = min(MOST_TASKS, cells.count() * islands)  # few bytes, but much to do: not to be put together into few tasks
     state = cells.select("cell", numbers("length").alias("size"), F.explode(F.sequence(F.lit(0), F.lit(islands - 1))).alias("island"), F.array(numbers("bin")).alias("arrived"))
     for epoch in range(epochs):
-        state = state.repartition("cell", "island").mapInArrow(island_epoch, "cell long, island int, size array<int>, elite array<int>, used long, fill double")
+        state = state.repartition(tasks, "cell", "island").mapInArrow(island_epoch, "cell long, island int, size array<int>, elite array<int>, used long, fill double")
         if epoch + 1 < epochs:
             state = _shared.through_table(state, "elites")
             away = state.select("cell", ((F.col("island") + 1) % islands).alias("island"), F.col("elite").alias("arriving"))
