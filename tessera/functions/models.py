@@ -116,9 +116,10 @@ def classify(rows: DataFrame, name: str, model: str, **parameters) -> DataFrame:
     """The rows with classifier_scores, classifier_class and classifier_score."""
     factory = CLASSIFIERS.get(model)
 
-    def batch(names: pd.Series) -> pd.Series:
+    def batch(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         own = factory(**parameters)
-        return names.map(own)
+        for names in batches:
+            yield names.map(own)
 
     scores = F.pandas_udf(batch, "array<double>")(F.col(name))
     best = (F.array_position("classifier_scores", F.array_max("classifier_scores")) - 1).cast("int")

@@ -215,11 +215,20 @@ def consensus_parts(members: DataFrame, method: str, component: str = "component
     return members.groupBy(component).agg(F.collect_list(member).alias("own")).select(component, F.pandas_udf(made, kind)("own").alias("parts"))
 
 
-def _union_area_column(boxes: Column) -> Column:
-    def areas(column: pd.Series) -> pd.Series:
-        return column.map(lambda own: union_area([(b["xmin"], b["ymin"], b["xmax"], b["ymax"]) for b in own]))
+def covered_areas(members: DataFrame, by: str = "component") -> DataFrame:
+    """``by`` and area: what the boxes of each group cover together.
 
-    return F.pandas_udf(areas, "double")(boxes)
+    The sides of a group's boxes cut it into strips; in each strip the boxes across it
+    are spans, which are added up in order but for what earlier ones cover. Work is by
+    strip, so a group may be of any size.
+    """
+    sides = members.select(by, F.col("xmin").alias("x0")).union(members.select(by, F.col("xmax").alias("x0"))).distinct()
+    strips = sides.withColumn("x1", F.lead("x0").over(Window.partitionBy(by).orderBy("x0"))).where(F.col("x1").isNotNull()).alias("s")
+    own = members.select(by, *g.SIDES).alias("m")
+    spans = strips.join(own, by).where("m.xmin <= s.x0 AND m.xmax >= s.x1").select(by, "x0", "x1", "ymin", "ymax")
+    earlier = Window.partitionBy(by, "x0").orderBy("ymin", "ymax").rowsBetween(Window.unboundedPreceding, -1)
+    new = F.greatest(F.col("ymax") - F.greatest("ymin", F.coalesce("so_far", "ymin")), F.lit(0.0))
+    return spans.withColumn("so_far", F.max("ymax").over(earlier)).groupBy(by).agg(F.sum((F.col("x1") - F.col("x0")) * new).alias("area"))
 
 
 def consensus(members: DataFrame, component: str = "component", run: str = "run_index", score: str | None = "segmenter_score", order: str = "flat_index", geometry: str = "best_score", aggregate_score: str = "mean", min_observations: int = 1, agreement: bool = True) -> DataFrame:
@@ -246,19 +255,19 @@ def consensus(members: DataFrame, component: str = "component", run: str = "run_
         F.coalesce(total, 1 / observed).alias("segmenter_score"),
         tile.alias("tile"), observed.alias("observation_count"), F.count("*").alias("members"),
         F.sort_array(F.collect_set(run)).alias("source_runs"), F.min(order).alias("first_member"),
-        common.alias("_common"), F.max(a).alias("_largest"), F.collect_list(box).alias("_boxes") if agreement else F.lit(None).alias("_boxes"),
+        common.alias("_common"), F.max(a).alias("_largest"),
     )
     kept = grouped.where(F.col("observation_count") >= min_observations)
     if agreement:
-        kept = kept.withColumn("_union", F.when(F.col("members") == 1, F.col("_largest")).otherwise(_union_area_column(F.col("_boxes"))))
+        several = members.join(grouped.where("members > 1").select(component), component, "left_semi")
+        kept = kept.join(covered_areas(several, component).withColumnRenamed("area", "_union"), component, "left")
         kept = kept.withColumn("run_agreement", F.when(F.col("members") == 1, 1.0).otherwise(g.ratio(F.col("_common"), F.col("_union")))).drop("_union")
-    return kept.select("*", "_box.*").drop("_box", "_common", "_largest", "_boxes")
+    return kept.select("*", "_box.*").drop("_box", "_common", "_largest")
 
 
 def merge_runs(boxes: DataFrame, threshold: float = 0.3, cell: float = 10.0, key: str = "object_id", run: str = "run_index", **how) -> DataFrame:
     """Objects seen in several runs as one: overlapping boxes of different runs are linked, linked boxes are one object, numbered by first member."""
-    order = Window.partitionBy(run).orderBy(key)
-    flat = settle(boxes.withColumn("_n", F.row_number().over(order)).withColumn("flat_index", F.col(run).cast("long") * F.lit(1 << 40) + F.col("_n")).drop("_n"), "runs")
+    flat = settle(numbered(boxes.withColumn("_order", F.struct(run, key)), "_order", "flat_index").drop("_order"), "runs")
     pairs = overlap_pairs(flat.select("flat_index", run, *g.SIDES), "flat_index", cell)
     edges = pairs.where((F.col(f"a_{run}") != F.col(f"b_{run}")) & (g.iou(g.box("a_"), g.box("b_")) >= threshold)).select(F.col("a_flat_index").alias("a"), F.col("b_flat_index").alias("b"))
     groups = connected_components(edges).withColumnRenamed("node", "flat_index")

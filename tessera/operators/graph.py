@@ -2,9 +2,10 @@
 
 Each round is a plan of joins and windows; its result is written to the shared
 folder, so plans don't grow with the rounds and a lost executor costs one round.
-Rounds follow the longest chain of decisions, and the last of them are over few
-edges. Once no more than ``small`` edges are left, which is counted, one task works
-them off in order; the result is the same.
+Rounds follow the longest chain of decisions, and the last of them are over a
+handful of edges. Once no more than ``small`` are left, which is counted, one task
+works off this end of a chain in order; the result is the same, and with 0 there are
+rounds to the last.
 """
 
 from __future__ import annotations
@@ -17,8 +18,8 @@ from pyspark.sql import functions as F
 
 from ..plans.storage import settle
 
-#: Edges that one task may hold: some tens of megabytes.
-SMALL = 200_000
+#: Edges that are left to one task at the end, at most: less than a megabyte.
+SMALL = 1000
 
 
 def _whole(df: DataFrame, work, schema) -> DataFrame:
@@ -83,7 +84,6 @@ def greedy_match(edges: DataFrame, order: Sequence, by: Sequence[str] = (), a: s
     at_a = Window.partitionBy(*by, a).orderBy(*order)
     at_b = Window.partitionBy(*by, b).orderBy(*order)
 
-
     def in_order(rows: pd.DataFrame) -> pd.DataFrame:
         used_a, used_b, kept = set(), set(), []
         keys = list(zip(*(rows[c] for c in by), strict=True)) if by else [()] * len(rows)
@@ -118,7 +118,6 @@ def greedy_suppress(edges: DataFrame, by: Sequence[str] = (), small: int = SMALL
     """
     left, dropped = settle(edges.select(*by, "hi", "lo"), "conflicts"), []
 
-
     def in_rounds(rows: pd.DataFrame) -> pd.DataFrame:
         names, lost = [*by, "lo"], []
         rows = rows.assign(_hi=list(zip(*(rows[c] for c in (*by, "hi")), strict=True)), _lo=list(zip(*(rows[c] for c in names), strict=True)))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry as g
 from ..plans.storage import settle
-from .fusion import _union_area_column, numbered
+from .fusion import covered_areas, numbered
 from .graph import connected_components, greedy_match
 from .spatial import distance_join, overlap_pairs
 
@@ -72,13 +72,13 @@ def reference_objects(objects: DataFrame, groups: DataFrame, key: str = "object_
     common = F.greatest(F.min(b[2]) - F.max(b[0]), F.lit(0.0)) * F.greatest(F.min(b[3]) - F.max(b[1]), F.lit(0.0))
     grouped = members.groupBy("component").agg(
         F.max_by(box, F.struct(F.coalesce(own, F.lit(float("-inf"))), -F.col(key))).alias("box"), F.count_distinct(position).alias("observation_count"), F.array_join(F.sort_array(F.collect_set(position)), ",").alias("date_coverage"),
-        F.count("*").alias("members"), F.min(key).alias("first_member"), F.round(F.avg(own), 4).alias("mean_segmenter_score"), common.alias("common"), F.max(a).alias("largest"), F.collect_list(box).alias("boxes"),
+        F.count("*").alias("members"), F.min(key).alias("first_member"), F.round(F.avg(own), 4).alias("mean_segmenter_score"), common.alias("common"), F.max(a).alias("largest"),
     )
-    union = F.when(F.col("members") == 1, F.col("largest")).otherwise(_union_area_column(F.col("boxes")))
-    found = grouped.withColumn("union", union).withColumn("run_agreement", F.when(F.col("members") == 1, 1.0).otherwise(g.ratio(F.col("common"), F.col("union"))))
+    covered = covered_areas(members.join(grouped.where("members > 1").select("component"), "component", "left_semi")).withColumnRenamed("area", "union")
+    found = grouped.join(covered, "component", "left").withColumn("run_agreement", F.when(F.col("members") == 1, 1.0).otherwise(g.ratio(F.col("common"), F.col("union"))))
     found = found.join(double, "component").withColumn("merge_ambiguity", F.col("most") > 1)
     found = found.withColumn("temporal_confidence", F.round(F.col("run_agreement") * (1 - F.col("surplus") / F.col("members")), 4)).withColumn("run_agreement", F.round("run_agreement", 4))
-    named = numbered(found.drop("boxes", "common", "largest", "union", "most"), "first_member", "number")
+    named = numbered(found.drop("common", "largest", "union", "most"), "first_member", "number")
     named = named.withColumn("crown_id", F.concat(F.lit(f"{site}_"), F.lpad(F.col("number").cast("string"), 6, "0"))).drop("number")
     return named.where(F.col("observation_count") >= min_dates).select("crown_id", "component", "box.*", "observation_count", "date_coverage", "members", "run_agreement", "merge_ambiguity", "temporal_confidence", "mean_segmenter_score")
 

@@ -91,11 +91,16 @@ def part_area():
     return F.aggregate("parts", F.lit(0.0), lambda a, b: a + (b["xmax"] - b["xmin"]) * (b["ymax"] - b["ymin"]))
 
 
-@query("agg09_consensus_union", COMP + f"SELECT component, {r(f'CASE WHEN count(*) = 1 THEN sum({AREA}) ELSE sum({AREA}) - greatest(min(xmax) - max(xmin), 0) * greatest(min(ymax) - max(ymin), 0) END')} AS area FROM mem GROUP BY component HAVING count(*) <= 2")
+#: CTEs for DuckDB: covered (component, area) is the area that a component's boxes cover together, by strips between their sides.
+COVERED = """, strip AS (SELECT component, x AS x0, lead(x) OVER (PARTITION BY component ORDER BY x) AS x1 FROM (SELECT component, xmin AS x FROM mem UNION SELECT component, xmax FROM mem) q),
+span AS (SELECT s.component, x0, x1, ymin, ymax, max(ymax) OVER (PARTITION BY s.component, x0 ORDER BY ymin, ymax ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS so_far
+         FROM strip s JOIN mem m ON m.component = s.component AND m.xmin <= s.x0 AND m.xmax >= s.x1),
+covered AS (SELECT component, sum((x1 - x0) * greatest(ymax - greatest(ymin, coalesce(so_far, ymin)), 0)) AS area FROM span GROUP BY component)"""
+
+
+@query("agg09_consensus_union", COMP + COVERED + f" SELECT component, {r('area')} AS area FROM covered")
 def _(s, d):
-    m = members(s, d)
-    few = m.groupBy("component").agg(F.count("*").alias("n")).where("n <= 2")
-    return fusion.consensus_parts(m.join(few, "component", "left_semi"), "union").select("component", part_area().alias("area"))
+    return fusion.consensus_parts(members(s, d), "union").select("component", part_area().alias("area"))
 
 
 @query("agg09_consensus_blend")
@@ -105,14 +110,13 @@ def _(s, d):
     return blend.join(fusion.consensus_parts(m, "majority_union").select("component", part_area().alias("majority")), "component")
 
 
-TWO = f"mem WHERE component IN (SELECT component FROM mem GROUP BY component HAVING count(*) <= 2)"
-AGREE = f"greatest(min(xmax) - max(xmin), 0) * greatest(min(ymax) - max(ymin), 0)"
+AGREE = "CASE WHEN count(*) = 1 THEN 1 ELSE greatest(min(xmax) - max(xmin), 0) * greatest(min(ymax) - max(ymin), 0) / any_value(area) END"
 
 
-@query("agg10_run_agreement", COMP + f"SELECT component, {r(f'CASE WHEN count(*) = 1 THEN 1 ELSE ({AGREE}) / (sum({AREA}) - ({AGREE})) END')} AS agreement FROM {TWO} GROUP BY component")
+@query("agg10_run_agreement", COMP + COVERED + f" SELECT component, {r(AGREE)} AS agreement FROM mem JOIN covered USING (component) GROUP BY component")
 def _(s, d):
     found = fusion.consensus(members(s, d).withColumn("flat_index", F.col("object_id")))
-    return found.where("members <= 2").select("component", F.col("run_agreement").alias("agreement"))
+    return found.select("component", F.col("run_agreement").alias("agreement"))
 
 
 @query("agg11_representative_tile", COMP + "SELECT component, arg_max(tile, (segmenter_score, -object_id)) AS tile FROM mem GROUP BY component")
@@ -126,18 +130,18 @@ def _(s, d):
     return by.groupBy("component").agg((F.max("n") > 1).alias("ambiguous"), (F.sum(F.greatest(F.col("n") - 1, F.lit(0))) / F.sum("n")).alias("penalty"))
 
 
-@query("agg13_temporal_confidence", COMP + f", p AS (SELECT component, sum(greatest(n - 1, 0)) / sum(n) AS penalty FROM (SELECT component, date_pos, count(*) AS n FROM mem GROUP BY ALL) q GROUP BY component), t AS (SELECT component, CASE WHEN count(*) = 1 THEN 1 ELSE ({AGREE}) / (sum({AREA}) - ({AGREE})) END AS agreement FROM {TWO} GROUP BY component) SELECT component, {r('round(agreement * (1 - penalty), 4)')} AS confidence FROM t JOIN p USING (component)")
+@query("agg13_temporal_confidence", COMP + COVERED + f", p AS (SELECT component, sum(greatest(n - 1, 0)) / sum(n) AS penalty FROM (SELECT component, date_pos, count(*) AS n FROM mem GROUP BY ALL) q GROUP BY component), t AS (SELECT component, {AGREE} AS agreement FROM mem JOIN covered USING (component) GROUP BY component) SELECT component, {r('agreement * (1 - penalty)')} AS confidence FROM t JOIN p USING (component)")
 def _(s, d):
     m = members(s, d)
-    found = fusion.consensus(m.withColumn("flat_index", F.col("object_id"))).where("members <= 2").select("component", "run_agreement")
+    found = fusion.consensus(m.withColumn("flat_index", F.col("object_id"))).select("component", "run_agreement")
     penalty = m.groupBy("component", "date_pos").agg(F.count("*").alias("n")).groupBy("component").agg((F.sum(F.greatest(F.col("n") - 1, F.lit(0))) / F.sum("n")).alias("penalty"))
-    return found.join(penalty, "component").select("component", F.round(F.col("run_agreement") * (1 - F.col("penalty")), 4).alias("confidence"))
+    return found.join(penalty, "component").select("component", (F.col("run_agreement") * (1 - F.col("penalty"))).alias("confidence"))
 
 
-@query("agg14_mean_best_score", COMP + f"SELECT component, {r('floor(avg(segmenter_score) * 10000 + 0.25)')} AS score FROM mem GROUP BY component")
+@query("agg14_mean_best_score", COMP + f"SELECT component, {r('avg(segmenter_score)')} AS score FROM mem GROUP BY component")
 def _(s, d):
     m = members(s, d)
-    return m.groupBy("component").agg(F.floor(F.avg(fusion.score_column(m, ["aggregator_score", "segmenter_score", "detector_score"])) * 10000 + 0.25).alias("score"))
+    return m.groupBy("component").agg(F.avg(fusion.score_column(m, ["aggregator_score", "segmenter_score", "detector_score"])).alias("score"))
 
 
 @query("agg15_score_column", "SELECT 'segmenter_score' AS first, 'detector_score' AS second")
@@ -279,13 +283,16 @@ def _(s, d):
     return grouped.withColumn("turns", F.array_join(F.transform("turns", lambda x: x.cast("string")), ","))
 
 
-@query("agg33_dissolve")
+DISSOLVED = duck("truth").replace("WITH ", "WITH RECURSIVE ", 1) + f", {cells('truth', 'tc')}, meet AS MATERIALIZED (SELECT a.truth AS a, b.truth AS b FROM tc a JOIN tc b ON a.truth < b.truth AND {in_first_cell()}), {reached('meet')}, mem AS MATERIALIZED (SELECT truth.*, coalesce(component, truth) AS component FROM truth LEFT JOIN comp ON node = truth)"
+
+
+@query("agg33_dissolve", DISSOLVED + COVERED + f" SELECT component AS part, count(*) AS members, {r('any_value(area)')} AS area FROM mem JOIN covered USING (component) GROUP BY component")
 def _(s, d):
     t = view(s, d, "truth").select("truth", *g.SIDES)
     pairs_ = spatial.overlap_pairs(t, "truth", 10.0).select(F.col("a_truth").alias("a"), F.col("b_truth").alias("b"))
     groups = graph.connected_components(pairs_).withColumnRenamed("node", "truth")
-    parts = t.join(groups, "truth", "left").withColumn("part", F.coalesce("component", "truth")).groupBy("part").agg(F.collect_list(F.struct(*g.SIDES)).alias("boxes"))
-    return parts.select("part", F.size("boxes").alias("members"), fusion._union_area_column(F.col("boxes")).alias("area"))
+    parts = t.join(groups, "truth", "left").withColumn("part", F.coalesce("component", "truth"))
+    return parts.groupBy("part").agg(F.count("*").alias("members")).join(fusion.covered_areas(parts, "part"), "part")
 
 
 @query("agg34_summary_counts", COMP + ", q AS (SELECT component, count(DISTINCT date_pos) AS dates, count(*) AS n FROM mem GROUP BY component) SELECT count(*) AS total, count(*) FILTER (dates > 1) AS several, count(*) FILTER (dates = 7) AS every, count(*) FILTER (n > dates) AS ambiguous FROM q")

@@ -198,13 +198,12 @@ def _(s, d):
     return ann.whole_records(notes).select("event_id", F.col("image_id").alias("user_id"))
 
 
-@query("flt28_corrupt_images")
+@query("flt28_corrupt_images", "SELECT doc_id, doc_id % 3 = 0 AS corrupt FROM documents")
 def _(s, d):
     from ..sources import files
 
     content = F.when(F.col("doc_id") % 3 == 0, F.lit(b"short")).otherwise(F.lit(files.raster_bytes([[[1, 2], [3, 4]]] * 3, (1, 0, 0, 0, -1, 0))))
-    corrupt = F.udf(files.is_corrupt, "boolean", useArrow=True)
-    return table(s, d, "documents").select("doc_id", corrupt(content).alias("corrupt"))
+    return table(s, d, "documents").select("doc_id", files.corrupt(content).alias("corrupt"))
 
 
 @query("flt29_random_drop")

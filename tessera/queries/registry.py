@@ -1,4 +1,4 @@
-"""Where queries register, and how their results are made comparable."""
+"""Where queries register, and how results are made comparable where they are held against SQL; the queries themselves return what they compute."""
 
 from __future__ import annotations
 
@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
+#: Queries that are compared as they are.
+EXACT: set[str] = set()
 #: Keeps values that lie between two rounded ones, as means of rounded values often do, from going either way.
 NUDGE = 2e-10
 
@@ -33,7 +35,9 @@ def query(name: str, sql: str | None = None, exact: bool = False) -> Callable[[Q
     def keep(f: Query) -> Query:
         if name in QUERIES:
             raise ValueError(f"two queries {name}")
-        QUERIES[name] = f if exact else lambda spark, sf_dir: comparable(f(spark, sf_dir))
+        QUERIES[name] = f
+        if exact:
+            EXACT.add(name)
         if sql is not None:
             ORACLES[name] = sql
         return f
@@ -41,6 +45,12 @@ def query(name: str, sql: str | None = None, exact: bool = False) -> Callable[[Q
     return keep
 
 
+def compared(name: str) -> Query:
+    """The query, its numbers as comparisons with SQL need them."""
+    f = QUERIES[name]
+    return f if name in EXACT else lambda spark, sf_dir: comparable(f(spark, sf_dir))
+
+
 def r(expression: str) -> str:
     """A rounded value in SQL, as comparable() rounds it."""
     return f"(round(CAST({expression} AS DOUBLE) + 2e-10, 6) + 0.0)"

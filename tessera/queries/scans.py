@@ -10,7 +10,7 @@ from ..functions import raster as ras
 from ..operators import imagery, tiling
 from ..plans.storage import workspace
 from ..sources import annotations as ann
-from ..sources import files, packages
+from ..sources import archives, files, packages
 from ..views import duck, table, view
 from .registry import query, r
 
@@ -47,7 +47,10 @@ def _(s, d):
     return table(s, d, "part").select("p_partkey", *[c.alias(n) for n, c in names.parse_tile_name(path).items()])
 
 
-@query("src05_raster_window")
+_BYTE = "CAST(trunc(least(greatest({b} * 255.0, 0), 255)) AS BIGINT)"
+
+
+@query("src05_raster_window", duck("bands") + "SELECT b AS band, 16 * count(*) FILTER (\"row\" = 0 AND col = 0) AS pixels, CAST(sum(v) FILTER (\"row\" < 3 AND col < 3) AS BIGINT) AS total FROM (" + " UNION ALL ".join(f"SELECT {i} AS b, \"row\", col, {_BYTE.format(b=b)} AS v FROM bands WHERE red IS NOT NULL AND green IS NOT NULL AND blue IS NOT NULL" for i, b in enumerate(("red", "green", "blue"))) + ") q GROUP BY b")
 def _(s, d):
     folder = mounted(s, "rasters")
     files_written = write_rasters(s, d, folder)
@@ -55,7 +58,7 @@ def _(s, d):
     return files.read_rasters(s, f"file://{folder}", (-1, -1, 4, 4)).groupBy("band").agg(F.count("*").alias("pixels"), F.sum("value").alias("total"))
 
 
-def write_rasters(s, d, folder, tiles=8):
+def write_rasters(s, d, folder):
     """Byte tiles of three bands as files, one for each tile."""
     import os
 
@@ -71,7 +74,7 @@ def write_rasters(s, d, folder, tiles=8):
         os.replace(f"{path}.part", path)
         return pd.DataFrame({"tile": [int(own.tile.iloc[0])], "path": [path]})
 
-    b = view(s, d, "bands").where(F.col("tile") < tiles).withColumns({c: ras.to_byte(F.col(c)) for c in ("red", "green", "blue")})
+    b = view(s, d, "bands").where("red IS NOT NULL AND green IS NOT NULL AND blue IS NOT NULL").withColumns({c: ras.to_byte(F.col(c)) for c in ("red", "green", "blue")})
     return b.select("tile", "row", "col", "red", "green", "blue").groupBy("tile").applyInPandas(write, "tile long, path string")
 
 
@@ -85,7 +88,7 @@ def _(s, d):
     return imagery.stretched(view(s, d, "bands"), ["green"]).select("tile", "row", "col", "green")
 
 
-@query("src08_tile_folder", "SELECT 8 AS files")
+@query("src08_tile_folder", duck("bands") + "SELECT count(DISTINCT tile) AS files FROM bands WHERE red IS NOT NULL AND green IS NOT NULL AND blue IS NOT NULL")
 def _(s, d):
     folder = mounted(s, "rasters")
     write_rasters(s, d, folder).count()
@@ -110,11 +113,11 @@ def _(s, d):
 def documents(s, d):
     images = F.array(*[F.struct(F.lit(k).cast("long").alias("id"), F.concat(F.lit(f"im{k}_"), "p_partkey").alias("file_name")) for k in (1, 2)])
     notes = F.array(*[F.struct(F.lit(k).cast("long").alias("id"), F.lit(1 + k % 2).cast("long").alias("image_id"), F.array(F.col("p_retailprice")).alias("bbox")) for k in (1, 2, 3)])
-    made = table(s, d, "part").where("p_partkey <= 200").select(F.col("p_partkey").alias("ord"), F.to_json(F.struct(images.alias("images"), notes.alias("annotations"))).alias("document"))
+    made = table(s, d, "part").select(F.col("p_partkey").alias("ord"), F.to_json(F.struct(images.alias("images"), notes.alias("annotations"))).alias("document"))
     return made.select("ord", ann.parse(F.col("document")).alias("x")).select("ord", "x.*")
 
 
-@query("src11_merge_documents", "SELECT (p_partkey - 1) * 3 + k AS id, (p_partkey - 1) * 2 + 1 + k % 2 AS image_id FROM (SELECT row_number() OVER (ORDER BY p_partkey) AS p_partkey FROM part WHERE p_partkey <= 200) q, (VALUES (1), (2), (3)) t(k)")
+@query("src11_merge_documents", "SELECT (p_partkey - 1) * 3 + k AS id, (p_partkey - 1) * 2 + 1 + k % 2 AS image_id FROM (SELECT row_number() OVER (ORDER BY p_partkey) AS p_partkey FROM part) q, (VALUES (1), (2), (3)) t(k)")
 def _(s, d):
     return ann.merge_documents(documents(s, d), "ord")[1].select("id", "image_id")
 
@@ -155,10 +158,10 @@ def _(s, d):
     return table(s, d, "region").join(F.broadcast(known), "r_regionkey").select("r_name", "tiles", (F.col("r_regionkey") % 2 == 0).alias("in_use"))
 
 
-@query("src17_xml_boxes", "SELECT concat('p', p_partkey) AS file_name, 100 + 0.5 * p_size AS xmin, 900 - 0.5 * 20 AS ymin, 100 + 0.5 * (p_size + 3) AS xmax FROM part WHERE p_partkey <= 100")
+@query("src17_xml_boxes", "SELECT concat('p', p_partkey) AS file_name, 100 + 0.5 * p_size AS xmin, 900 - 0.5 * 20 AS ymin, 100 + 0.5 * (p_size + 3) AS xmax FROM part")
 def _(s, d):
     box = F.struct(*[c.cast("double").alias(n) for c, n in zip((F.col("p_size"), F.lit(10), F.col("p_size") + 3, F.lit(20)), g.SIDES)])
-    rows = table(s, d, "part").where("p_partkey <= 100").select(F.concat(F.lit("p"), "p_partkey").alias("filename"), F.array(F.struct(F.lit("Tree").alias("name"), box.alias("bndbox"))).alias("object"))
+    rows = table(s, d, "part").select(F.concat(F.lit("p"), "p_partkey").alias("filename"), F.array(F.struct(F.lit("Tree").alias("name"), box.alias("bndbox"))).alias("object"))
     out = workspace(s, "xml")
     rows.write.format("xml").option("rowTag", "annotation").option("rootTag", "all").save(out)
     return files.read_xml_boxes(s, out, (0.5, 0.0, 100.0, 0.0, -0.5, 900.0)).select("file_name", "xmin", "ymin", "xmax")
@@ -192,6 +195,35 @@ def _(s, d):
     return files.round_trip(m, out, "json").groupBy("product").agg(F.count("*").alias("n"))
 
 
+@query("src22_archive_members", "SELECT r_regionkey AS archive, concat('n', n_nationkey, '.txt') AS member, length(n_name) AS size FROM region JOIN nation ON n_regionkey = r_regionkey")
+def _(s, d):
+    import io
+    import zipfile
+
+    folder = mounted(s, "archives")
+
+    def pack(key, group):
+        import os
+
+        import pandas as pd
+
+        inner, outer = io.BytesIO(), io.BytesIO()
+        with zipfile.ZipFile(inner, "w") as archive:
+            for n, name in zip(group.n_nationkey, group.n_name, strict=True):
+                archive.writestr(f"n{n}.txt", name)
+        with zipfile.ZipFile(outer, "w") as archive:
+            archive.writestr("inner.zip", inner.getvalue())
+        os.makedirs(folder, exist_ok=True)
+        with open(f"{folder}/{key[0]}.zip.part", "wb") as out:
+            out.write(outer.getvalue())
+        os.replace(f"{folder}/{key[0]}.zip.part", f"{folder}/{key[0]}.zip")
+        return pd.DataFrame({"n": [len(group)]})
+
+    table(s, d, "nation").groupBy("n_regionkey").applyInPandas(pack, "n long").collect()
+    rows = archives.read_archives(s, f"file://{folder}")
+    return rows.select(names.stem(F.col("archive")).cast("long").alias("archive"), F.substring_index("path", "/", -1).alias("member"), F.length("content").cast("long").alias("size"))
+
+
 @query("src24_dated_runs", "SELECT strftime(ts, '%Y%m%d') AS date, concat('/out/', strftime(ts, '%Y%m%d'), '/', max(lpad(CAST(event_id AS VARCHAR), 9, '0')), '_inferfinal.gpkg') AS path FROM events WHERE event_id % 2 = 0 GROUP BY strftime(ts, '%Y%m%d')")
 def _(s, d):
     folder = F.when(F.col("event_id") % 7 == 0, F.date_format("ts", "yyyyMMdd")).otherwise(F.date_format("ts", "yyyyMMdd"))

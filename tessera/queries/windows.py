@@ -88,14 +88,14 @@ def _(s, d):
     return table(s, d, "events").select("event_id", F.last(F.when(F.col("event_id") % 3 == 0, F.col("event_type")), True).over(w).alias("stage"))
 
 
-@query("srt01_by_score", duck("det") + f"SELECT object_id, {r('detector_score')} AS score FROM det ORDER BY detector_score DESC, object_id LIMIT 100")
+@query("srt01_by_score", duck("det") + f"SELECT object_id, {r('detector_score')} AS score FROM det ORDER BY detector_score DESC, object_id")
 def _(s, d):
-    return view(s, d, "det").orderBy(F.desc("detector_score"), "object_id").limit(100).select("object_id", F.col("detector_score").alias("score"))
+    return view(s, d, "det").orderBy(F.desc("detector_score"), "object_id").select("object_id", F.col("detector_score").alias("score"))
 
 
-@query("srt02_pair_order", duck("det", "truth") + f", {TRUE_PAIRS} SELECT pred, truth FROM hits ORDER BY iou DESC, pred DESC, truth DESC LIMIT 50")
+@query("srt02_pair_order", duck("det", "truth") + f", {TRUE_PAIRS} SELECT pred, truth FROM hits ORDER BY iou DESC, pred DESC, truth DESC")
 def _(s, d):
-    return true_pairs(s, d).orderBy(F.desc(F.struct("iou", "pred", "truth"))).limit(50).select("pred", "truth")
+    return true_pairs(s, d).orderBy(F.desc(F.struct("iou", "pred", "truth"))).select("pred", "truth")
 
 
 @query("srt03_best_configuration", duck("metrics") + f"SELECT product, run, {r('sum(f1 * num_truths) / sum(num_truths)')} AS f1 FROM metrics GROUP BY product, run ORDER BY sum(f1 * num_truths) / sum(num_truths) DESC, product, run LIMIT 1")

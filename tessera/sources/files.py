@@ -6,7 +6,8 @@ import struct
 import zlib
 from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import names
@@ -116,8 +117,6 @@ def read_rasters(spark: SparkSession, path: str, window: tuple[int, int, int, in
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.tif").load(path).select("path", "content")
 
     def rows(batches) -> Iterator:
-        import pandas as pd
-
         for batch in batches:
             for name, content in zip(batch.path, batch.content, strict=True):
                 height, width, bands, _ = raster_pixels(bytes(content))
@@ -134,5 +133,14 @@ def is_corrupt(content: bytes) -> bool:
         return True
     try:
         return len(raster_pixels(bytes(content))[2]) < 3
-    except Exception:  # whatever is wrong with it, it can't be read
+    except (KeyError, IndexError, ValueError, struct.error, zlib.error):  # what raster_pixels raises on bytes that are no raster
         return True
+
+
+def corrupt(content: Column) -> Column:
+    """is_corrupt of a column of file contents."""
+
+    def judge(batch: pd.Series) -> pd.Series:
+        return batch.map(is_corrupt)
+
+    return F.pandas_udf(judge, "boolean")(content)

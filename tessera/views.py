@@ -24,7 +24,6 @@ SELECT truth, tile, product, xmin, ymin, xmin + side AS xmax, ymin + side AS yma
 FROM (SELECT o_orderkey AS truth, CAST(floor(o_orderkey / 150) AS BIGINT) AS tile, o_orderpriority AS product,
              CAST(CAST(floor(o_orderkey / 150) AS BIGINT) % 32 * 100 + o_custkey % 100 AS DOUBLE) AS xmin,
              CAST(floor(floor(o_orderkey / 150) / 32) * 100 + (o_orderkey * 7) % 100 AS DOUBLE) AS ymin, o_totalprice / 50000 AS side FROM orders) q"""
-_AOI = "SELECT r_regionkey AS area, CAST(r_regionkey * 640 + 20 AS DOUBLE) AS xmin, 0.0 + 0 * r_regionkey AS ymin, CAST(r_regionkey * 640 + 600 AS DOUBLE) AS xmax, CAST(1000 AS DOUBLE) AS ymax FROM region"
 _AOI = "SELECT CAST(r_regionkey AS BIGINT) AS area, CAST(r_regionkey * 640 + 20 AS DOUBLE) AS xmin, CAST(0 AS DOUBLE) AS ymin, CAST(r_regionkey * 640 + 600 AS DOUBLE) AS xmax, CAST(1000 AS DOUBLE) AS ymax FROM region"
 _PX_SPARK = "SELECT vec_id AS tile, CAST(pos AS BIGINT) AS pos, CAST(v AS DOUBLE) AS v FROM embeddings LATERAL VIEW posexplode(embedding) t AS pos, v"
 _PX_DUCK = "SELECT vec_id AS tile, unnest(generate_series(0, len(embedding) - 1)) AS pos, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings"

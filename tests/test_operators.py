@@ -404,3 +404,32 @@ def test_merge_rules(spark):
 def test_fresh_ids(spark):
     df = spark.createDataFrame([(0, 5), (1, 5), (2, 7), (3, None), (4, 5)], "o int, id long")
     assert [r.id for r in merging.fresh_ids(df, "id", "o").orderBy("o").collect()] == [5, 8, 7, 9, 10]
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(0, 2), st.integers(0, 12), st.integers(0, 12), st.integers(0, 6), st.integers(1, 6)), min_size=1, max_size=25))
+def test_covered_areas_are_those_of_a_raster(spark, boxes):
+    df = spark.createDataFrame([(k, float(x), float(y), float(x + w), float(y + h)) for k, x, y, w, h in boxes], "component int, xmin double, ymin double, xmax double, ymax double")
+    want = {}
+    for k, x, y, w, h in boxes:
+        want.setdefault(k, set()).update((i, j) for i in range(x, x + w) for j in range(y, y + h))
+    got = {r.component: r.area for r in fusion.covered_areas(df).collect()}
+    assert {k: v for k, v in got.items() if v} == {k: len(v) for k, v in want.items() if v}
+
+
+def test_rounds_and_the_short_end_of_a_chain_agree(spark):
+    """All rounds distributed, or the last edges in one task: the same components, matches and suppressions of a real table."""
+    from tessera.queries.joins import pairs
+    from tessera.views import view
+
+    sf = "/root/testdata/sf0.01"
+    linked = pairs(spark, sf).where("iou >= 0.2").select(F.col("a_object_id").alias("a"), F.col("b_object_id").alias("b"), "iou").persist()
+    assert linked.count() > 2 * graph.SMALL
+    plain = lambda df: sorted(map(tuple, df.collect()))
+    order = [F.desc("iou"), "a", "b"]
+    assert plain(graph.greedy_match(linked, order, small=0)) == plain(graph.greedy_match(linked, order)) == plain(graph.greedy_match(linked, order, small=10**9))
+    conflicts = linked.select(F.col("a").alias("hi"), F.col("b").alias("lo"))
+    assert plain(graph.greedy_suppress(conflicts, small=0)) == plain(graph.greedy_suppress(conflicts)) == plain(graph.greedy_suppress(conflicts, small=10**9))
+    assert plain(graph.connected_components(linked, small=0)) == plain(graph.connected_components(linked, small=10**9))
+    linked.unpersist()
+    assert view(spark, sf, "det").count() > 0

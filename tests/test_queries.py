@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 
 from tessera.queries import aggregations, components, filters, joins, rasters, scalars, scans, streams, windows  # noqa: F401
-from tessera.queries.registry import ORACLES, QUERIES
+from tessera.queries.registry import ORACLES, QUERIES, compared
 from tessera.views import TABLES
 
 SF = "/root/testdata/sf0.001"
@@ -37,7 +37,7 @@ def rows(frame):
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, sql, name):
-    got = QUERIES[name](spark, SF).toPandas()
+    got = compared(name)(spark, SF).toPandas()
     if name in ORACLES:
         assert rows(got) == rows(sql.sql(ORACLES[name]).df())
     else:

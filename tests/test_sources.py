@@ -134,3 +134,92 @@ def test_late_events_and_sessions(spark):
     events = spark.createDataFrame([("2024-01-01 00:00:00", "a", 1.0), ("2024-01-01 00:10:00", "a", 2.0), ("2024-01-01 03:00:00", "a", 3.0)], "ts string, k string, v double").withColumn("ts", F.col("ts").cast("timestamp"))
     assert flows.rolled_up(events, "ts", "v", ["k"]).first().total == 6.0
     assert sorted(r.n for r in flows.sessions(events, "ts", "k").collect()) == [1, 2]
+
+
+YAML = """---
+# a pipeline
+components_configs:
+  - tilerizer:
+      tile_type: tile   # a comment
+      tile_size: 1777
+      tile_overlap: 0.75
+      names: ['a, b', "c: d", e#f]
+      band: -1.5e-3
+      none: ~
+  - detector: detectors/one.yaml
+  -
+    aggregator:
+      scores_weights: { 'detector_score': 1.0, nested: {x: [1, 2]} }
+      edges:
+      - 1
+      - two words
+      flag: true
+      long: [1,
+             2]
+other: "it's"
+empty: {}
+"""
+
+
+def test_yaml_subset(tmp_path):
+    from tessera.plans import yaml_subset
+
+    got = yaml_subset.loads(YAML)
+    assert got == {
+        "components_configs": [
+            {"tilerizer": {"tile_type": "tile", "tile_size": 1777, "tile_overlap": 0.75, "names": ["a, b", "c: d", "e#f"], "band": -0.0015, "none": None}},
+            {"detector": "detectors/one.yaml"},
+            {"aggregator": {"scores_weights": {"detector_score": 1.0, "nested": {"x": [1, 2]}}, "edges": [1, "two words"], "flag": True, "long": [1, 2]}},
+        ],
+        "other": "it's", "empty": {},
+    }
+    assert yaml_subset.loads("") is None and yaml_subset.loads("- a\n- - b\n  - c") == ["a", ["b", "c"]]
+    for bad in ("a: &x 1", "a: [1", "a:\n  b: 1\n c: 2", "a: 1\na: 2"):
+        with pytest.raises(ValueError):
+            yaml_subset.loads(bad)
+
+
+def test_pipeline_files(tmp_path):
+    from dataclasses import dataclass
+
+    @dataclass
+    class Any:
+        model: str = ""
+        size: int = 0
+
+    for path, text in (("pipelines/main.yaml", "components_configs:\n  - detector: detectors/one\n  - detector:\n      size: 3"), ("detectors/one.yaml", "model: m"), ("old/pipeline.yaml", "components_configs: [{detector: {size: 4}}]")):
+        (tmp_path / path).parent.mkdir(exist_ok=True)
+        (tmp_path / path).write_text(text)
+    for name in ("main", "main.yaml", "pipelines/main", str(tmp_path / "pipelines" / "main.yaml")):
+        assert config.load_pipeline(name, {"detector": Any}, [str(tmp_path)]) == [("detector", Any("m", 0)), ("detector", Any("", 3))]
+    assert config.load_pipeline("old", {"detector": Any}, [str(tmp_path)]) == [("detector", Any("", 4))]
+    with pytest.raises(ValueError, match="no component detector"):
+        config.load_pipeline("old", {"other": Any}, [str(tmp_path)])
+
+
+def test_archives(spark, tmp_path):
+    import io
+    import tarfile
+    import zipfile
+
+    from tessera.sources import archives
+
+    inner = io.BytesIO()
+    with tarfile.open(fileobj=inner, mode="w:gz") as tar:
+        info = tarfile.TarInfo("deep/x.txt")
+        info.size = 2
+        tar.addfile(info, io.BytesIO(b"hi"))
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
+        z.writestr("in.tar.gz", inner.getvalue())
+        z.writestr("b/c.txt", "see")
+    (tmp_path / "plain.txt").write_text("no archive")
+    got = sorted((r.path, bytes(r.content)) for r in archives.read_archives(spark, str(tmp_path)).collect())
+    assert got == [("b/c.txt", b"see"), ("in.tar.gz/deep/x.txt", b"hi")]
+    assert len(archives.unpack(str(tmp_path / "a.zip"), str(tmp_path / "out"))) == 2
+    assert (tmp_path / "out" / "in.tar.gz" / "deep" / "x.txt").read_bytes() == b"hi"
+    with zipfile.ZipFile(tmp_path / "bad.zip", "w") as z:
+        z.writestr("ok.txt", "")
+        z.writestr("../out.txt", "")
+    with pytest.raises(ValueError, match="leads out"):
+        archives.unpack(str(tmp_path / "bad.zip"), str(tmp_path / "other"))
+    assert not (tmp_path / "other").exists()
