@@ -9,10 +9,13 @@ from __future__ import annotations
 import zlib
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .polygons import RING, traced
+
 
 class Registry:
     """Factories by name; several names may stand for one."""
@@ -64,7 +67,7 @@ def stub_detector(size: int = 100, most: int = 4) -> Callable[[str], list[tuple]
     return detect
 
 
-@SEGMENTERS.register("sam", "sam2", "sam3", "unet_treecrown", "detectree2", "mask_rcnn_detectron2", "mask2former_detrex")
+@SEGMENTERS.register("sam", "sam2", "sam3")
 def stub_segmenter(shrink: float = 0.1) -> Callable[[tuple], tuple]:
     """A box inside the given one, and a score."""
 
@@ -76,6 +79,18 @@ def stub_segmenter(shrink: float = 0.1) -> Callable[[tuple], tuple]:
     return segment
 
 
+@SEGMENTERS.register("unet_treecrown", "detectree2", "mask_rcnn_detectron2", "mask2former_detrex")
+def stub_mask_segmenter(size: int = 100, most: int = 4) -> Callable[[str], list[tuple]]:
+    """Masks of a whole tile and their scores, by the tile's name alone: an ellipse in each box that the stand-in detector finds."""
+    found = stub_detector(size, most)
+    rows, cols = np.mgrid[0:size, 0:size] + 0.5
+
+    def segment(tile: str) -> list[tuple]:
+        return [(((cols - (x0 + x1) / 2) / (x1 - x0)) ** 2 + ((rows - (y0 + y1) / 2) / (y1 - y0)) ** 2 <= 0.25, score) for x0, y0, x1, y1, score, _ in found(tile)]
+
+    return segment
+
+
 @CLASSIFIERS.register("resnet", "swin")
 def stub_classifier(classes: int = 3) -> Callable[[str], list[float]]:
     def classify(name: str) -> list[float]:
@@ -112,6 +127,32 @@ def segment(boxes: DataFrame, model: str, **parameters) -> DataFrame:
     return boxes.drop("segmenter_score").mapInPandas(run, f"{', '.join(f'`{n}` {t}' for n, t in boxes.drop('segmenter_score').dtypes)}, segmenter_score double")
 
 
+def segment_tiles(tiles: DataFrame, model: str, **parameters) -> DataFrame:
+    """tile_path, ring, box, segmenter_score: new objects, for models that take no prompts. Masks become rings within the task that made them.
+
+    An empty mask is a box of one pixel in the tile's corner with score 0.
+    """
+    if model in PROMPTED:
+        raise ValueError(f"{model} takes prompts")
+    factory = SEGMENTERS.get(model)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own = factory(**parameters)
+        for batch in batches:
+            out = []
+            for tile in batch.tile_path:
+                for mask, score in own(tile):
+                    outline = traced(mask)
+                    if not outline:
+                        outline, score = [(0, 0), (1, 0), (1, 1), (0, 1), (0, 0)], 0.0
+                    xs, ys = zip(*outline)
+                    ring = [{"x": float(x), "y": float(y)} for x, y in outline]
+                    out.append((tile, ring, float(min(xs)), float(min(ys)), float(max(xs)), float(max(ys)), score))
+            yield pd.DataFrame(out, columns=["tile_path", "ring", "xmin", "ymin", "xmax", "ymax", "segmenter_score"])
+
+    return tiles.select("tile_path").mapInPandas(run, f"tile_path string, ring {RING}, xmin double, ymin double, xmax double, ymax double, segmenter_score double")
+
+
 def classify(rows: DataFrame, name: str, model: str, **parameters) -> DataFrame:
     """The rows with classifier_scores, classifier_class and classifier_score."""
     factory = CLASSIFIERS.get(model)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -55,6 +55,14 @@ def evaluate(preds: DataFrame, truths: DataFrame, thresholds: Sequence[float], c
     return out.withColumns(rates(F.col("tp"), F.col("fp"), F.col("fn")))
 
 
+def presets(preds: DataFrame, truths: DataFrame, least: Mapping[str, float], thresholds: Sequence[float], cell: float, gsd: float = 1.0) -> DataFrame:
+    """evaluate by preset: each looks at the predictions that reach its least score, all in one plan."""
+    kinds = F.array(*[F.struct(F.lit(n).alias("preset"), F.lit(float(v)).alias("least")) for n, v in least.items()])
+    p = preds.withColumn("preset", F.explode(F.transform(F.filter(kinds, lambda k: F.col("score") >= k.least), lambda k: k.preset)))
+    t = truths.withColumn("preset", F.explode(F.array(*map(F.lit, least))))
+    return evaluate(p, t, thresholds, cell, gsd, ["preset"], sizes=False)
+
+
 def match_prompts(preds: DataFrame, truths: DataFrame, cell: float, by: Sequence[str] = (), above: float = 0.3) -> DataFrame:
     """by, pred, truth, iou: predictions, in the order of their numbers, take the free truth that they overlap most, if by more than ``above``.
 

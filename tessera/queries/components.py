@@ -9,7 +9,7 @@ from ..operators import evaluate, fusion, imagery, spatial, temporal, tiling
 from ..plans import components as plan
 from ..plans.storage import settle
 from ..views import duck, table, view
-from .aggregations import AGREE, AP, COMP, EVAL, SIZED
+from .aggregations import AGREE, AP, COMP, SIZED
 from .joins import PAIRS, PROMPTS, TRUE_PAIRS, pairs
 from .registry import COMMON, IOU, MEET, cells, in_first_cell, matched, query, r, reached, suppressed
 from .rasters import difference
@@ -33,9 +33,12 @@ def _(s, d):
     return imagery.enhancements(view(s, d, "bands"), ["cir"]).groupBy("tile", "method").agg(F.sum("red").alias("red"))
 
 
+def tile_paths(s, d):
+    return table(s, d, "supplier").select(F.concat(F.lit("tile_"), "s_suppkey").alias("tile_path"))
+
+
 def detections(s, d, model="faster_rcnn"):
-    tiles = table(s, d, "supplier").select(F.concat(F.lit("tile_"), "s_suppkey").alias("tile_path"))
-    return models.detect(tiles, model)
+    return models.detect(tile_paths(s, d), model)
 
 
 @query("cmp03_detector")
@@ -61,6 +64,12 @@ def _(s, d):
     return models.segment(detections(s, d), "sam2").groupBy("tile_path").agg(F.count("*").alias("n"), F.avg("segmenter_score").alias("score"))
 
 
+@query("cmp05_unprompted_segmenter")
+def _(s, d):
+    made = models.segment_tiles(tile_paths(s, d), "unet_treecrown")
+    return made.groupBy("tile_path").agg(F.count("*").alias("n"), F.avg("segmenter_score").alias("score"), F.sum(g.area(g.box())).alias("boxes"), F.sum(F.size("ring")).alias("corners"))
+
+
 @query("cmp06_classifier")
 def _(s, d):
     rows = table(s, d, "part").select("p_partkey", "p_name")
@@ -138,11 +147,18 @@ def _(s, d):
     return evaluate.weighted_rows(view(s, d, "metrics"), ["product"], ["f1", "precision_50"], "num_truths", ["tp"])
 
 
-@query("cmp14_preset_benchmark", EVAL + f"SELECT 'base' AS preset, threshold, tp FROM f WHERE threshold >= 0.5")
+PRESETS = {"base": 0.0, "trusted": 0.7}
+PRESET = duck("det", "truth") + f""", {TRUE_PAIRS}, g AS (SELECT * FROM (VALUES (0.5), (0.75)) t(threshold), (VALUES {', '.join(f"('{n}', {v})" for n, v in PRESETS.items())}) p(preset, least)),
+    x AS (SELECT preset, threshold, pred AS a, truth AS b, score, iou FROM hits, g WHERE iou >= threshold AND score >= least), {matched('x', 'score DESC, a, iou DESC, b', ('preset', 'threshold'))},
+    n AS (SELECT preset, count(*) AS preds FROM det, (SELECT DISTINCT preset, least FROM g) q WHERE detector_score >= least GROUP BY preset), mm AS (SELECT preset, threshold, count(*) AS tp FROM m GROUP BY ALL)
+    SELECT preset, CAST(threshold AS DOUBLE) AS threshold, coalesce(tp, 0) AS tp, preds - coalesce(tp, 0) AS fp, (SELECT count(*) FROM truth) - coalesce(tp, 0) AS fn FROM g JOIN n USING (preset) LEFT JOIN mm USING (preset, threshold)"""
+
+
+@query("cmp14_preset_benchmark", PRESET)
 def _(s, d):
     p = view(s, d, "det").select(F.col("object_id").alias("pred"), F.col("detector_score").alias("score"), *g.SIDES)
-    t = evaluate.evaluate(p, view(s, d, "truth").select("truth", *g.SIDES), [0.5, 0.75], 10.0, sizes=False)
-    return t.select(F.lit("base").alias("preset"), "threshold", "tp")
+    t = evaluate.presets(p, view(s, d, "truth").select("truth", *g.SIDES), PRESETS, [0.5, 0.75], 10.0)
+    return t.select("preset", "threshold", "tp", "fp", "fn")
 
 
 @query("cmp15_standalone_component", duck("det") + "SELECT count(*) AS n, 1 AS has_score FROM det")
@@ -180,7 +196,12 @@ def _(s, d):
 
 @query("udf03_segmenters")
 def _(s, d):
-    return models.segment(detections(s, d), "sam3").agg(F.count("*").alias("n"), F.min("segmenter_score").alias("low"))
+    out = None
+    for model in models.SEGMENTERS.names():
+        made = models.segment(detections(s, d), model) if model in models.PROMPTED else models.segment_tiles(tile_paths(s, d), model)
+        own = made.agg(F.count("*").alias("n"), F.min("segmenter_score").alias("low")).select(F.lit(model).alias("model"), "n", "low")
+        out = own if out is None else out.union(own)
+    return out
 
 
 @query("udf04_classifiers")

@@ -2,10 +2,11 @@
 
 import json
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.functions import models, names
+from tessera.functions import models, names, polygons
 from tessera.plans import components as plan
 from tessera.plans import config
 from tessera.sources import annotations as ann
@@ -107,6 +108,27 @@ def test_models(spark):
     assert models.segment(boxes, "sam").where("segmenter_score between 0.5 and 1").count() == boxes.count()
     with pytest.raises(ValueError):
         models.segment(boxes, "unet_treecrown")
+    with pytest.raises(ValueError):
+        models.segment_tiles(tiles, "sam")
+    made = models.segment_tiles(tiles, "unet_treecrown").collect()
+    assert len(made) == boxes.count()
+    for r in made:
+        points = [(p.x, p.y) for p in r.ring]
+        assert points[0] == points[-1] and (min(points)[0], max(points)[0]) == (r.xmin, r.xmax)
+        assert 0.6 < abs(polygons.signed_area(points[:-1])) / ((r.xmax - r.xmin) * (r.ymax - r.ymin)) < 1
+
+
+def test_empty_masks_are_boxes_without_score(spark):
+    models.SEGMENTERS.register("blank")(lambda: lambda tile: [(np.zeros((4, 4), bool), 0.9)])
+    try:
+        r = models.segment_tiles(spark.createDataFrame([("t",)], "tile_path string"), "blank").first()
+    finally:
+        del models.SEGMENTERS.items["blank"]
+    assert (r.segmenter_score, r.xmin, r.ymin, r.xmax, r.ymax) == (0.0, 0.0, 0.0, 1.0, 1.0) and len(r.ring) == 5
+
+
+def test_classifiers_take_the_best_class(spark):
+    tiles = spark.createDataFrame([(f"t{i}",) for i in range(20)], "tile_path string")
     for r in models.classify(tiles, "tile_path", "swin").collect():
         assert r.classifier_score == max(r.classifier_scores)
 
