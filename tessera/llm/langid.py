@@ -22,8 +22,9 @@ HELD_OUT, HELD_OUT_REST = 3, 1
 #: characters, spread evenly from its first to its last. Every language has a document at least.
 TRAIN_DOCUMENTS, ALL_DOCUMENTS = 200, 1 << 16
 SPANS, SPAN_CHARS = 8, 512
-#: Parts that a language's documents are drawn from before they meet.
-PARTS = 64
+#: Parts of a language that its documents are drawn from, step by step, before they meet: no step after the first reads more
+#: than eight draws for one part.
+PARTS = (64, 8, 1)
 #: Bytes of a language's dictionary, and of all, at most; with very many languages each one's is smaller.
 DICTIONARY_BYTES, ALL_BYTES, LEAST_BYTES = 96 << 10, 128 << 20, 256
 #: Characters that are encoded at once, so that the dictionary stays what matters.
@@ -106,9 +107,10 @@ def fit(docs: DataFrame, documents: int = TRAIN_DOCUMENTS, size: int = DICTIONAR
     ids = texts.select("doc_id", "lang").distinct()
     languages = max(1, ids.agg(F.count_distinct("lang")).first()[0])
     documents, size = max(1, min(documents, ALL_DOCUMENTS // languages)), max(LEAST_BYTES, min(size, ALL_BYTES // languages))
-    draw = ids.withColumn("part", F.pmod(F.hash("doc_id"), F.lit(PARTS)))
-    for keys in (("lang", "part"), ("lang",)):  # a language's documents are thinned in parts first, so that none meets all of them in one task
-        order = Window.partitionBy(*keys).orderBy(F.xxhash64("doc_id"), "doc_id")
+    draw = ids
+    for parts in PARTS:  # a language's documents are thinned in parts, so that none meets all of them in one task
+        part = F.pmod(F.hash("doc_id"), F.lit(parts))
+        order = Window.partitionBy("lang", part).orderBy(F.xxhash64("doc_id"), "doc_id")
         draw = draw.withColumn("n", F.row_number().over(order)).where(F.col("n") <= documents)
     draw = draw.select("doc_id", F.col("lang").alias("drawn"))
     drawn = texts.join(F.broadcast(draw), (texts.doc_id == draw.doc_id) & (texts.lang == draw.drawn), "left_semi")
