@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+from ..operators.graph import greedy_match
+from ..operators.spatial import distance_join
 
 
 def arriving(spark: SparkSession, path: str, schema, kind: str = "parquet", files: int = 16) -> DataFrame:
@@ -45,32 +46,39 @@ def sessions(events: DataFrame, time: str, by: str, gap: str = "30 minutes", lat
     return rolled.select(by, F.col("w.start").alias("start"), F.col("w.end").alias("end"), "n")
 
 
-def registry(objects: DataFrame, cell: float = 100.0, within: float = 2.0, gap: int = 1) -> DataFrame:
-    """object_id, crown, position: a standing list of objects per grid cell. An object takes the identity of the nearest one
-    seen no more than ``gap`` dates before, each used once; what isn't seen for longer is forgotten and comes back as new."""
-
-    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        known, count = ([list(x) for x in zip(*state.get[:4])], state.get[4]) if state.exists else ([], 0)
-        rows = pd.concat(list(batches)).sort_values(["position", "object_id"])
-        out = []
-        for position, group in rows.groupby("position", sort=True):
-            live = [k for k in known if 1 <= position - k[3] <= gap]
-            near = sorted((((k[1] - x) ** 2 + (k[2] - y) ** 2, int(k[0]), i) for i, (x, y) in enumerate(zip(group.x, group.y)) for k in live if (k[1] - x) ** 2 + (k[2] - y) ** 2 <= within**2))
-            taken, given = set(), {}
-            for _, crown, i in near:
-                if crown not in taken and i not in given:
-                    given[i] = crown
-                    taken.add(crown)
-            for i, (own, x, y) in enumerate(zip(group.object_id, group.x, group.y)):
-                if i not in given:
-                    given[i] = count
-                    count += 1
-                known = [k for k in known if k[0] != given[i]] + [[given[i], float(x), float(y), int(position)]]
-                out.append((int(own), f"{key[0]}_{key[1]}_{given[i]}", int(position)))
-        last = rows.position.max()
-        known = [k for k in known if last - k[3] <= gap]
-        state.update(([int(k[0]) for k in known], [float(k[1]) for k in known], [float(k[2]) for k in known], [int(k[3]) for k in known], int(count)))
-        yield pd.DataFrame(out, columns=["object_id", "crown", "position"])
-
-    celled = objects.withColumn("cx", F.floor(F.col("x") / cell).cast("long")).withColumn("cy", F.floor(F.col("y") / cell).cast("long"))
-    return celled.groupBy("cx", "cy").applyInPandasWithState(step, "object_id long, crown string, position long", "crown array<long>, x array<double>, y array<double>, position array<long>, count long", "append", GroupStateTimeout.NoTimeout)
+#: What the registry writes: a row for each sighting.
+SIGHTINGS = "object_id long, crown string, x double, y double, batch long, position long"
+
+
+def registry(objects: DataFrame, out: str, checkpoint: str, within: float = 2.0, gap: int = 1) -> StreamingQuery:
+    """A standing list of objects as dates arrive, with columns object_id, crown, x, y, batch, position below ``out``.
+
+    An object takes the identity of the nearest one last seen 1 to ``gap`` dates before and no further away than
+    ``within``, each used once, ties to the smaller crown and then the smaller object_id. Others are new, and
+    named after their date and object_id, which are not null and unique together. Nothing but the last ``gap``
+    dates is read, so what isn't seen for longer is forgotten and comes back as new; no state is held besides the
+    list. Objects of one date that arrive in several batches choose in that order. A repeated batch replaces
+    itself. Matches are joins by place and greedy rounds over all of a date's objects, without borders.
+    """
+    spark = objects.sparkSession
+    spark.createDataFrame([], "object_id long, crown string, x double, y double").write.mode("ignore").parquet(f"{out}/batch=-1/position=-1")
+
+    def step(batch: DataFrame, number: int) -> None:
+        batch.persist()
+        for position in sorted(r.position for r in batch.select("position").distinct().collect()):
+            here = batch.where(F.col("position") == position).select("object_id", "x", "y")
+            seen = batch.sparkSession.read.schema(SIGHTINGS).parquet(out).where((F.col("position") >= position - gap) & ((F.col("batch") < number) | (F.col("position") < position)))
+            last = seen.groupBy("crown").agg(F.max_by(F.struct("x", "y", "position"), "position").alias("s")).where(F.col("s.position") < position)
+            near = distance_join(last.select("crown", "s.x", "s.y"), here, within).select(F.col("a_crown").alias("crown"), F.col("b_object_id").alias("object_id"), "distance")
+            taken = greedy_match(near, ["distance", "crown", "object_id"], a="crown", b="object_id").select("object_id", "crown")
+            own = F.concat_ws("_", F.lit(str(position)), "object_id")
+            found = here.join(taken, "object_id", "left").select("object_id", F.coalesce("crown", own).alias("crown"), "x", "y")
+            found.write.mode("overwrite").parquet(f"{out}/batch={number}/position={position}")
+        batch.unpersist()
+
+    return objects.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def registered(spark: SparkSession, out: str) -> DataFrame:
+    """What a registry has written."""
+    return spark.read.schema(SIGHTINGS).parquet(out)

@@ -142,16 +142,48 @@ def test_streams(spark, tmp_path):
     assert spark.read.parquet(out).count() == 10
 
 
+def crowns_of(spark, folder, deliveries, **how):
+    """object_id and crown after each delivery of (object_id, x, y, position) was worked off."""
+    source, out, marks = (f"file://{folder}/{n}" for n in ("in", "out", "marks"))
+    for k, rows in enumerate(deliveries):
+        df = spark.createDataFrame(rows, "object_id long, x double, y double, position long")
+        df.coalesce(1).write.parquet(f"{source}/day={k}")
+        flows.registry(flows.arriving(spark, source, df.schema), out, marks, **how).awaitTermination()
+    return {r.object_id: r.crown for r in flows.registered(spark, out).collect()}
+
+
 def test_registry_forgets(spark, tmp_path):
-    rows = [(1, 10.0, 10.0, 1), (2, 10.5, 10.0, 2), (3, 10.4, 10.0, 5), (4, 90.0, 90.0, 1)]
-    df = spark.createDataFrame(rows, "object_id long, x double, y double, position long")
-    source, out, marks = (f"file://{tmp_path}/{n}" for n in ("in", "out", "marks"))
-    df.coalesce(1).write.parquet(source)
-    flows.registry(flows.arriving(spark, source, df.schema)).writeStream.format("parquet").option("path", out).option("checkpointLocation", marks).trigger(availableNow=True).start().awaitTermination()
-    crowns = {r.object_id: r.crown for r in spark.read.parquet(out).collect()}
+    crowns = crowns_of(spark, tmp_path, [[(1, 10.0, 10.0, 1), (2, 10.5, 10.0, 2), (3, 10.4, 10.0, 5), (4, 90.0, 90.0, 1)]])
     assert crowns[1] == crowns[2] != crowns[3] and crowns[4] not in (crowns[1], crowns[3])
 
 
+@pytest.mark.parametrize("gap", [1, 2])
+def test_registry_is_the_sequential_one(spark, tmp_path, gap):
+    rng = np.random.default_rng(gap)
+    deliveries, number = [], 0
+    for days in ([0], [1, 2], [3], [5]):  # dates together, one without objects
+        rows = []
+        for day in days:
+            for x, y in rng.uniform(-10, 10, (60, 2)).round(1):
+                rows.append((number, float(x), float(y), day))
+                number += 1
+        deliveries.append(rows)
+    expected, last = {}, {}
+    for day in sorted({r[3] for rows in deliveries for r in rows}):
+        here = [r for rows in deliveries for r in rows if r[3] == day]
+        live = [(c, *at) for c, at in last.items() if 1 <= day - at[2] <= gap]
+        near = sorted((far, c, o) for o, x, y, _ in here for c, kx, ky, _ in live if (far := float(np.sqrt((kx - x) ** 2 + (ky - y) ** 2))) <= 2.0)
+        taken = {}
+        for _, c, o in near:
+            if c not in taken.values() and o not in taken:
+                taken[o] = c
+        for o, x, y, _ in here:
+            expected[o] = taken.get(o, f"{day}_{o}")
+            last[expected[o]] = (x, y, day)
+    assert len(set(expected.values())) < len(expected)
+    assert crowns_of(spark, tmp_path, deliveries, gap=gap) == expected
+
+
 def test_late_events_and_sessions(spark):
     events = spark.createDataFrame([("2024-01-01 00:00:00", "a", 1.0), ("2024-01-01 00:10:00", "a", 2.0), ("2024-01-01 03:00:00", "a", 3.0)], "ts string, k string, v double").withColumn("ts", F.col("ts").cast("timestamp"))
     assert flows.rolled_up(events, "ts", "v", ["k"]).first().total == 6.0
