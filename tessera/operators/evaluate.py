@@ -11,7 +11,7 @@ from ..functions import geometry as g
 from ..plans.storage import settle
 from .graph import greedy_match
 from .running import following_maximum, in_ranges, running_sums
-from .spatial import spatial_join
+from .spatial import ring_iou, ring_overlaps, spatial_join
 
 
 def rates(tp: Column, fp: Column, fn: Column) -> dict[str, Column]:
@@ -20,27 +20,34 @@ def rates(tp: Column, fp: Column, fn: Column) -> dict[str, Column]:
     return {"precision": p, "recall": r, "f1": g.ratio(2 * p * r, p + r)}
 
 
-def overlaps(preds: DataFrame, truths: DataFrame, cell: float, by: Sequence[str] = (), pred: Sequence[str] = (), truth: Sequence[str] = ()) -> DataFrame:
-    """by, pred, truth, iou of overlapping predictions and truths; other columns of theirs come along as pred_* and truth_*."""
-    own, other = preds.select(*by, "pred", *pred, *g.SIDES), truths.select(*by, "truth", *truth, *g.SIDES)
-    pairs = spatial_join(own, other, cell, by)
+def overlaps(preds: DataFrame, truths: DataFrame, cell: float, by: Sequence[str] = (), pred: Sequence[str] = (), truth: Sequence[str] = (), ring: str | None = None, least: float = 0.0) -> DataFrame:
+    """by, pred, truth, iou of overlapping predictions and truths; other columns of theirs come along as pred_* and truth_*.
+
+    With a column of rings the overlap is that of the rings, and pairs that cannot reach ``least`` may be left out.
+    """
+    shape = [*g.SIDES, *([ring] if ring else [])]
+    own, other = preds.select(*by, "pred", *pred, *shape), truths.select(*by, "truth", *truth, *shape)
+    pairs, iou = spatial_join(own, other, cell, by), g.iou(g.box("a_"), g.box("b_"))
+    if ring:
+        pairs, iou = ring_overlaps(pairs, ring, least), ring_iou()
     more = [*[F.col(f"a_{c}").alias(f"pred_{c}") for c in pred], *[F.col(f"b_{c}").alias(f"truth_{c}") for c in truth]]
-    return pairs.select(*[F.col(f"a_{c}").alias(c) for c in by], F.col("a_pred").alias("pred"), F.col("b_truth").alias("truth"), g.iou(g.box("a_"), g.box("b_")).alias("iou"), *more)
+    return pairs.select(*[F.col(f"a_{c}").alias(c) for c in by], F.col("a_pred").alias("pred"), F.col("b_truth").alias("truth"), iou.alias("iou"), *more)
 
 
-def evaluate(preds: DataFrame, truths: DataFrame, thresholds: Sequence[float], cell: float, gsd: float = 1.0, by: Sequence[str] = (), sizes: bool = True) -> DataFrame:
+def evaluate(preds: DataFrame, truths: DataFrame, thresholds: Sequence[float], cell: float, gsd: float = 1.0, by: Sequence[str] = (), sizes: bool = True, ring: str | None = None) -> DataFrame:
     """by, size, threshold, tp, fp, fn, precision, recall, f1.
 
     preds: by, pred, score, box; truths: by, truth, box. Predictions, best score
     first, take the free truth that they overlap most. Within a size class only
     predictions and truths of that class meet; the class all holds every one.
-    Overlaps are computed once for all thresholds and sizes.
+    Overlaps are computed once for all thresholds and sizes. With a column of rings,
+    overlaps and sizes are theirs.
     """
     thresholds = sorted(set(thresholds))
-    label = g.size_label(g.area(g.box()), gsd)
+    label = g.size_label(g.ring_area(F.col(ring)) if ring else g.area(g.box()), gsd)
     p, t = preds.withColumn("size", label), truths.withColumn("size", label)
     each = F.explode(F.array(*map(F.lit, thresholds)))
-    edges = overlaps(p, t, cell, by, ["score", "size"], ["size"]).where(F.col("iou") >= thresholds[0])
+    edges = overlaps(p, t, cell, by, ["score", "size"], ["size"], ring, thresholds[0]).where(F.col("iou") >= thresholds[0])
     both = F.array(F.lit("all"), F.col("pred_size"))
     classes = F.when(F.col("pred_size") == F.col("truth_size"), both).otherwise(F.array(F.lit("all"))) if sizes else F.array(F.lit("all"))
     edges = edges.select(*by, "pred", "truth", "iou", F.col("pred_score").alias("score"), F.explode(classes).alias("size")).withColumn("threshold", each).where("iou >= threshold")

@@ -5,7 +5,8 @@ geometric means; suppression ranks by score, best first, then by object id; with
 ``ioa-disambiguate`` a worse box yields if its overlap with a kept better one
 exceeds the threshold as a share of the smaller of the two, and what is left of it
 is less than ``keep_ratio`` of its area; boxes keep their shape. A box whose centre
-lies in its tile's edge band ranks after all others.
+lies in its tile's edge band ranks after all others. Where a column of rings is
+named, overlaps are those of the rings, and the boxes are their envelopes.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from ..functions import geometry as g
 from ..plans.storage import settle
 from .graph import connected_components, greedy_suppress
-from .spatial import overlap_pairs
+from .spatial import overlap_pairs, ring_iou, ring_overlaps
 
 
 def area_penalty(area: Column, least: float | None, most: float | None, floor: float = 0.1) -> Column:
@@ -67,20 +68,24 @@ def in_edge_band(band: float, tile: tuple, prefix: str = "") -> Column:
     return (x < x0 + dx) | (x > x1 - dx) | (y < y0 + dy) | (y > y1 - dy)
 
 
-def conflicts(boxes: DataFrame, threshold: float | Column, cell: float, key: str = "object_id", score: str = "score", by: Sequence[str] = (), algorithm: str = "iou", keep_ratio: float = 0.5, late: str | None = None) -> DataFrame:
-    """Edges hi, lo between boxes of which the better one suppresses the worse one."""
-    columns = list(dict.fromkeys([key, score, *by, *g.SIDES, *([late] if late else [])]))
+def conflicts(boxes: DataFrame, threshold: float | Column, cell: float, key: str = "object_id", score: str = "score", by: Sequence[str] = (), algorithm: str = "iou", keep_ratio: float = 0.5, late: str | None = None, ring: str | None = None) -> DataFrame:
+    """Edges hi, lo between boxes, or rings, of which the better one suppresses the worse one."""
+    columns = list(dict.fromkeys([key, score, *by, *g.SIDES, *([late] if late else []), *([ring] if ring else [])]))
     pairs = overlap_pairs(boxes.select(*columns), key, cell, by)
     a, b = g.box("a_"), g.box("b_")
     rank = lambda p: F.struct(*([F.col(f"{p}{late}").cast("int").alias("late")] if late else []), (-F.col(f"{p}{score}")).alias("score"), F.col(f"{p}{key}").alias("key"))
     a_first = rank("a_") < rank("b_")
-    if algorithm == "iou":
-        conflict = g.iou(a, b) >= threshold
-    elif algorithm == "ioa-disambiguate":
-        left = 1 - g.ratio(g.overlap(a, b), F.when(a_first, g.area(b)).otherwise(g.area(a)))
-        conflict = (g.ioa(a, b) > threshold) & (left < keep_ratio)
-    else:
+    if algorithm not in ("iou", "ioa-disambiguate"):
         raise ValueError(f"no suppression algorithm {algorithm}")
+    area_a, area_b, both, iou, ioa = g.area(a), g.area(b), g.overlap(a, b), g.iou(a, b), g.ioa(a, b)
+    if ring:
+        pairs = ring_overlaps(pairs, ring, threshold, "union" if algorithm == "iou" else "smaller")
+        area_a, area_b, both = F.col("_area_a"), F.col("_area_b"), F.col("_both")
+        iou, ioa = ring_iou(), g.ratio(both, F.least(area_a, area_b))
+    conflict = iou >= threshold
+    if algorithm == "ioa-disambiguate":
+        left = 1 - g.ratio(both, F.when(a_first, area_b).otherwise(area_a))
+        conflict = (ioa > threshold) & (left < keep_ratio)
     out = pairs.where(conflict)
     return out.select(*[F.col(f"a_{c}").alias(c) for c in by], F.when(a_first, F.col(f"a_{key}")).otherwise(F.col(f"b_{key}")).alias("hi"), F.when(a_first, F.col(f"b_{key}")).otherwise(F.col(f"a_{key}")).alias("lo"))
 
@@ -231,17 +236,21 @@ def covered_areas(members: DataFrame, by: str = "component") -> DataFrame:
     return spans.withColumn("so_far", F.max("ymax").over(earlier)).groupBy(by).agg(F.sum((F.col("x1") - F.col("x0")) * new).alias("area"))
 
 
-def consensus(members: DataFrame, component: str = "component", run: str = "run_index", score: str | None = "segmenter_score", order: str = "flat_index", geometry: str = "best_score", aggregate_score: str = "mean", min_observations: int = 1, agreement: bool = True) -> DataFrame:
+def consensus(members: DataFrame, component: str = "component", run: str = "run_index", score: str | None = "segmenter_score", order: str = "flat_index", geometry: str = "best_score", aggregate_score: str = "mean", min_observations: int = 1, agreement: bool = True, ring: str | None = None) -> DataFrame:
     """One row per component: the chosen box, its score, tile, runs and how far the runs agree.
 
     geometry: best_score or largest. Ties go to the first member. Scores that are
     null don't count; without any the score is one over the number of runs. The
-    agreement is the area common to all members over the area of their union.
+    agreement is the area common to all members over the area of their union. A
+    ring comes along with its box, and areas are the rings'; their agreement isn't
+    worked out.
     """
     if geometry not in ("best_score", "largest"):
         raise ValueError(f"no consensus geometry {geometry} for boxes")
-    b, a = g.box(), g.area(g.box())
-    box = F.struct(*[F.col(s) for s in g.SIDES])
+    if ring and agreement:
+        raise ValueError("the agreement of rings isn't worked out")
+    b, a = g.box(), g.ring_area(F.col(ring)) if ring else g.area(g.box())
+    box = F.struct(*[F.col(s) for s in g.SIDES], *([F.col(ring)] if ring else []))
     by_area = F.max_by(box, F.struct(a, -F.col(order)))
     observed = F.count_distinct(F.col(run))
     none = F.lit(None).cast("double")
@@ -265,14 +274,17 @@ def consensus(members: DataFrame, component: str = "component", run: str = "run_
     return kept.select("*", "_box.*").drop("_box", "_common", "_largest")
 
 
-def merge_runs(boxes: DataFrame, threshold: float = 0.3, cell: float = 10.0, key: str = "object_id", run: str = "run_index", **how) -> DataFrame:
+def merge_runs(boxes: DataFrame, threshold: float = 0.3, cell: float = 10.0, key: str = "object_id", run: str = "run_index", ring: str | None = None, **how) -> DataFrame:
     """Objects seen in several runs as one: overlapping boxes of different runs are linked, linked boxes are one object, numbered by first member."""
     flat = settle(numbered(boxes.withColumn("_order", F.struct(run, key)), "_order", "flat_index").drop("_order"), "runs")
-    pairs = overlap_pairs(flat.select("flat_index", run, *g.SIDES), "flat_index", cell)
-    edges = pairs.where((F.col(f"a_{run}") != F.col(f"b_{run}")) & (g.iou(g.box("a_"), g.box("b_")) >= threshold)).select(F.col("a_flat_index").alias("a"), F.col("b_flat_index").alias("b"))
+    pairs = overlap_pairs(flat.select("flat_index", run, *g.SIDES, *([ring] if ring else [])), "flat_index", cell).where(F.col(f"a_{run}") != F.col(f"b_{run}"))
+    iou = g.iou(g.box("a_"), g.box("b_"))
+    if ring:
+        pairs, iou = ring_overlaps(pairs, ring, threshold), ring_iou()
+    edges = pairs.where(iou >= threshold).select(F.col("a_flat_index").alias("a"), F.col("b_flat_index").alias("b"))
     groups = connected_components(edges).withColumnRenamed("node", "flat_index")
     members = flat.join(groups, "flat_index", "left").withColumn("component", F.coalesce("component", "flat_index"))
-    return numbered(consensus(members, run=run, **how), "first_member", "object_id")
+    return numbered(consensus(members, run=run, ring=ring, **how), "first_member", "object_id")
 
 
 def numbered(df: DataFrame, order: str, name: str, first: int = 0) -> DataFrame:

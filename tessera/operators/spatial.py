@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geometry as g
+from ..functions.polygons import boolean_area
 
 
 def choose_cell(df: DataFrame, prefix: str = "", share: float = 0.95) -> float:
@@ -56,6 +57,26 @@ def overlap_pairs(boxes: DataFrame, key: str, cell: float, on: Sequence[str] = (
     return spatial_join(boxes, boxes, cell, on, salt).where(F.col(f"a_{key}") < F.col(f"b_{key}"))
 
 
+def ring_overlaps(pairs: DataFrame, ring: str, least: float | Column = 0.0, of: str = "union") -> DataFrame:
+    """Pairs of overlapping boxes with _area_a, _area_b and _both, the areas of their rings and what these share.
+
+    least, of: pairs go whose rings cannot share so much of their union, or of the smaller one. What their boxes
+    share is the most that rings can, so most pairs go before a ring is cut.
+    """
+    a, b = F.col(f"a_{ring}"), F.col(f"b_{ring}")
+    most = g.overlap(g.box("a_"), g.box("b_")) * (1 + 1e-9)
+    pairs = pairs.withColumn("_area_a", g.ring_area(a)).withColumn("_area_b", g.ring_area(b))
+    if of == "union":
+        possible = most * (1 + least) >= least * (F.col("_area_a") + F.col("_area_b"))
+    else:
+        possible = most >= least * F.least("_area_a", "_area_b")
+    return pairs.where(possible).withColumn("_both", boolean_area(a, b)["both"])
+
+
+def ring_iou() -> Column:
+    return g.ratio(F.col("_both"), F.col("_area_a") + F.col("_area_b") - F.col("_both"))
+
+
 def distance_join(left: DataFrame, right: DataFrame, within: float, on: Sequence[str] = ()) -> DataFrame:
     """Pairs of points x, y no further apart than ``within``, with their distance; a point looks into its own and the eight cells around."""
     a, b = prefixed(left, "a_"), prefixed(right, "b_")

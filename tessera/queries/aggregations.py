@@ -6,7 +6,7 @@ from ..functions import geometry as g
 from ..functions import raster as ras
 from ..operators import evaluate, fusion, graph, imagery, spatial, temporal
 from ..views import duck, table, view
-from .joins import PAIRS, TRUE_PAIRS, pairs
+from .joins import PAIRS, RING_LEAST, TRUE_PAIRS, on_corners, pairs, with_ring
 from .registry import IOU, MEET, cells, in_first_cell, matched, query, r, reached, suppressed
 
 AREA = "((xmax - xmin) * (ymax - ymin))"
@@ -53,6 +53,18 @@ def _(s, d):
     return fusion.suppress(b, 0.7, 10.0, algorithm="ioa-disambiguate").select("object_id")
 
 
+@query("agg02_nms_rings", on_corners("det") + f", {cells('det', 'k')}, edges AS (SELECT {HILO} FROM k a JOIN k b ON {in_first_cell()} AND a.object_id < b.object_id AND {IOU} >= {RING_LEAST}), {suppressed('edges')} SELECT object_id FROM det WHERE object_id NOT IN (SELECT lo FROM s)")
+def _(s, d):
+    b = with_ring(view(s, d, "det").select("object_id", F.col("detector_score").alias("score"), *g.SIDES))
+    return fusion.suppress(b, RING_LEAST, 10.0, ring="ring").select("object_id")
+
+
+@query("agg03_nms_ioa_rings", on_corners("det") + f", {cells('det', 'k')}, edges AS (SELECT {HILO} FROM k a JOIN k b ON {in_first_cell()} AND a.object_id < b.object_id AND {COM} / least({AA}, {BB}) > {RING_LEAST} AND 1 - {COM} / CASE WHEN {BETTER} THEN {BB} ELSE {AA} END < 0.5678), {suppressed('edges')} SELECT object_id FROM det WHERE object_id NOT IN (SELECT lo FROM s)")
+def _(s, d):
+    b = with_ring(view(s, d, "det").select("object_id", F.col("detector_score").alias("score"), *g.SIDES))
+    return fusion.suppress(b, RING_LEAST, 10.0, algorithm="ioa-disambiguate", keep_ratio=0.5678, ring="ring").select("object_id")
+
+
 @query("agg04_edge_band", duck("det") + "SELECT object_id, (xmin + xmax) / 2 < tile % 32 * 100 + 5 OR (xmin + xmax) / 2 > tile % 32 * 100 + 95 OR (ymin + ymax) / 2 < floor(tile / 32) * 100 + 5 OR (ymin + ymax) / 2 > floor(tile / 32) * 100 + 95 AS late FROM det")
 def _(s, d):
     x, y = F.col("tile") % 32 * 100.0, F.floor(F.col("tile") / 32) * 100.0

@@ -10,7 +10,7 @@ from ..plans import components as plan
 from ..plans.storage import settle
 from ..views import duck, table, view
 from .aggregations import AGREE, AP, COMP, SIZED
-from .joins import PAIRS, PROMPTS, TRUE_PAIRS, pairs
+from .joins import PAIRS, PROMPTS, RING_LEAST, TRUE_PAIRS, on_corners, pairs, with_ring
 from .registry import COMMON, IOU, MEET, cells, in_first_cell, matched, query, r, reached, suppressed
 from .rasters import difference
 
@@ -82,6 +82,15 @@ def _(s, d):
     return merged.select("object_id", "segmenter_score", "observation_count", "xmin")
 
 
+RING_COMP = COMP.replace(duck("det").replace("WITH ", "WITH RECURSIVE ", 1), on_corners("det").replace("WITH ", "WITH RECURSIVE ", 1)).replace("iou >= 0.3", f"iou >= {RING_LEAST}")
+
+
+@query("cmp07_ring_merger", RING_COMP + f", c AS (SELECT component, arg_max(object_id, (segmenter_score, -run_index, -object_id)) AS best, avg(segmenter_score) AS score, count(DISTINCT run_index) AS observation_count, min((run_index, object_id)) AS first FROM mem GROUP BY component) SELECT row_number() OVER (ORDER BY first) - 1 AS object_id, {r('score')} AS segmenter_score, observation_count, {r(AREA + ' / 2')} AS area FROM c JOIN det ON det.object_id = c.best")
+def _(s, d):
+    merged = fusion.merge_runs(with_ring(view(s, d, "det").select("object_id", "run_index", "tile", "segmenter_score", *g.SIDES)), RING_LEAST, agreement=False, ring="ring")
+    return merged.select("object_id", "segmenter_score", "observation_count", g.ring_area(F.col("ring")).alias("area"))
+
+
 GAP = ", ".join(f"({a}, {a + 1})" for a in range(1, 7))
 OVER = f"x AS (SELECT least(pa, pb) AS p1, greatest(pa, pb) AS p2, CASE WHEN pa < pb THEN ia ELSE ib END AS a, CASE WHEN pa < pb THEN ib ELSE ia END AS b, ioa FROM (SELECT ia, ib, ra + 1 AS pa, rb + 1 AS pb, ioa FROM pairs) q WHERE abs(pa - pb) = 1 AND ioa >= 0.2)"
 
@@ -116,6 +125,13 @@ def _(s, d):
     return t.where("size <> 'all'").select("size", "tp", "fp", "fn")
 
 
+@query("cmp10_ring_evaluator", on_corners("det", "truth") + f", {TRUE_PAIRS}, x AS (SELECT pred AS a, truth AS b, score, iou FROM hits WHERE iou >= {RING_LEAST}), {matched('x', 'score DESC, a, iou DESC, b')} SELECT (SELECT count(*) FROM m) AS tp, (SELECT count(*) FROM det) - (SELECT count(*) FROM m) AS fp, (SELECT count(*) FROM truth) - (SELECT count(*) FROM m) AS fn")
+def _(s, d):
+    p = with_ring(view(s, d, "det").select(F.col("object_id").alias("pred"), F.col("detector_score").alias("score"), *g.SIDES))
+    t = evaluate.evaluate(p, with_ring(view(s, d, "truth").select("truth", *g.SIDES)), [RING_LEAST], 10.0, sizes=False, ring="ring")
+    return t.select("tp", "fp", "fn")
+
+
 @query("cmp11_tile_evaluator")
 def _(s, d):
     p = view(s, d, "det").select(F.col("tile").alias("image"), F.col("class").alias("category"), F.col("object_id").alias("pred"), F.col("detector_score").alias("score"), *g.SIDES)

@@ -13,6 +13,26 @@ from .registry import COMMON, IOU, IOU_ADDED, MEET, cells, in_first_cell, matche
 PAIRS = f"{cells('det', 'k')}, pairs AS MATERIALIZED (SELECT a.object_id AS ia, b.object_id AS ib, a.run_index AS ra, b.run_index AS rb, {IOU} AS iou, {COMMON} / least((a.xmax - a.xmin) * (a.ymax - a.ymin), (b.xmax - b.xmin) * (b.ymax - b.ymin)) AS ioa FROM k a JOIN k b ON {in_first_cell()} AND a.object_id < b.object_id)"
 TRUE_PAIRS = f"{cells('det', 'k')}, {cells('truth', 'u')}, hits AS MATERIALIZED (SELECT a.object_id AS pred, b.truth, a.detector_score AS score, {IOU} AS iou FROM k a JOIN u b ON {in_first_cell()})"
 
+#: An overlap that no two squares on their corners in det and truth have exactly, so that rounding decides nothing.
+RING_LEAST = 0.4321
+
+
+def on_corners(*names: str) -> str:
+    """The views for DuckDB with squares on their corners in place of boxes. By x + y and x - y such a square is a box, of twice its area."""
+    text = duck(*names)
+    for n in names:
+        text = text.replace(f"{n} AS (", f"{n}_boxes AS (", 1)
+    middle, half = "(xmin + xmax) / 2 {} (ymin + ymax) / 2", "(xmax - xmin) / 2"
+    u, v = middle.format("+"), middle.format("-")
+    return text + ", ".join(["", *[f"{n} AS (SELECT * REPLACE ({u} - {half} AS xmin, {v} - {half} AS ymin, {u} + {half} AS xmax, {v} + {half} AS ymax) FROM {n}_boxes)" for n in names]])
+
+
+def with_ring(boxes):
+    """Boxes with the square that stands on its corner within them."""
+    (x, y), half = g.centroid(g.box()), (F.col("xmax") - F.col("xmin")) / 2
+    corners = ((x, y - half), (x + half, y), (x, y + half), (x - half, y), (x, y - half))
+    return boxes.withColumn("ring", F.array(*[F.struct(a.alias("x"), b.alias("y")) for a, b in corners])).withColumn("ymax", F.col("ymin") + 2 * half)
+
 
 def pairs(s, d):
     return spatial.overlap_pairs(view(s, d, "det").select("object_id", "run_index", *g.SIDES), "object_id", 10.0).withColumns({"iou": g.iou(g.box("a_"), g.box("b_")), "ioa": g.ioa(g.box("a_"), g.box("b_"))})

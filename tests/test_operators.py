@@ -3,6 +3,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -433,3 +434,45 @@ def test_rounds_and_the_short_end_of_a_chain_agree(spark):
     assert plain(graph.connected_components(linked, small=0)) == plain(graph.connected_components(linked, small=10**9))
     linked.unpersist()
     assert view(spark, sf, "det").count() > 0
+
+
+def test_rings_in_suppression_runs_and_evaluation(spark):
+    rng = np.random.default_rng(3)
+    rows = []
+    for i in range(80):
+        at, size = rng.uniform(0, 20, 2), rng.uniform(2, 6)
+        angles = np.sort(rng.uniform(0, 2 * np.pi, 5))
+        points = [(float(at[0] + size * np.cos(a)), float(at[1] + size * np.sin(a))) for a in angles]
+        xs, ys = zip(*points)
+        rows.append((i, float(rng.uniform()), i % 3, "t", [*points, points[0]], min(xs), min(ys), max(xs), max(ys)))
+    df = spark.createDataFrame(rows, "object_id long, score double, run_index long, tile string, ring array<struct<x:double,y:double>>, xmin double, ymin double, xmax double, ymax double")
+
+    def share(i, j):
+        only_i, only_j, both = polygons.boolean_areas(rows[i][4], rows[j][4])
+        return both / (only_i + only_j + both)
+
+    kept = []
+    for i in sorted(range(80), key=lambda i: (-rows[i][1], i)):
+        if all(share(i, j) < 0.3 for j in kept):
+            kept.append(i)
+    assert 10 < len(kept) < 75
+    assert sorted(r.object_id for r in fusion.suppress(df, 0.3, 5.0, ring="ring").collect()) == sorted(kept)
+
+    group = list(range(80))
+    for i in range(80):
+        for j in range(i):
+            if i % 3 != j % 3 and share(i, j) >= 0.3:
+                group = [min(group[i], group[j]) if g in (group[i], group[j]) else g for g in group]
+    merged = fusion.merge_runs(df.withColumnRenamed("score", "segmenter_score"), 0.3, 5.0, ring="ring", agreement=False).collect()
+    assert sorted(r.members for r in merged) == sorted(group.count(g) for g in set(group))
+    best = {max((i for i in range(80) if group[i] == g), key=lambda i: rows[i][1]) for g in set(group)}
+    assert sorted([(p.x, p.y) for p in r.ring] for r in merged) == sorted(rows[i][4] for i in best)
+
+    found = evaluate.evaluate(df.where("object_id < 40").withColumnRenamed("object_id", "pred"), df.where("object_id >= 40").withColumnRenamed("object_id", "truth"), [0.3], 5.0, sizes=False, ring="ring").first()
+    free, tp = set(range(40, 80)), 0
+    for i in sorted(range(40), key=lambda i: (-rows[i][1], i)):
+        near = [(-share(i, j), j) for j in free if share(i, j) >= 0.3]
+        if near:
+            free.discard(min(near)[1])
+            tp += 1
+    assert tp > 3 and (found.tp, found.fp, found.fn) == (tp, 40 - tp, 40 - tp)
