@@ -114,12 +114,13 @@ def enhancements(pixels: DataFrame, methods: Sequence[str], bands: Sequence[str]
     return out
 
 
-def statistic_blend(images: DataFrame, bands: Sequence[str], by: Sequence[str] = ("tile",), means: dict[str, float] = TARGET_MEANS, stds: dict[str, float] = TARGET_STDS) -> DataFrame:
+def statistic_blend(images: DataFrame, bands: Sequence[str], by: Sequence[str] = ("tile",), means: dict[str, float] = TARGET_MEANS, stds: dict[str, float] = TARGET_STDS, least: float | None = 1e-9) -> DataFrame:
     """The methods' bytes, weighted by how near each method's statistics are to the target; one row per pixel.
 
     Statistics are of the pixels that are positive in all bands; the distance is the
     sum of the squared relative differences of means and deviations. A method without
-    such a pixel weighs next to nothing.
+    such a pixel weighs next to nothing (``least``), or with None is left out; a pixel
+    that no method with a weight has is missing.
     """
     positive = F.lit(True)
     for b in bands:
@@ -129,9 +130,9 @@ def statistic_blend(images: DataFrame, bands: Sequence[str], by: Sequence[str] =
     far = F.lit(0.0)
     for b in bands:
         far = far + F.pow((F.col(f"{b}_m") - means[b]) / (means[b] + 1e-9), F.lit(2.0)) + F.pow((F.col(f"{b}_s") - stds[b]) / (stds[b] + 1e-9), F.lit(2.0))
-    weights = stats.select(*by, "method", F.coalesce(1 / (far + 1e-6), F.lit(1e-9)).alias("_w"))
+    weights = stats.select(*by, "method", F.coalesce(1 / (far + 1e-6), F.lit(least).cast("double")).alias("_w"))
     joined = images.join(weights, [*by, "method"])
-    mixed = lambda b: F.least(F.greatest(F.sum(F.col(b) * F.col("_w")) / F.sum("_w") + 1e-9, F.lit(0.0)), F.lit(255.0)).cast("int")  # noqa: E731  equal bytes stay what they are
+    mixed = lambda b: (F.sum(F.col(b) * F.col("_w")) / F.sum("_w") + 1e-9).cast("int")  # noqa: E731  equal bytes stay what they are
     return joined.groupBy(*by, "row", "col").agg(*[mixed(b).alias(b) for b in bands])
 
 

@@ -23,6 +23,6 @@ VECTORS = "SELECT CAST(i AS BIGINT) AS vec_id, list_transform(generate_series(1,
 
 
 @pytest.mark.parametrize("n", [11, 13, 14])
-@pytest.mark.parametrize("name", ["ras02_nir", "ras08_finite", "ras15_fixed_blend"])
+@pytest.mark.parametrize("name", ["ras02_nir", "ras08_finite", "ras15_fixed_blend", "agg27_statistic_blend"])
 def test_missing_bands(spark, tmp_path, name, n):
     same_as_sql(spark, tmp_path, name, embeddings=VECTORS.format(n=n))
