@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from ..functions import geometry as g
 from ..plans.storage import settle
 from .graph import connected_components, greedy_suppress
-from .spatial import overlap_pairs, ring_iou, ring_overlaps
+from .spatial import overlap_pairs, overlapping_rings, ring_iou, ring_overlaps
 
 
 def area_penalty(area: Column, least: float | None, most: float | None, floor: float = 0.1) -> Column:
@@ -277,12 +277,15 @@ def consensus(members: DataFrame, component: str = "component", run: str = "run_
 def merge_runs(boxes: DataFrame, threshold: float = 0.3, cell: float = 10.0, key: str = "object_id", run: str = "run_index", ring: str | None = None, **how) -> DataFrame:
     """Objects seen in several runs as one: overlapping boxes of different runs are linked, linked boxes are one object, numbered by first member."""
     flat = settle(numbered(boxes.withColumn("_order", F.struct(run, key)), "_order", "flat_index").drop("_order"), "runs")
-    pairs = overlap_pairs(flat.select("flat_index", run, *g.SIDES, *([ring] if ring else [])), "flat_index", cell).where(F.col(f"a_{run}") != F.col(f"b_{run}"))
-    iou = g.iou(g.box("a_"), g.box("b_"))
     if ring:
-        pairs, iou = ring_overlaps(pairs, ring, threshold), ring_iou()
-    edges = pairs.where(iou >= threshold).select(F.col("a_flat_index").alias("a"), F.col("b_flat_index").alias("b"))
-    groups = connected_components(edges).withColumnRenamed("node", "flat_index")
+        linked = overlapping_rings(flat, "flat_index", ring, cell, threshold, run).where(ring_iou() >= threshold)
+    else:
+        pairs = overlap_pairs(flat.select("flat_index", run, *g.SIDES), "flat_index", cell).where(F.col(f"a_{run}") != F.col(f"b_{run}"))
+        linked = pairs.where(g.iou(g.box("a_"), g.box("b_")) >= threshold)
+    # links of one place meet in one task, where most of what they join is joined at once
+    place = [F.floor(F.col(c) / (100 * cell)) for c in ("a_xmin", "a_ymin")]
+    edges = linked.select(F.col("a_flat_index").alias("a"), F.col("b_flat_index").alias("b"), *[p.alias(n) for p, n in zip(place, ("px", "py"), strict=True)])
+    groups = connected_components(edges.repartition("px", "py").select("a", "b")).withColumnRenamed("node", "flat_index")
     members = flat.join(groups, "flat_index", "left").withColumn("component", F.coalesce("component", "flat_index"))
     return numbered(consensus(members, run=run, ring=ring, **how), "first_member", "object_id")
 

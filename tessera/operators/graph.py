@@ -10,16 +10,21 @@ rounds to the last.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from ..plans.storage import settle
 
 #: Edges that are left to one task at the end, at most: less than a megabyte.
 SMALL = 1000
+#: Links that a task joins at once: some tens of megabytes.
+FOREST = 1 << 20
 
 
 def _whole(df: DataFrame, work, schema) -> DataFrame:
@@ -39,7 +44,10 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", small: in
     Large-star and small-star contractions: rounds grow with the logarithm of a
     chain's length, and a hub is reduced before it is shuffled.
     """
-    links = settle(edges.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).where("a <> b").distinct(), "edges")
+    links = edges.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).where("a <> b")
+    if links.schema["a"].dataType == links.schema["b"].dataType == LongType():
+        links = links.mapInArrow(_forests, links.schema)
+    links = settle(links.distinct(), "edges")
     before = None
     while True:
         if links.count() <= small:
@@ -59,6 +67,36 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", small: in
     return roots.select(F.col("a").alias("node"), "component").union(roots.select(F.col("component").alias("node"), "component").distinct())
 
 
+def _forests(batches) -> Iterator[pa.RecordBatch]:
+    """Links that join the same nodes as the partition's own, each from a node to the smallest that its stretch of links reaches.
+
+    Whatever the partitions hold is right; where they hold neighbours, few rounds are left.
+    """
+    held: list[pa.RecordBatch] = []
+
+    def stars():
+        nodes, ends = np.unique(np.concatenate([np.asarray(x.column(c)) for c in (0, 1) for x in held]), return_inverse=True)
+        first, second = np.split(ends, 2)
+        root = np.arange(len(nodes))
+        while len(first):
+            x, y = root[first], root[second]
+            apart = x != y
+            first, second, x, y = first[apart], second[apart], x[apart], y[apart]
+            np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
+            while not np.array_equal(root, hop := root[root]):
+                root = hop
+        own = np.flatnonzero(root != np.arange(len(nodes)))
+        return pa.RecordBatch.from_arrays([pa.array(nodes[own]), pa.array(nodes[root[own]])], names=held[0].schema.names)
+
+    for batch in batches:
+        held.append(batch)
+        if sum(x.num_rows for x in held) >= FOREST:
+            yield stars()
+            held.clear()
+    if held:
+        yield stars()
+
+
 def _components(edges: pd.DataFrame) -> pd.DataFrame:
     parent: dict = {}
 

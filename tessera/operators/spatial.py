@@ -64,13 +64,30 @@ def ring_overlaps(pairs: DataFrame, ring: str, least: float | Column = 0.0, of:
     share is the most that rings can, so most pairs go before a ring is cut.
     """
     a, b = F.col(f"a_{ring}"), F.col(f"b_{ring}")
-    most = g.overlap(g.box("a_"), g.box("b_")) * (1 + 1e-9)
     pairs = pairs.withColumn("_area_a", g.ring_area(a)).withColumn("_area_b", g.ring_area(b))
+    return pairs.where(_possible(least, of)).withColumn("_both", boolean_area(a, b)["both"])
+
+
+def _possible(least: float | Column, of: str) -> Column:
+    most = g.overlap(g.box("a_"), g.box("b_")) * (1 + 1e-9)
     if of == "union":
-        possible = most * (1 + least) >= least * (F.col("_area_a") + F.col("_area_b"))
-    else:
-        possible = most >= least * F.least("_area_a", "_area_b")
-    return pairs.where(possible).withColumn("_both", boolean_area(a, b)["both"])
+        return most * (1 + least) >= least * (F.col("_area_a") + F.col("_area_b"))
+    return most >= least * F.least("_area_a", "_area_b")
+
+
+def overlapping_rings(boxes: DataFrame, key: str, ring: str, cell: float, least: float | Column, differ: str, of: str = "union") -> DataFrame:
+    """ring_overlaps of the pairs of a table that has a unique key and whose rows differ in a column.
+
+    Pairs are found by boxes and areas alone, an area being worked out once for a ring;
+    rings are fetched by key for those pairs only that can reach the threshold.
+    """
+    flat = boxes.select(key, differ, *g.SIDES, g.ring_area(F.col(ring)).alias("_area"))
+    pairs = overlap_pairs(flat, key, cell).where(F.col(f"a_{differ}") != F.col(f"b_{differ}"))
+    pairs = pairs.withColumnsRenamed({"a__area": "_area_a", "b__area": "_area_b"}).where(_possible(least, of))
+    pairs = pairs.select(f"a_{key}", f"b_{key}", "a_xmin", "a_ymin", "_area_a", "_area_b")
+    for side in ("a_", "b_"):
+        pairs = pairs.join(boxes.select(F.col(key).alias(f"{side}{key}"), F.col(ring).alias(f"{side}{ring}")), f"{side}{key}")
+    return pairs.withColumn("_both", boolean_area(F.col(f"a_{ring}"), F.col(f"b_{ring}"))["both"])
 
 
 def ring_iou() -> Column:
