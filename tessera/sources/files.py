@@ -20,6 +20,17 @@ def round_trip(df: DataFrame, path: str, kind: str) -> DataFrame:
     return df.sparkSession.read.format(kind).options(**options).schema(df.schema).load(path)
 
 
+def write_tiles(pixels: DataFrame, path: str, by: str = "tile", tiles: int = 1024) -> None:
+    """Pixels as a folder ``block`` for so many tiles each, a tile whole and in order in one file, its number a column.
+
+    The rows of a block meet in one task first, so there is a file for each block and not one for each tile
+    and task; files keep their tiles' range, so a reader of one tile skips the others.
+    """
+    block = F.floor(F.col(by) / tiles)
+    dealt = pixels.withColumn("block", block).repartition("block").sortWithinPartitions("block", by, "row", "col")
+    dealt.write.partitionBy("block").parquet(path)
+
+
 def list_files(spark: SparkSession, path: str, glob: str) -> DataFrame:
     """path and length of all files below a folder whose names fit; contents aren't read."""
     return spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(path).select("path", "length")

@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 from tessera.queries.registry import ORACLES, compared
+from tessera.sources import files
 
 from .test_queries import rows
 
@@ -34,3 +35,12 @@ def test_records_that_all_but_coincide(spark, tmp_path):
                 FROM (VALUES (10, 100000, '1-URGENT'), (110, 100000, '1-URGENT'), (20, 100000, '1-URGENT'), (120, 100100, '1-URGENT'), (30, 0, '1-URGENT'), (31, -50000, '1-URGENT'),
                 (40, NULL, '1-URGENT'), (NULL, 5, '1-URGENT'), (50, 100000, '2-HIGH'), (60, 100000, NULL), (1000000010, 100000, '1-URGENT')) t(k, p, o)"""
     same_as_sql(spark, tmp_path, "src19_csv_deduplicated", orders=orders)
+
+
+def test_tiles_share_files(spark, tmp_path):
+    """A file for each block of tiles, not one for each tile and task; every pixel comes back."""
+    pixels = spark.range(64 * 700).selectExpr("id div 64 AS tile", "id % 64 div 8 AS row", "id % 8 AS col", "id / 7 AS red").repartition(4)
+    files.write_tiles(pixels, f"{tmp_path}/tiles", tiles=100)
+    assert len(list(tmp_path.glob("tiles/**/*.parquet"))) == 7
+    back = spark.read.parquet(f"{tmp_path}/tiles").select("tile", "row", "col", "red")
+    assert back.exceptAll(pixels).isEmpty() and back.count() == 64 * 700
