@@ -33,7 +33,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group whose five-word shingles are alike by 0.8 or more.
+    """One document of each group whose five-word shingles are alike by 0.8 or more: found by SimHash, confirmed and completed by their sets.
 
     The first row of the table stays. Null, empty and blank texts are alike and leave one row; a text of fewer than five
     words is one shingle. Repeated rows are alike, whatever their doc_id, null or not. An empty table stays empty, other

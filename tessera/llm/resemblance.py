@@ -1,8 +1,12 @@
-"""Near-duplicates by the resemblance of word shingles, with a prefix index.
+"""Near-duplicates by SimHash, confirmed and completed by the resemblance of word shingles.
 
 Two texts are alike if the sets of their five-word shingles have a Jaccard
-similarity of 0.8 or more. Fingerprints of 64 bits can't tell: such pairs were seen
-to differ in up to 14 bits. So sets are compared themselves, and no pair is missed:
+similarity of 0.8 or more. Every distinct set gets a SimHash fingerprint. Sets whose
+fingerprints differ in few bits are found by the Gray-order index of simhash.py, and
+compared; those that are alike are one group from there on.
+Alike sets were seen to differ in up to 14 of 64 bits, further than any index of
+fingerprints reaches. So a prefix index then looks for what links those groups and
+the other sets, and no pair is missed:
 in any fixed order of shingles, alike sets of n shingles share one among the first
 n - ceil(0.8 n) + 1 of each. The order puts those last that a sample of the sets
 holds more than once, the most frequent at the very end; a sample only decides how
@@ -26,6 +30,8 @@ from . import _shared, simhash
 WORDS = 5
 #: The least similarity, as a fraction.
 SIMILAR = (4, 5)
+#: Bits in which fingerprints that the index finds may differ.
+DISTANCE = 3
 #: Sets of the sample that the order is taken from, about.
 SAMPLE = 16384
 #: Entries of the index that a task holds, about.
@@ -40,7 +46,7 @@ class _Sets:
     """The files of sets, by address."""
 
     def __init__(self, folder: str):
-        self.folder, self.open = folder, {}
+        self.folder, self.open, self.near = folder, {}, {}
 
     def file(self, number: int) -> tuple[np.ndarray, np.ndarray]:
         """Ends of the sets of a file, and all their shingles."""
@@ -57,6 +63,23 @@ class _Sets:
         i = at & ((1 << _PLACE_BITS) - 1)
         return shingles[ends[i] : ends[i + 1]]
 
+    def size(self, at: int) -> int:
+        ends, i = self.file(at >> _PLACE_BITS)[0], at & ((1 << _PLACE_BITS) - 1)
+        return int(ends[i + 1] - ends[i])
+
+    def root(self, at: int, known: set[int]) -> int:
+        """The first set of the group that fingerprints gave, the set itself if they gave none; known: files with groups."""
+        number = at >> _PLACE_BITS
+        if number not in known:
+            return at
+        if number not in self.near:
+            if len(self.near) >= OPEN:
+                self.near.pop(next(iter(self.near)))
+            self.near[number] = np.frombuffer(_shared.map_shared(f"{self.folder}/{number}.near"), np.int64).reshape(2, -1)
+        own, roots = self.near[number]
+        i = int(np.searchsorted(own, at))
+        return int(roots[i]) if i < len(own) and own[i] == at else at
+
 
 def shingle_sets(texts: list[str], words: int = WORDS) -> list[np.ndarray]:
     """The distinct shingles of each text, in order."""
@@ -74,9 +97,9 @@ def _enough(common, total):
     return (top + bottom) * common >= top * total
 
 
-def _written(docs: DataFrame, row: str, code: str, at: str, folder: str) -> DataFrame:
-    """The rows with number, hash of the set and address; the sets go to the folder."""
-    ahead = docs.withColumn(row, F.monotonically_increasing_id()).withColumns({c: F.lit(0).cast("long") for c in (code, at)})
+def _written(docs: DataFrame, row: str, code: str, at: str, fingerprint: str, folder: str) -> DataFrame:
+    """The rows with number, hash of the set, address and fingerprint; the sets go to the folder."""
+    ahead = docs.withColumn(row, F.monotonically_increasing_id()).withColumns({c: F.lit(0).cast("long") for c in (code, at, fingerprint)})
 
     def run(batches):
         from xxhash import xxh64_intdigest
@@ -90,7 +113,8 @@ def _written(docs: DataFrame, row: str, code: str, at: str, folder: str) -> Data
             ends = np.cumsum([0, *map(len, sets)], dtype=np.int64)
             _shared.write_shared(f"{folder}/{number}", struct.pack("<q", len(sets)) + ends.tobytes() + np.concatenate(sets).astype(np.uint64).tobytes())
             codes = np.array([xxh64_intdigest(s.tobytes()) for s in sets], np.uint64).view(np.int64)
-            for name, values in ((code, codes), (at, (number << _PLACE_BITS) + np.arange(len(sets)))):
+            prints = simhash.majority(sets).view(np.int64)
+            for name, values in ((code, codes), (at, (number << _PLACE_BITS) + np.arange(len(sets))), (fingerprint, prints)):
                 chunk = chunk.set_column(chunk.column_names.index(name), name, pa.array(values))
             yield from chunk.to_batches()
 
@@ -152,14 +176,16 @@ def _entries(firsts: DataFrame, folder: str, frequent: str, parts: int) -> DataF
     return firsts.groupBy("file").applyInArrow(run, "part int, blob binary")
 
 
-def _joined(sets: _Sets, at: np.ndarray, place: np.ndarray, n: np.ndarray) -> list[tuple[int, int]]:
+def _joined(sets: _Sets, at: np.ndarray, place: np.ndarray, n: np.ndarray, root: list[int] | None = None) -> list[tuple[int, int]]:
     """Links between the sets that have a shingle, so many that all alike ones are joined.
 
     A pair is left to another shingle if too little follows this one: it shares an
-    earlier one then, if it is alike.
+    earlier one then, if it is alike. Sets of one root are joined already.
     """
     groups: list[list[int]] = []
+    roots: list[set[int]] = []
     out, held = [], {}
+    root = at.tolist() if root is None else root
 
     def own(i):
         if i not in held:
@@ -169,6 +195,9 @@ def _joined(sets: _Sets, at: np.ndarray, place: np.ndarray, n: np.ndarray) -> li
     for i in range(len(at)):
         met = []
         for g, group in enumerate(groups):
+            if root[i] in roots[g]:
+                met.append(g)
+                continue
             members = np.array(group)
             able = _enough(np.minimum(n[members] - place[members], n[i] - place[i]), n[members] + n[i])
             for j in members[able].tolist():
@@ -178,15 +207,65 @@ def _joined(sets: _Sets, at: np.ndarray, place: np.ndarray, n: np.ndarray) -> li
                     break
         if not met:
             groups.append([i])
+            roots.append({root[i]})
             continue
         groups[met[0]].append(i)
+        roots[met[0]].add(root[i])
         for g in reversed(met[1:]):
             groups[met[0]] += groups.pop(g)
+            roots[met[0]] |= roots.pop(g)
     return out
 
 
-def links(firsts: DataFrame, folder: str, sample: int = SAMPLE, part_entries: int = PART_ENTRIES) -> DataFrame:
-    """Links a-b between the addresses of distinct sets (columns code, at, file), enough of them to join all that are alike."""
+def near(firsts: DataFrame, folder: str, distance: int = DISTANCE) -> DataFrame:
+    """a, b: sets whose fingerprints are near each other's and that are alike, each with the first one of its group.
+
+    firsts: at and print of distinct sets. Fingerprints that the Gray-order index links are
+    candidates for one group; within it sets are compared themselves.
+    """
+    codes = _shared.through_table(firsts.select(F.col("print").alias("code")).distinct(), "codes")
+    found = simhash._linked(simhash.components(simhash.links(codes, distance))).withColumnsRenamed({"code": "print", "root": "other"})
+    dealt = _shared.through_table(firsts.select("at", "print").join(found, "print", "left").select("at", F.coalesce("other", "print").alias("near")), "near")
+    several = dealt.groupBy("near").agg(F.count("*").alias("n")).where("n > 1").select("near")
+
+    def confirm(key, group):
+        sets, at = _Sets(folder), np.sort(np.asarray(group.column("at")))
+        n = np.fromiter(map(sets.size, at.tolist()), np.int64, len(at))
+        root = {}
+
+        def top(x):
+            while root.setdefault(x, x) != x:
+                x = root[x]
+            return x
+
+        for a, b in _joined(sets, at, np.zeros(len(at), np.int64), n):
+            a, b = top(a), top(b)
+            root[max(a, b)] = min(a, b)
+        own = [(x, top(x)) for x in list(root)]
+        return pa.table({"a": [x for x, _ in own], "b": [y for _, y in own]}, schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+
+    return _shared.through_table(dealt.join(several, "near").groupBy("near").applyInArrow(confirm, "a long, b long"), "near")
+
+
+def _near_files(alike_ones: DataFrame, folder: str) -> set[int]:
+    """Writes the groups of near() beside the files of sets; the numbers of the files that have some."""
+
+    def write(key, group):
+        number, own = key[0].as_py(), np.stack([np.asarray(group.column(c)) for c in ("a", "b")])
+        _shared.write_shared(f"{folder}/{number}.near", np.ascontiguousarray(own[:, np.argsort(own[0])]).tobytes())
+        return pa.table({"file": [number]}, schema=pa.schema([("file", pa.int64())]))
+
+    by_file = alike_ones.withColumn("file", F.shiftright("a", _PLACE_BITS)).groupBy("file")
+    return {r.file for r in by_file.applyInArrow(write, "file long").collect()}
+
+
+def links(firsts: DataFrame, folder: str, sample: int = SAMPLE, part_entries: int = PART_ENTRIES, distance: int = DISTANCE) -> DataFrame:
+    """Links a-b between the addresses of distinct sets (columns code, at, file, print), enough of them to join all that are alike.
+
+    First those that fingerprints find, then what the prefix index adds to their groups.
+    """
+    found = near(firsts, folder, distance)
+    known = _near_files(found, folder)
     frequent = _frequent(firsts, folder, firsts.count(), sample)
 
     def sizes(key, group):
@@ -206,10 +285,12 @@ def links(firsts: DataFrame, folder: str, sample: int = SAMPLE, part_entries: in
         for c in np.flatnonzero(np.diff(cuts) > 1).tolist():
             x = entries[order[cuts[c] : cuts[c + 1]]]
             x = x[np.argsort(x["at"])]
-            out += _joined(sets, x["at"], x["place"].astype(np.int64), x["n"].astype(np.int64))
+            root = [sets.root(a, known) for a in x["at"].tolist()]
+            if any(r != root[0] for r in root):
+                out += _joined(sets, x["at"], x["place"].astype(np.int64), x["n"].astype(np.int64), root)
         return pa.table({"a": [a for a, _ in out], "b": [b for _, b in out]}, schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
 
-    return _entries(firsts, folder, frequent, parts).groupBy("part").applyInArrow(search, "a long, b long")
+    return found.union(_entries(firsts, folder, frequent, parts).groupBy("part").applyInArrow(search, "a long, b long"))
 
 
 def one_of_each(docs: DataFrame, sample: int = SAMPLE, part_entries: int = PART_ENTRIES) -> DataFrame:
@@ -217,16 +298,16 @@ def one_of_each(docs: DataFrame, sample: int = SAMPLE, part_entries: int = PART_
 
     Texts without words are alike. Rows are kept by bit maps where they lie, as in simhash.
     """
-    row, code, at = "_row", "_code", "_at"
-    while {row, code, at} & set(docs.columns):
-        row, code, at = f"_{row}", f"_{code}", f"_{at}"
+    row, code, at, fingerprint = "_row", "_code", "_at", "_print"
+    while {row, code, at, fingerprint} & set(docs.columns):
+        row, code, at, fingerprint = f"_{row}", f"_{code}", f"_{at}", f"_{fingerprint}"
     folder = _shared.shared_folder(docs.sparkSession, "sets")
-    table = _written(docs, row, code, at, folder)
-    by_code = table.groupBy(F.col(code).alias("code")).agg(F.min(row).alias("first"), F.min(at).alias("at"))
+    table = _written(docs, row, code, at, fingerprint, folder)
+    by_code = table.groupBy(F.col(code).alias("code")).agg(F.min(row).alias("first"), F.min(at).alias("at"), F.min(fingerprint).alias("print"))
     firsts = _shared.through_table(by_code.withColumn("file", F.shiftright("at", _PLACE_BITS)), "firsts")
-    roots = simhash._linked(simhash.components(links(firsts.select("code", "at", "file"), folder, sample, part_entries))).withColumnRenamed("code", "at")
+    roots = simhash._linked(simhash.components(links(firsts.select("code", "at", "file", "print"), folder, sample, part_entries))).withColumnRenamed("code", "at")
     linked = _shared.through_table(firsts.join(roots, "at").select("code", "first", "root"), "linked")
     named = linked.join(linked.groupBy("root").agg(F.min("first").alias("component_id")), "root").select("code", "component_id")
     groups = firsts.join(named, "code", "left").select("code", F.coalesce("component_id", "first").alias("component_id"))
     found = table.select(F.col(row).alias("doc_id"), F.col(code).alias("code")).join(groups, "code", "left").select("doc_id", "component_id")
-    return simhash.first_rows(table.drop(code, at), found, row)
+    return simhash.first_rows(table.drop(code, at, fingerprint), found, row)

@@ -49,10 +49,14 @@ def shingle_hashes(text: str, words: int = WORDS, seed: int = SEED) -> list[int]
 
 
 def fingerprints(texts: list[str], words: int = WORDS, seed: int = SEED) -> np.ndarray:
-    """A bit is 1 if it is set in over half the hashes; a text without words has none set."""
-    hashes = [shingle_hashes(t, words, seed) for t in texts]
+    """The fingerprints of texts; a text without words has no bit set."""
+    return majority([shingle_hashes(t, words, seed) for t in texts])
+
+
+def majority(hashes: list) -> np.ndarray:
+    """A bit is 1 if it is set in over half of a text's hashes."""
     n = np.fromiter(map(len, hashes), np.int64, len(hashes))
-    out = np.zeros(len(texts), np.uint64)
+    out = np.zeros(len(hashes), np.uint64)
     full = np.flatnonzero(n)
     if not len(full):
         return out

@@ -50,3 +50,23 @@ def test_any_order_and_parts_find_the_same(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(1).sortWithinPartitions("doc_id")
     for sample, entries in ((1, 50), (10, 1 << 20)):
         assert sorted(r.doc_id for r in resemblance.one_of_each(docs, sample, entries).collect()) == first_of_each(texts)
+
+
+def test_fingerprints_find_alike_texts_first(spark, monkeypatch):
+    """Sets that SimHash puts together are alike, and the prefix index doesn't link them again; nothing is lost."""
+    texts = planted(random.Random(7))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(1).sortWithinPartitions("doc_id")
+    found, whole, near = [], [], resemblance.near
+
+    def kept(firsts, folder, distance):
+        found.append(near(firsts, folder, distance))
+        return found[-1]
+
+    monkeypatch.setattr(resemblance, "near", kept)
+    monkeypatch.setattr(resemblance, "links", lambda *args, links=resemblance.links: whole.append(links(*args)) or whole[-1])
+    assert sorted(r.doc_id for r in resemblance.one_of_each(docs).collect()) == first_of_each(texts)
+    groups = {r.a: r.b for r in found[0].collect() if r.a != r.b}
+    assert groups
+    more = [(r.a, r.b) for r in whole[0].collect()]
+    assert len(more) > len(groups)  # pairs that differ in more bits
+    assert sum(groups.get(a, a) == groups.get(b, b) for a, b in more) == len(groups) + len({*groups.values()})
