@@ -7,6 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..plans.storage import settle
+
+#: Entries of a piece of a document, at most: some megabytes.
+PIECE = 10_000
 #: The document's schema.
 SCHEMA = (
     "images array<struct<id:bigint,file_name:string,width:int,height:int>>,"
@@ -44,6 +48,38 @@ def build_documents(boxes: DataFrame, by: Sequence[str], image: str = "tile_path
     return grouped.select(*by, F.to_json(F.struct("images", "annotations")).alias("document"), F.size("images").alias("n_images"), F.size("annotations").alias("n_annotations"))
 
 
+def document_pieces(boxes: DataFrame, by: Sequence[str], image: str = "tile_path", key: str = "object_id", size: int = PIECE) -> DataFrame:
+    """The documents of build_documents in pieces of bounded size: by, section, piece, n, document.
+
+    A piece is a document of so many images, or of so many annotations; in the order of section (0: images,
+    1: annotations) and piece they are the group's whole document. No task holds a group: images and annotations
+    are numbered over ranges, and a piece is made of the rows of one number range.
+    """
+    from ..operators.fusion import numbered
+
+    own, number = boxes, lambda df, order, name: _within(numbered(df.withColumn("_at", F.struct(*by, *order)), "_at", name).drop("_at"), by, name)
+    names = number(settle(own.select(*by, image).distinct(), "images"), [image], "image_id")
+    ids = names.select(*by, image, "image_id")
+    rows = number(own.withColumn("_tie", F.monotonically_increasing_id()), [key, "_tie"], "id").drop("_tie")
+    rows = rows.alias("r").join(ids.alias("i"), [F.col(f"r.{c}").eqNullSafe(F.col(f"i.{c}")) for c in (*by, image)]).select("r.*", "i.image_id")
+    w, h = F.col("xmax") - F.col("xmin"), F.col("ymax") - F.col("ymin")
+    note = F.struct("id", "image_id", F.array("xmin", "ymin", w, h).alias("bbox"), (w * h).alias("area"), F.lit(0).alias("iscrowd"), F.col("category_id").cast("int").alias("category_id"), F.col("score"))
+    picture = F.struct(F.col("image_id").alias("id"), F.col(image).alias("file_name"))
+
+    def pieces(df, order, section, name, entry):
+        listed = df.groupBy(*by, F.floor((F.col(order) - 1) / size).alias("piece")).agg(F.sort_array(F.collect_list(entry)).alias(name))
+        return listed.select(*by, F.lit(section).alias("section"), "piece", F.size(name).cast("long").alias("n"), F.to_json(F.struct(name)).alias("document"))
+
+    return pieces(ids, "image_id", 0, "images", picture).unionByName(pieces(rows, "id", 1, "annotations", note))
+
+
+def _within(df: DataFrame, by: Sequence[str], name: str) -> DataFrame:
+    """Numbers over all groups in order, as numbers from 1 in each group."""
+    first = df.groupBy(*by).agg(F.min(name).alias("_first"))
+    same = [F.col(f"d.{c}").eqNullSafe(F.col(f"f.{c}")) for c in by]
+    return df.alias("d").join(first.alias("f"), same).select("d.*", "f._first").withColumn(name, F.col(name) - F.col("_first") + 1).drop("_first")
+
+
 def merge_documents(documents: DataFrame, order: str) -> tuple[DataFrame, DataFrame]:
     """Images and annotations of all documents with dense new ids from 1, in document and old id order; raises on dangling image ids."""
     old_images, old_notes = images(documents, order), annotations(documents, order)
