@@ -16,9 +16,11 @@ from __future__ import annotations
 import hashlib
 import io
 import json
+import re
 import struct
-from collections import Counter
+from collections import Counter, defaultdict
 from heapq import heapify, heappop, heappush
+from itertools import count, islice, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +34,7 @@ from . import _shared
 FREQUENT = 24
 #: Words of the lexicon: the most frequent ones of the whole corpus.
 LEXICON_WORDS = 1 << 16
-#: Whitespace-separated chunks, and characters of them, that a task remembers before it starts anew.
+#: Whitespace-separated chunks, and characters of them, that a task remembers before it forgets all but the most used quarter.
 REMEMBERED, REMEMBERED_CHARS = 400_000, 32 << 20
 #: Words of more bytes are merged one by one, by a heap of their pairs.
 LONG_WORD = 256
@@ -44,6 +46,8 @@ _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N
 #: Characters for which normalisation is lower-casing alone.
 _PLAIN = regex.compile(r"[\x21-\x7E¡-¬®-ÿ–—‘’“”…€]*")
 _PLAIN_LINES = regex.compile(r"[\n\x21-\x7E¡-¬®-ÿ–—‘’“”…€]*")
+#: As _PIECES, for lower-cased characters of _PLAIN_LINES alone.
+_PLAIN_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼-¾]|[^\na-zªµºß-öø-ÿ0-9²³¹¼-¾]+|\n")
 #: Not white space for the vocabulary, but for str.split().
 _ODD_SPACE = regex.compile("[\x1c-\x1f]")
 
@@ -97,6 +101,14 @@ def _matrix(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return out, n
 
 
+def _in_order(flat: np.ndarray, n: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs that follow one another, and their lengths, put in the order of their places."""
+    order = np.empty(len(places), np.int64)
+    order[places] = np.arange(len(places))
+    take, n = _shared.ragged(np.cumsum(n) - n, n, order)
+    return flat[take], n
+
+
 class Merges:
     """The vocabulary's merges, applied to many words at once."""
 
@@ -119,23 +131,27 @@ class Merges:
 
     def apply(self, words: list[bytes]) -> list[np.ndarray]:
         """The ids of each word: the leftmost pair of lowest rank is merged, again and again."""
-        out: list[np.ndarray] = [None] * len(words)  # type: ignore[list-item]
-        order = np.argsort(np.fromiter(map(len, words), np.int64, len(words)), kind="stable")
-        start = 0
-        while len(order) and len(words[order[-1]]) > LONG_WORD:
-            out[order[-1]] = self._merge_long(words[order[-1]])
-            order = order[:-1]
-        while start < len(order):  # words of about a length, so that rows are well filled
-            longest = max(8, len(words[order[start]]) * 5 // 4)
-            end = start + 1
-            rows = max(1, (1 << 21) // max(longest, len(words[order[start]])))
-            while end < len(order) and end - start < rows and len(words[order[end]]) <= longest:
-                end += 1
-            picks = order[start:end]
-            for i, ids in zip(picks, self._merge([words[i] for i in picks]), strict=True):
-                out[i] = ids
+        flat, n = self.apply_flat(words)
+        return np.split(flat, np.cumsum(n)[:-1]) if len(words) else []
+
+    def apply_flat(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """As apply, but all ids in one array, and each word's number of ids."""
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        order = np.argsort(sizes, kind="stable")
+        sizes = sizes[order]
+        short, start = int(np.searchsorted(sizes, LONG_WORD, "right")), 0
+        parts, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        while start < short:  # words of about a length, so that rows are well filled
+            longest = max(8, int(sizes[start]) * 5 // 4)
+            end = min(start + max(1, (1 << 21) // longest), int(np.searchsorted(sizes[:short], longest, "right")))
+            flat, n = self._merge([words[i] for i in order[start:end].tolist()])
+            parts.append(flat)
+            counts.append(n)
             start = end
-        return out
+        for i in order[short:].tolist():
+            parts.append(self._merge_long(words[i]))
+            counts.append(np.array([len(parts[-1])], np.int64))
+        return _in_order(np.concatenate(parts), np.concatenate(counts), order)
 
     def _merge_long(self, word: bytes) -> np.ndarray:
         """As _merge, of one word in time that grows little faster than its length: a heap of pairs over linked places."""
@@ -172,13 +188,13 @@ class Merges:
             ids[j] = -1
         return np.array([x for x in ids if x >= 0], np.int64)
 
-    def _merge(self, words: list[bytes]) -> list[np.ndarray]:
+    def _merge(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         text, n = _matrix(words)
         at, rows = np.arange(text.shape[1]), np.arange(len(words))
         ids = np.where(at < n[:, None], self.first[text], -1)
         ids[rows[n > 0], n[n > 0] - 1] = self.last[text[rows[n > 0], n[n > 0] - 1]]
         none = np.int64(1) << 60
-        done: list[np.ndarray] = [None] * len(words)  # type: ignore[list-item]
+        parts, counts, places = [], [], []
 
         def ranks(left, right):
             got = self.pairs.get(np.where((left >= 0) & (right >= 0), left * self.base + right, -2))
@@ -190,8 +206,9 @@ class Merges:
             value = rank[np.arange(len(rows)), best] if rank.shape[1] else np.full(len(rows), none)
             over = value == none
             if over.any():
-                for r, line, k in zip(rows[over], ids[over], n[over], strict=True):
-                    done[r] = line[:k]
+                parts.append(ids[over][at < n[over, None]])
+                counts.append(n[over])
+                places.append(rows[over])
                 keep = ~over
                 rows, ids, n, rank, best, value = rows[keep], ids[keep], n[keep], rank[keep], best[keep], value[keep]
                 if not len(rows):
@@ -213,7 +230,7 @@ class Merges:
             if len(rows) and (width := int(n.max())) < ids.shape[1] * 3 // 4:
                 ids, rank = ids[:, : max(width, 1)].copy(), rank[:, : max(width - 1, 0)].copy()
                 at = np.arange(ids.shape[1])
-        return done
+        return _in_order(np.concatenate(parts), np.concatenate(counts), np.concatenate(places))
 
 
 def compile_lexicon(words: list[bytes], ids: list[np.ndarray]) -> bytes:
@@ -330,14 +347,32 @@ class Encoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.shown = self.merges.tokens
-        self._anew()
+        self._begin()
 
-    def _anew(self) -> None:
-        self.known: dict[str, int] = {}
-        self.flat, self.offsets, self.lengths = Growing(np.int32), Growing(np.int64), Growing(np.int64)
+    def _begin(self) -> None:
+        self.known: dict[str, int] = defaultdict(count().__next__)
+        self.flat, self.offsets, self.lengths, self.uses = Growing(np.int32), Growing(np.int64), Growing(np.int64), Growing(np.int64)
         self.texts: list[bytes] = []
         self.used = self.chars = 0
 
+    def _forget(self) -> None:
+        """Keeps what was used most, and more than once: a quarter of what may be remembered, at most."""
+        words, uses, texts = list(self.known), self.uses.data[: self.uses.n], self.texts
+        order = np.argsort(-uses, kind="stable")[: REMEMBERED // 4]
+        order = order[uses[order] > 1]
+        sizes = np.fromiter((len(words[i]) for i in order.tolist()), np.int64, len(order))
+        order = order[np.cumsum(sizes) <= REMEMBERED_CHARS // 4]
+        ids, n = self.ids(order), self.lengths.data[order]
+        self._begin()
+        for i in order.tolist():
+            self.known[words[i]]
+        self.texts = [texts[i] for i in order.tolist()] if self.decoded else []
+        self.flat.append(ids)
+        self.offsets.append(np.cumsum(n) - n)
+        self.lengths.append(n)
+        self.uses.append(uses[order] // 2)
+        self.used, self.chars = len(ids), int(sizes[: len(order)].sum())
+
     def _exact(self, text: str) -> np.ndarray:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, np.int32)
 
@@ -351,24 +386,33 @@ class Encoder:
 
     def _pieces(self, new: list[str]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
         """Of plain chunks: all ids, each chunk's number of ids, and, if asked for, each chunk's decoded text."""
-        pieces = _PIECES.findall("\n".join(new).lower())
-        at: dict[str, int] = {"\n": 0}
-        where = np.array([at.setdefault(x, len(at)) for x in pieces], np.int64)
-        words = [x.encode() for x in at][1:]
+        pieces = _PLAIN_PIECES.findall("\n".join(new).lower())
+        at: dict[str, int] = defaultdict(count().__next__)
+        at["\n"]
+        where = np.fromiter(map(at.__getitem__, pieces), np.int64, len(pieces))
+        words = list(at)[1:]
         n = np.zeros(len(words), np.int64)
-        rank = self.lexicon.rank(words) if self.lexicon else np.full(len(words), -1, np.int64)
-        seen, unseen = np.flatnonzero(rank >= 0), np.flatnonzero(rank < 0)
         parts, offsets = [np.zeros(0, np.int32)], np.zeros(len(words), np.int64)
+        own = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
+        own[own >= self.offsets.n] = -1  # not worked out yet
+        rank, kept, left = np.full(len(words), -1, np.int64), np.flatnonzero(own >= 0), np.flatnonzero(own < 0)  # a piece that is a chunk too has that chunk's ids
+        if len(kept):
+            n[kept] = k = self.lengths.data[own[kept]]
+            offsets[kept] = np.cumsum(k) - k
+            parts.append(self.ids(own[kept]))
+        if self.lexicon:
+            rank[left] = self.lexicon.rank([words[i].encode() for i in left.tolist()])
+        seen, unseen = np.flatnonzero(rank >= 0), left[rank[left] < 0]
         if len(seen):
             at_lexicon = self.lexicon.offsets
             n[seen] = at_lexicon[rank[seen] + 1] - at_lexicon[rank[seen]]
+            offsets[seen] = sum(map(len, parts)) + at_lexicon[rank[seen]]
             parts.append(self.lexicon.ids)
-            offsets[seen] = at_lexicon[rank[seen]]
         if len(unseen):
-            merged = self.merges.apply([words[i] for i in unseen])
-            n[unseen] = k = np.fromiter(map(len, merged), np.int64, len(merged))
+            merged, k = self.merges.apply_flat([words[i].encode() for i in unseen.tolist()])
+            n[unseen] = k
             offsets[unseen] = sum(map(len, parts)) + np.cumsum(k) - k
-            parts += merged
+            parts.append(merged)
         flat = np.concatenate(parts)
         n, offsets = np.concatenate([[0], n]), np.concatenate([[0], offsets])
         take, _ = _shared.ragged(offsets, n, where)
@@ -425,24 +469,17 @@ class Encoder:
     def chunks(self, texts: list[str]) -> list[np.ndarray]:
         """The chunks of each text, as numbers of what this encoder knows."""
         if len(self.known) > REMEMBERED or self.chars > REMEMBERED_CHARS:
-            self._anew()
-        known, new, out = self.known, [], []
-
-        class Known(dict):
-            def __missing__(self, key):
-                self[key] = n = len(self)
-                new.append(key)
-                return n
-
-        if type(known) is dict:
-            known = self.known = Known(known)
-        else:
-            type(known).__missing__ = Known.__missing__
+            self._forget()
+        before, out = len(self.known), []
         for text in texts:
-            out.append(np.array([known[x] for x in self._split(text)], np.int64))
-        if new:
+            chunks = self._split(text)
+            out.append(np.fromiter(map(self.known.__getitem__, chunks), np.int64, len(chunks)))
+        if new := list(islice(reversed(self.known), len(self.known) - before))[::-1]:
             self.chars += sum(map(len, new))
             self._resolve(new)
+            self.uses.append(np.zeros(len(new), np.int64))
+        if out:
+            self.uses.data[: self.uses.n] += np.bincount(np.concatenate(out), minlength=self.uses.n)
         return out
 
     def decode(self, picks: np.ndarray) -> bytes:

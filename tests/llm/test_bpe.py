@@ -56,6 +56,29 @@ def test_a_forgetful_encoder_gives_the_same(library, documents):
             setattr(bpe, name, before)
 
 
+def test_what_is_used_most_is_merged_once(library, monkeypatch):
+    """It is neither forgotten with rare words nor merged anew as a part of another chunk."""
+    monkeypatch.setattr(bpe, "REMEMBERED", 400)
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choices("etaoinshrdlu", k=9))
+    often, merged = [word() for _ in range(60)], []
+    encoder = bpe.Encoder(PATH, decoded=True)
+    merge = encoder.merges._merge
+    monkeypatch.setattr(encoder.merges, "_merge", lambda words: merged.extend(words) or merge(words))
+    for i in range(8):
+        compare(library, encoder, [" ".join([*often, *often, *(word() for _ in range(300))])])
+        compare(library, encoder, [" ".join(f"{x.title()},{i}." for x in often)])
+        assert len(encoder.known) < 1200
+    assert all(merged.count(x.encode()) == 1 for x in often)
+
+
+def test_plain_pieces_are_the_vocabularys():
+    plain = [c for c in map(chr, range(0x3000)) if c == "\n" or bpe._PLAIN.fullmatch(c)]
+    rng = random.Random(7)
+    for text in [*plain, *("".join(rng.choices([*plain, *"'''stremvld"], k=300)) for _ in range(300))]:
+        assert bpe._PLAIN_PIECES.findall(text.lower()) == bpe._PIECES.findall(text.lower())
+
+
 def test_the_automaton_is_minimal_and_ranks_words():
     words = sorted({a + b for a in (b"walk", b"talk", b"play", b"stay") for b in (b"", b"s", b"ed", b"ing")})
     ids = bpe.Merges(PATH).apply(words)
